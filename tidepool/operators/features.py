@@ -57,7 +57,7 @@ def impression_items(
         .select("ots", "mc_item_id", "core_label")
     )
     day = impressions.filter(in_window(F.col("dt"), as_of, -1, -1))
-    return salted_join(day, shown, ["ots"]).select("mc_item_id", "core_label", *impressions.columns)
+    return day.join(shown, "ots").select("mc_item_id", "core_label", *impressions.columns)
 
 
 def ctr_sample(
@@ -90,7 +90,7 @@ def ctr_sample(
     users = user_features.select(
         F.col("ad_id").alias("ad_id_plus"), F.col("user_behavior_f").alias("itemf")
     )
-    with_labels = salted_join(base, labelled, ["ots"], "left")
+    with_labels = base.join(labelled, "ots", "left")
     kept = downsample_negatives(with_labels, "ctr_label", rate, ["ots", "item_id"], seed)
     return salted_join(kept, users, ["ad_id_plus"], "left").select(
         "ots", "ad_id_plus", "campaign_id", "item_id", "core_label", "itemf", "cf", "cxf", "uf",

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidepool.functions.columns import norm
 from tidepool.operators.joins import salted_join
@@ -34,19 +34,23 @@ def best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[rank < k], cols[rank < k]
 
 
-def with_blocks(df: DataFrame, key: str, block_rows: int, group: str | None = None) -> DataFrame:
-    """Adds ``_block`` by hash of ``key`` and ``_blocks``, the number of blocks in the row's group."""
-    size = F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")
+def block_of(key: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), blocks).cast("int")
+
+
+def blocks_for(rows: int, block_rows: int) -> int:
+    return max(1, -(-rows // block_rows))
+
+
+def _with_blocks(df: DataFrame, block_rows: int, group: str | None) -> DataFrame:
+    """Adds ``_block`` and ``_blocks``, the number of blocks in the row's group."""
     if group is None:
-        n = max(1, -(-df.count() // block_rows))
-        counted = df.withColumn("_blocks", F.lit(n))
+        counted = df.withColumn("_blocks", F.lit(blocks_for(df.count(), block_rows)))
     else:
-        sizes = df.groupBy(group).agg(F.count("*").alias("_n")).select(
-            group, size.alias("_blocks")
-        )
-        counted = salted_join(df, sizes, [group], salt_by=[key])
-    block = F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
-    return counted.withColumn("_block", block)
+        n = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
+        sizes = df.groupBy(group).agg(n.alias("_blocks"))
+        counted = salted_join(df, sizes, [group], salt_by=["item"])
+    return counted.withColumn("_block", block_of("item", F.col("_blocks")))
 
 
 def top_neighbours(
@@ -62,7 +66,7 @@ def top_neighbours(
     same group meet. A later step keeps the best of all block pairs.
     """
     item_type = unit_vectors.schema["item"].dataType
-    blocked = with_blocks(unit_vectors, "item", block_rows, group)
+    blocked = _with_blocks(unit_vectors, block_rows, group)
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     keys = [*([group] if group else []), "_low", "_high"]
     paired = blocked.select(*blocked.columns, other).select(

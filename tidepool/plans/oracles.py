@@ -197,6 +197,9 @@ PARTS: dict[str, str] = {
     SELECT name, kind, unnest(CASE WHEN kind = 'sparse' THEN [text_value] ELSE counted END) AS value
     FROM typed WHERE kind IN ('sparse', 'embedding')""",
     "positives": "SELECT DISTINCT ad_id, item_no FROM numbered",
+    "unowned": f"""
+    SELECT ad_id, list_filter(range(1, {ACTIVE_CAP + 1}), lambda x: NOT list_contains(own, x)) AS free
+    FROM (SELECT ad_id, list(item_no) AS own FROM positives GROUP BY ad_id)""",
     "labelled": """
     SELECT ad_id, concat_ws(':', ad_id, CAST(ts AS VARCHAR), CAST(item_no AS VARCHAR)) AS row_id,
            item_no, dt FROM numbered""",
@@ -237,12 +240,20 @@ PARTS: dict[str, str] = {
 def _negatives(rows: str, per_row: int, attempts: int = 8) -> str:
     draw = _draw(ACTIVE_CAP, "ad_id", "row_id", "draw", "attempt", "0")
     return f"""
-    SELECT ad_id, row_id, item_no, draw, min_by(item, attempt) AS negative
-    FROM (SELECT t.*, {draw} + 1 AS item
-          FROM (SELECT ad_id, row_id, item_no, g.draw, a.attempt
-                FROM {rows}, range({per_row}) g(draw), range({attempts}) a(attempt)) t) c
-    WHERE NOT EXISTS (SELECT 1 FROM positives p WHERE p.ad_id = c.ad_id AND p.item_no = c.item)
-    GROUP BY ad_id, row_id, item_no, draw"""
+    SELECT ad_id, row_id, item_no, draw, negative
+    FROM (SELECT c.ad_id, c.row_id, c.item_no, c.draw,
+                 coalesce(min_by(c.item, c.attempt) FILTER (
+                              WHERE c.attempt < {attempts} AND NOT list_contains(o.own, c.item)),
+                          any_value(r.free[CAST(c.item % greatest(len(r.free), 1) AS INTEGER) + 1])
+                              FILTER (WHERE c.attempt = {attempts})) AS negative
+          FROM (SELECT t.*, {draw} + 1 AS item
+                FROM (SELECT ad_id, row_id, item_no, g.draw, a.attempt
+                      FROM {rows}, range({per_row}) g(draw), range({attempts + 1}) a(attempt)) t) c
+          JOIN (SELECT ad_id, list(item_no) AS own FROM positives GROUP BY ad_id) o
+            ON c.ad_id = o.ad_id
+          JOIN unowned r ON c.ad_id = r.ad_id
+          GROUP BY ALL)
+    WHERE negative IS NOT NULL"""
 
 
 PARTS["month_negatives"] = _negatives("month", 1)

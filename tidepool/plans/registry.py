@@ -15,7 +15,7 @@ from tidepool.operators import (
 )
 from tidepool.plans import reports as R, views
 from tidepool.plans.views import ACTIVE_CAP, AS_OF, CATALOGS, DENIED, STORES
-from tidepool.shared import scratch_path
+from tidepool.shared import cut_lineage, scratch_path
 from tidepool.sources import scripts, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -505,12 +505,13 @@ VECTOR_SIZE = 64
 
 
 def _scored_inputs(spark, sf_dir):
-    samples = views.month_samples(spark, sf_dir)
+    """Samples, user vectors and item vectors; each is used several times, so kept once computed."""
     lists = [C.parse_int_list(F.col(name)).alias(name) for name in E.LISTS]
-    examples = samples.select("row_id", "ad_id", "item_no", *lists)
+    samples = views.month_samples(spark, sf_dir)
+    examples = cut_lineage(samples.select("row_id", "ad_id", "item_no", *lists))
     vectors = views.item_vectors(spark, sf_dir)
     users = E.user_vectors(examples.select("row_id", *E.LISTS), vectors, VECTOR_SIZE)
-    return examples, users, E.candidate_vectors(vectors)
+    return examples, cut_lineage(users), E.candidate_vectors(vectors)
 
 
 @query
