@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The shape of a full item id, and what is kept of it.
@@ -23,7 +21,7 @@ def category_of(item_id: Column) -> Column:
 
 def first_of(data: Column, key: str) -> Column:
     """First value listed under ``key``; NULL when the key or the value is missing."""
-    return F.get(F.element_at(data, F.lit(key)), 0)
+    return F.get(data[key], 0)
 
 
 def least_strict(value: Column, bound: float) -> Column:
@@ -58,17 +56,25 @@ def json_object(text: Column) -> Column:
     return F.from_json(text, "map<string,variant>")
 
 
-def merge_objects(left: Column, right: Column) -> Column:
-    """Both maps in one; for a name in both the right value stays."""
-    only_left = F.map_filter(left, lambda name, _: ~F.map_contains_key(right, name))
-    return F.map_concat(only_left, right)
+def merge_objects(*objects: Column) -> Column:
+    """Maps in one; for a name in several the value of the last stays. NULL maps are skipped."""
+    entries = F.flatten(F.array_compact(F.array(*[F.map_entries(o) for o in objects])))
+    # Every object is read once into the list; a name's last place in the list is the one kept.
+    def last_only(all_entries: Column) -> Column:
+        names = F.transform(all_entries, lambda e: e["key"])
+        numbered = F.transform(all_entries, lambda e, i: F.struct(e.alias("e"), i.alias("i")))
+        last = F.filter(
+            numbered, lambda n: ~F.array_contains(F.slice(names, n["i"] + 2, F.size(names)),
+                                                  n["e"]["key"])
+        )
+        return F.map_from_entries(F.transform(last, lambda n: n["e"]))
+
+    return F.transform(F.array(entries), last_only)[0]
 
 
 def merge_json(*texts: Column) -> Column:
     """JSON objects merged from left to right into one JSON object; NULL ones are skipped."""
-    empty = json_object(F.lit("{}"))
-    objects = [F.coalesce(json_object(text), empty) for text in texts]
-    return F.to_json(reduce(merge_objects, objects))
+    return F.to_json(merge_objects(*[json_object(text) for text in texts]))
 
 
 def add_prefix(entries: Column, prefix: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidepool.functions.columns import json_object, merge_json, merge_objects
+from tidepool.functions.columns import json_object, merge_json
 from tidepool.functions.dates import in_window, shift_day
 from tidepool.operators.behaviours import CART, VIEW
 from tidepool.operators.joins import salted_join
@@ -139,46 +139,50 @@ def typed_features(df: DataFrame, config: DataFrame, keys: Sequence[str]) -> Dat
     labels = {"label": "label", "ctr_label": "label"}
     if "cvr_label" in df.columns:
         labels["cvr_label"] = "cvr_label"
-    label_object = json_object(
-        F.to_json(F.struct(*[F.col(column).alias(name) for name, column in labels.items()]))
+    label_entries = F.create_map(*[
+        part for name, column in labels.items()
+        for part in (F.lit(name), F.col(column).cast("double").cast("variant"))
+    ])
+    document = F.map_filter(json_object(F.col("features")), lambda name, _: ~name.isin(*labels))
+    entries = F.coalesce(F.map_concat(document, label_entries), label_entries)
+    # The map is made inside the generator: as a column of its own it would be made twice,
+    # once more for the check that it is not empty.
+    long = df.withColumn("label", F.col("label").cast("double")).select(
+        *keys, "label", F.explode(entries).alias("name", "value")
+    )
+    # The catalogue is configuration: some hundred names. The type is found out once per
+    # value; as the output of a generator it is not worked out again where it is tested.
+    known = long.join(F.broadcast(config), "name").select(
+        "*", F.explode(F.array(F.schema_of_variant("value"))).alias("type")
     )
-    entries = merge_objects(F.coalesce(json_object(F.col("features")), json_object(F.lit("{}"))),
-                            label_object)
-    merged = df.withColumn("_entries", entries).withColumn("label", F.col("label").cast("double"))
-    long = merged.select(*keys, "label", F.explode("_entries").alias("name", "value"))
-    # The catalogue is configuration: some hundred names.
-    known = long.join(F.broadcast(config), "name").withColumn("type", F.schema_of_variant("value"))
 
     kind, type_ = F.col("kind"), F.col("type")
 
     def as_(sql_type: str) -> Column:
         return F.try_variant_get("value", "$", sql_type)
 
-    integer = type_ == "BIGINT"
+    integer, text = type_ == "BIGINT", type_ == "STRING"
     number = integer | (type_ == "DOUBLE") | type_.startswith("DECIMAL")
-    text = type_ == "STRING"
-    numeric = F.when(number, as_("double")).when(text, as_("string").try_cast("double"))
-    listed = type_.startswith("ARRAY<") & (F.size(as_("array<variant>")) > 0)
-    mapped = type_.startswith("OBJECT<") & (type_ != "OBJECT<>")
-    weights = as_("map<string,double>")
-    typed = known.select(
+    is_number = kind.isin("dense", "labels")
+    is_list, is_map = kind == "embedding", kind == "weighted_embedding"
+    fits = (
+        ((kind == "sparse") & (integer | text))
+        | (is_number & (number | (text & as_("double").isNotNull())))
+        | (is_list & type_.startswith("ARRAY<") & (type_ != "ARRAY<VOID>"))
+        | (is_map & type_.startswith("OBJECT<") & (type_ != "OBJECT<>"))
+    )
+    values = F.when(is_list, as_("array<string>"))
+    return known.filter(fits).select(
         *keys,
         "label",
         "name",
         "kind",
-        F.when((kind == "sparse") & (integer | text), as_("string")).alias("text_value"),
-        F.when(kind.isin("dense", "labels"), numeric).alias("number_value"),
-        F.when((kind == "embedding") & type_.isin("ARRAY<BIGINT>", "ARRAY<STRING>"),
-               as_("array<string>")).alias("text_values"),
-        F.when((kind == "embedding") & listed, as_("array<string>")).alias("counted_values"),
-        F.when((kind == "weighted_embedding") & mapped, weights).alias("weights"),
+        F.when(kind == "sparse", as_("string")).alias("text_value"),
+        F.when(is_number, as_("double")).alias("number_value"),
+        F.when(type_.isin("ARRAY<BIGINT>", "ARRAY<STRING>"), values).alias("text_values"),
+        values.alias("counted_values"),
+        F.when(is_map, as_("map<string,double>")).alias("weights"),
     )
-    present = F.coalesce(
-        F.col("text_value").isNotNull() | F.col("number_value").isNotNull()
-        | F.col("counted_values").isNotNull() | F.col("weights").isNotNull(),
-        F.lit(False),
-    )
-    return typed.filter(present)
 
 
 def _dense_aggregates(value: str) -> list[Column]:
@@ -223,8 +227,9 @@ def category_stats(typed: DataFrame) -> DataFrame:
 
 def weighted_stats(typed: DataFrame) -> DataFrame:
     """The statistics of a dense feature for every key of a weighted feature."""
-    pairs = typed.filter(F.col("kind") == "weighted_embedding").select(
-        "name", "label", F.explode("weights").alias("key", "weight")
+    weighted = F.col("kind") == "weighted_embedding"
+    pairs = typed.filter(weighted).select(
+        "name", "label", F.explode(F.when(weighted, F.col("weights"))).alias("key", "weight")
     )
     return pairs.groupBy("name", "key").agg(*_dense_aggregates("weight"))
 

@@ -35,6 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores when the files give fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def micros(name: str) -> Column:
     """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
     ts = F.col(name).cast("timestamp_ntz")
@@ -59,9 +65,10 @@ def _item_of(k: Column) -> Column:
 
 
 def _logged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    k2 = (k + 7) % 100
+    events = spread(table(spark, sf_dir, "events")).withColumn(
+        "k", F.get_json_object("props", "$.k").cast("bigint")
+    )
+    k, k2 = F.col("k"), (F.col("k") + 7) % 100
     one = F.concat(F.lit("9:"), _item_of(k))
     both = F.concat(one, F.lit(", 9:"), _item_of(k2))
     kind = F.col("event_type")
@@ -194,8 +201,10 @@ def behaviour_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feature document per event, with values of every kind and some of wrong types."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    k2 = (k + 7) % 100
+    events = spread(table(spark, sf_dir, "events")).withColumn(
+        "k", F.get_json_object("props", "$.k").cast("bigint")
+    )
+    k, k2 = F.col("k"), (F.col("k") + 7) % 100
     category = F.concat(F.lit("c"), (k % 10).cast("string"))
     document = F.struct(
         F.col("value").alias("value"),
@@ -212,7 +221,7 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("empty"),
         F.lit("x").alias("not_in_catalogue"),
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         F.to_json(document).alias("features"),
         F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("label"),
