@@ -57,6 +57,11 @@ def dense_index(df: DataFrame, column: str, name: str, start: int = 0) -> DataFr
     return number_rows(values, [F.asc(column)], name, start)
 
 
+def zero_based(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers that count from 1 as numbers that count from 0."""
+    return df.withColumns({name: F.col(name) - 1 for name in columns})
+
+
 def is_contiguous(index: DataFrame, name: str, start: int = 0) -> bool:
     """Whether the numbers are ``start, start+1, ...`` without gap or repeat."""
     low, high, n, distinct = index.agg(

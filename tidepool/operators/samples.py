@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -108,22 +107,19 @@ def sample_negatives(
         "draw", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1)))
     )
 
-    def attempt(number: int) -> Column:
+    def attempt(number: Column) -> Column:
         return hash_draw(n_items, F.col("ad_id"), F.col(row_id), F.col("draw"), number, seed) + 1
 
-    def free(item: Column) -> Column:
-        return ~F.array_contains("_own", item)
-
-    remaining = F.array_except(F.sequence(F.lit(1).cast("bigint"), F.lit(n_items).cast("bigint")),
-                               F.col("_own"))
-    left_over = F.get(
-        remaining, F.pmod(attempt(attempts), F.greatest(F.size(remaining), F.lit(1))).cast("int")
-    )
-    choice = reduce(
-        lambda cases, number: cases.when(free(attempt(number)), attempt(number)),
-        range(1, attempts),
-        F.when(free(attempt(0)), attempt(0)),
-    ).otherwise(left_over)
+    tries = F.transform(F.sequence(F.lit(0), F.lit(attempts - 1)), attempt)
+    free = F.filter(tries, lambda item: ~F.array_contains("_own", item))
+    every_item = F.sequence(F.lit(1).cast("bigint"), F.lit(n_items).cast("bigint"))
+    left_over = F.transform(
+        F.array(F.array_except(every_item, F.col("_own"))),
+        lambda rest: F.get(
+            rest, F.pmod(attempt(F.lit(attempts)), F.greatest(F.size(rest), F.lit(1))).cast("int")
+        ),
+    )[0]
+    choice = F.coalesce(F.get(free, 0), left_over)
     return drawn.withColumn("negative", choice).filter(F.col("negative").isNotNull()).drop("_own")
 
 

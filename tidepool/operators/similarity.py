@@ -42,6 +42,15 @@ def blocks_for(rows: int, block_rows: int) -> int:
     return max(1, -(-rows // block_rows))
 
 
+def over_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Groups dealt over all cores: their work grows faster than their bytes, which is all
+    that Spark looks at when it merges small partitions."""
+    spark = df.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
 def _with_blocks(df: DataFrame, block_rows: int, group: str | None) -> DataFrame:
     """Adds ``_block`` and ``_blocks``, the number of blocks in the row's group."""
     if group is None:
@@ -105,7 +114,7 @@ def top_neighbours(
         T.StructField("neighbour", item_type),
         T.StructField("score", T.DoubleType()),
     ])
-    return paired.groupBy(*keys).applyInPandas(best, schema)
+    return over_cores(paired, *keys).groupBy(*keys).applyInPandas(best, schema)
 
 
 def keep_top(pairs: DataFrame, k: int) -> DataFrame:
@@ -138,7 +147,7 @@ def lsh_topk(
     vectors: DataFrame,
     k: int = 10,
     tables: int = 10,
-    bucket: float = 1.0,
+    bucket: float = 0.25,
     seed: int = 0,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:

@@ -48,6 +48,10 @@ def _texts(df: DataFrame) -> DataFrame:
     ])
 
 
+def _features(spark, sf_dir):
+    return Q.user_features(*views.daily(spark, sf_dir), AS_OF)
+
+
 # Tables and files
 
 @query
@@ -67,7 +71,7 @@ def scan_dimension(spark, sf_dir):
 @query
 def delimited_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "features")
-    rows = views.features(spark, sf_dir)
+    rows = _features(spark, sf_dir)
     tables.write_delimited(rows, path)
     return tables.read_delimited(spark, path, rows.schema)
 
@@ -97,7 +101,7 @@ def ctas_partitioned(spark, sf_dir):
 def export_by_day(spark, sf_dir):
     path = scratch_path(spark, "export")
     tables.export_by_day(views.impressions(spark, sf_dir), path, *window_dates(AS_OF, -7, -1))
-    return tables.read_delimited(spark, path, schemas.IMPRESSIONS)
+    return tables.read_delimited(spark, path, schemas.IMPRESSIONS, by=["dt"])
 
 
 @query
@@ -142,7 +146,7 @@ def active_items(spark, sf_dir):
 
 @query
 def stable_item_index(spark, sf_dir):
-    rows = views.behaviours(spark, sf_dir)
+    rows = cut_lineage(views.behaviours(spark, sf_dir))
     none = spark.createDataFrame([], schemas.ITEM_INDEX)
     earlier = rows.filter(F.col("dt") == shift_day(AS_OF, -10))
     previous = I.stable_item_index(none, earlier, shift_day(AS_OF, -1))
@@ -157,22 +161,18 @@ def dense_index(spark, sf_dir):
 
 @query
 def user_features(spark, sf_dir):
-    return views.features(spark, sf_dir)
+    return _features(spark, sf_dir)
 
 
 @query
 def backfill_user_features(spark, sf_dir):
     days = [shift_day(AS_OF, -n) for n in range(7)]
-    return Q.backfill_user_features(
-        views.behaviours(spark, sf_dir), views.active(spark, sf_dir), days
-    )
+    return Q.backfill_user_features(*views.daily(spark, sf_dir), days)
 
 
 @query
 def user_sessions(spark, sf_dir):
-    return _texts(Q.user_sessions(
-        views.behaviours(spark, sf_dir), views.active(spark, sf_dir), DAY
-    ))
+    return _texts(Q.user_sessions(*views.daily(spark, sf_dir), DAY))
 
 
 @query
@@ -192,9 +192,7 @@ def user_category_sequences(spark, sf_dir):
 
 @query
 def user_positives(spark, sf_dir):
-    return Q.user_positives(views.behaviours(spark, sf_dir), views.active(spark, sf_dir)).drop(
-        "items"
-    )
+    return Q.user_positives(*views.daily(spark, sf_dir)).drop("items")
 
 
 # Samples
@@ -202,7 +200,7 @@ def user_positives(spark, sf_dir):
 @query
 def min_length_filter(spark, sf_dir):
     items = F.split("item_seq", ",")
-    return views.features(spark, sf_dir).select(
+    return _features(spark, sf_dir).select(
         "ad_id",
         C.min_length(items, 5).cast("int").alias("five"),
         C.min_length(items, 6, distinct=True).cast("int").alias("six_different"),
@@ -210,10 +208,8 @@ def min_length_filter(spark, sf_dir):
 
 
 def _train_sample(spark, sf_dir):
-    return S.train_sample(
-        views.behaviours(spark, sf_dir), views.active(spark, sf_dir),
-        views.features(spark, sf_dir, DAY), DAY,
-    )
+    rows, items = views.daily(spark, sf_dir)
+    return S.train_sample(rows, items, Q.user_features(rows, items, DAY), DAY)
 
 
 @query
@@ -223,7 +219,7 @@ def train_sample(spark, sf_dir):
 
 @query
 def train_sample_conversions(spark, sf_dir):
-    rows, items = views.behaviours(spark, sf_dir), views.active(spark, sf_dir)
+    rows, items = views.daily(spark, sf_dir)
     sessions = Q.user_sessions(rows, items, shift_day(DAY, -1))
     return _texts(S.train_sample_conversions(rows, items, sessions, DAY, min_items=2))
 
@@ -242,15 +238,12 @@ def negative_downsample(spark, sf_dir):
     ).select("ots", "click")
 
 
-def _negatives(spark, sf_dir):
-    rows = views.labelled_rows(spark, sf_dir)
-    positives = Q.user_positives(views.behaviours(spark, sf_dir), views.active(spark, sf_dir))
-    return rows, S.sample_negatives(rows, positives, ACTIVE_CAP)
-
-
 @query
 def negative_sampling(spark, sf_dir):
-    _, negatives = _negatives(spark, sf_dir)
+    rows, items = views.daily(spark, sf_dir)
+    negatives = S.sample_negatives(
+        views.labelled_rows(rows, items), Q.user_positives(rows, items), ACTIVE_CAP
+    )
     return negatives.select("ad_id", "row_id", "item_no", "draw", "negative")
 
 
@@ -493,7 +486,7 @@ def skipgram_topk(spark, sf_dir):
 
 @query
 def user_category_clusters(spark, sf_dir):
-    rows = views.events(spark, sf_dir)
+    rows = cut_lineage(views.events(spark, sf_dir))
     category = C.category_of(F.col("item_id")).alias("category")
     counts = rows.groupBy(category).agg(F.count("*").alias("counts"))
     return M.user_clusters(rows, counts)
@@ -504,10 +497,10 @@ def user_category_clusters(spark, sf_dir):
 VECTOR_SIZE = 64
 
 
-def _scored_inputs(spark, sf_dir):
+def _scored_inputs(spark, sf_dir, rows, items):
     """Samples, user vectors and item vectors; each is used several times, so kept once computed."""
     lists = [C.parse_int_list(F.col(name)).alias(name) for name in E.LISTS]
-    samples = views.month_samples(spark, sf_dir)
+    samples = views.month_samples(rows, items)
     examples = cut_lineage(samples.select("row_id", "ad_id", "item_no", *lists))
     vectors = views.item_vectors(spark, sf_dir)
     users = E.user_vectors(examples.select("row_id", *E.LISTS), vectors, VECTOR_SIZE)
@@ -516,23 +509,25 @@ def _scored_inputs(spark, sf_dir):
 
 @query
 def user_item_scores(spark, sf_dir):
-    examples, users, candidates = _scored_inputs(spark, sf_dir)
+    inputs = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
+    examples, users, candidates = inputs
     pairs = examples.select("row_id", F.col("item_no").alias("item"))
     return _rounded(E.score_pairs(pairs, users, candidates))
 
 
 @query
 def hit_rate(spark, sf_dir):
-    examples, users, candidates = _scored_inputs(spark, sf_dir)
+    inputs = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
+    examples, users, candidates = inputs
     targets = examples.select("row_id", F.col("item_no").alias("target"))
     return _rounded(E.hit_rate(E.target_ranks(targets, users, candidates)))
 
 
 def _labelled_scores(spark, sf_dir):
-    examples, users, candidates = _scored_inputs(spark, sf_dir)
-    positives = Q.user_positives(views.behaviours(spark, sf_dir), views.active(spark, sf_dir))
+    behaviours, items = views.daily(spark, sf_dir)
+    examples, users, candidates = _scored_inputs(spark, sf_dir, behaviours, items)
     rows = examples.select("ad_id", "row_id", "item_no")
-    negatives = S.sample_negatives(rows, positives, ACTIVE_CAP, per_row=1)
+    negatives = S.sample_negatives(rows, Q.user_positives(behaviours, items), ACTIVE_CAP, per_row=1)
     pairs = S.labelled_pairs(rows, negatives, "row_id", "item_no").select(
         "row_id", F.col("item_no").alias("item"), "label"
     )

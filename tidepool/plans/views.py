@@ -13,8 +13,9 @@ from tidepool.operators.features import feature_config, impression_items, user_b
 from tidepool.operators.items import active_items
 from tidepool.operators.joins import join_next_day
 from tidepool.operators.sequences import (
-    backfill_user_features, number_items, user_behaviour_arrays, user_features,
+    backfill_user_features, number_items, user_behaviour_arrays,
 )
+from tidepool.shared import cut_lineage
 
 AS_OF = "2024-01-16"
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
@@ -129,8 +130,10 @@ def active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_items(behaviours(spark, sf_dir), AS_OF, cap=ACTIVE_CAP)
 
 
-def features(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    return user_features(behaviours(spark, sf_dir), active(spark, sf_dir), as_of)
+def daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Behaviours and active items as the stored tables that the later jobs of a day read."""
+    rows = cut_lineage(behaviours(spark, sf_dir))
+    return rows, cut_lineage(active_items(rows, AS_OF, cap=ACTIVE_CAP))
 
 
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,10 +258,9 @@ def _run_days() -> list[str]:
     return [(first + timedelta(days=n + 1)).isoformat() for n in range((last - first).days + 1)]
 
 
-def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_rows(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Every behaviour of the month on an active item, with an id of its own."""
-    numbered = number_items(behaviours(spark, sf_dir), active(spark, sf_dir))
-    return numbered.select(
+    return number_items(rows, items).select(
         "ad_id",
         F.concat_ws(":", "ad_id", F.col("ts").cast("string"), F.col("item_no").cast("string"))
         .alias("row_id"),
@@ -267,12 +269,10 @@ def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def month_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def month_samples(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Every behaviour of the month with the user's features of the day before."""
-    daily = backfill_user_features(
-        behaviours(spark, sf_dir), active(spark, sf_dir), _run_days()
-    )
-    enough = daily.filter((F.size(F.split("item_seq", ",")) >= 5) | (F.col("part") > 0))
-    return join_next_day(labelled_rows(spark, sf_dir), enough)
+    features = backfill_user_features(rows, items, _run_days())
+    enough = features.filter((F.size(F.split("item_seq", ",")) >= 5) | (F.col("part") > 0))
+    return join_next_day(labelled_rows(rows, items), enough)
 
 
