@@ -179,10 +179,10 @@ def test_ranks_and_hit_rate(spark):
     users, items = rng.normal(size=(50, 6)), rng.normal(size=(90, 6))
     items[10:40] = items[10]
     targets = rng.integers(0, 95, size=50)
-    rows_ = spark.createDataFrame([(f"r{i}", int(t)) for i, t in enumerate(targets)],
-                                  "row_id string, target bigint")
+    targets_df = spark.createDataFrame([(f"r{i}", int(t)) for i, t in enumerate(targets)],
+                                       "profile string, target bigint")
     user_df = spark.createDataFrame([(f"r{i}", v.tolist()) for i, v in enumerate(users)],
-                                    "row_id string, vector array<double>")
+                                    "profile string, vector array<double>")
     scores = np.round(users @ items.T, E.DIGITS)
     expected = {}
     for i, t in enumerate(targets):
@@ -190,17 +190,41 @@ def test_ranks_and_hit_rate(spark):
         expected[f"r{i}"] = None if own is None else 1 + sum(
             (s > own) or (s == own and j < t) for j, s in enumerate(scores[i]) if j != t)
     for block_rows in (11, 1000):
-        ranks = E.target_ranks(rows_, user_df, vectors(spark, items), block_rows)
-        assert {r.row_id: r.rank for r in ranks.collect()} == expected
+        ranks = E.target_ranks(targets_df, user_df, vectors(spark, items), block_rows)
+        assert {r.profile: r.rank for r in ranks.collect()} == expected
     long = spark.createDataFrame(
         [(f"r{i}", j, float(scores[i, j])) for i in range(50) for j in range(90)],
         "row_id string, item bigint, score double")
-    given = E.ranks_from_scores(long, rows_)
+    given = E.ranks_from_scores(long, targets_df.withColumnRenamed("profile", "row_id"))
     assert {r.row_id: r.rank for r in given.collect()} == expected
     result = E.hit_rate(ranks, ks=(1, 10, 500)).first()
     assert result.records == 50 and result.hr_1 <= result.hr_10 <= result.hr_500
     assert result.hr_500 == pytest.approx(np.mean([e is not None for e in expected.values()]))
-    assert E.hit_rate(ranks, limit=7).first().records == 7
+    assert E.hit_rate(given, limit=7).first().records == 7
+    twice = E.hit_rate(ranks.withColumn("n", F.lit(2)), ks=(1, 10, 500), weight="n").first()
+    assert twice.records == 100 and twice.hr_10 == result.hr_10
+
+
+def test_user_vectors_and_scores(spark):
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(9, 4))
+    profiles = spark.createDataFrame(
+        [("p", [1, 2, 2], [], [3]), ("p", [4], [], []), ("q", [], [8, 99], [])],
+        "profile string, item_seq array<bigint>, item_car array<bigint>, item_purchase array<bigint>")
+    vecs = vectors(spark, items)
+    users = E.user_vectors(profiles, vecs, 4)
+    found = {r.profile: np.array(r.vector) for r in users.collect()}
+    zero = np.zeros(4)
+    expected = {"p": np.concatenate([items[[1, 2, 2, 4]].mean(axis=0), zero, items[3]]),
+                "q": np.concatenate([zero, items[8], zero])}
+    for key, vector in expected.items():
+        np.testing.assert_allclose(found[key], vector, atol=1e-12)
+    pairs = spark.createDataFrame([("p", 0), ("p", 0), ("q", 5)], "profile string, item bigint")
+    scored = E.score_pairs(pairs, users, E.candidate_vectors(vecs)).collect()
+    assert len(scored) == 3
+    for r in scored:
+        logit = expected[r.profile] @ np.tile(items[r.item], 3)
+        assert r.logit == pytest.approx(logit) and r.score == pytest.approx(1 / (1 + np.exp(-logit)))
 
 
 def test_auc_with_ties(spark):

@@ -128,12 +128,14 @@ def pair_triples(negatives: DataFrame, target: str) -> DataFrame:
     return negatives.select("ad_id", F.col(target).alias("positive"), "negative")
 
 
-def labelled_pairs(rows: DataFrame, negatives: DataFrame, row_id: str, target: str) -> DataFrame:
+def labelled_pairs(
+    rows: DataFrame, negatives: DataFrame, carried: Sequence[str], target: str
+) -> DataFrame:
     """Positives with label 1 and their negatives with label 0, in one table."""
     seen = rows.select(
-        "ad_id", row_id, F.col(target).cast("bigint").alias("item_no"), F.lit(1).alias("label")
+        "ad_id", *carried, F.col(target).cast("bigint").alias("item_no"), F.lit(1).alias("label")
     )
     unseen = negatives.select(
-        "ad_id", row_id, F.col("negative").alias("item_no"), F.lit(0).alias("label")
+        "ad_id", *carried, F.col("negative").alias("item_no"), F.lit(0).alias("label")
     )
     return seen.unionByName(unseen)

@@ -499,37 +499,37 @@ VECTOR_SIZE = 64
 
 def _scored_inputs(spark, sf_dir, rows, items):
     """Samples, user vectors and item vectors; each is used several times, so kept once computed."""
-    lists = [C.parse_int_list(F.col(name)).alias(name) for name in E.LISTS]
-    samples = views.month_samples(rows, items)
-    examples = cut_lineage(samples.select("row_id", "ad_id", "item_no", *lists))
+    profiles = cut_lineage(views.month_profiles(rows, items))
+    samples = cut_lineage(views.month_samples(rows, items, profiles))
     vectors = views.item_vectors(spark, sf_dir)
-    users = E.user_vectors(examples.select("row_id", *E.LISTS), vectors, VECTOR_SIZE)
-    return examples, cut_lineage(users), E.candidate_vectors(vectors)
+    users = cut_lineage(E.user_vectors(profiles, vectors, VECTOR_SIZE))
+    return samples, users, E.candidate_vectors(vectors)
 
 
 @query
 def user_item_scores(spark, sf_dir):
-    inputs = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
-    examples, users, candidates = inputs
-    pairs = examples.select("row_id", F.col("item_no").alias("item"))
-    return _rounded(E.score_pairs(pairs, users, candidates))
+    samples, users, candidates = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
+    pairs = samples.select("row_id", "profile", F.col("item_no").alias("item"))
+    return _rounded(E.score_pairs(pairs, users, candidates)).drop("profile")
 
 
 @query
 def hit_rate(spark, sf_dir):
-    inputs = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
-    examples, users, candidates = inputs
-    targets = examples.select("row_id", F.col("item_no").alias("target"))
-    return _rounded(E.hit_rate(E.target_ranks(targets, users, candidates)))
+    samples, users, candidates = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
+    pairs = samples.groupBy("profile", F.col("item_no").alias("target")).agg(
+        F.count("*").alias("n")
+    )
+    ranks = E.target_ranks(pairs.select("profile", "target"), users, candidates)
+    return _rounded(E.hit_rate(ranks.join(pairs, ["profile", "target"]), weight="n"))
 
 
 def _labelled_scores(spark, sf_dir):
     behaviours, items = views.daily(spark, sf_dir)
-    examples, users, candidates = _scored_inputs(spark, sf_dir, behaviours, items)
-    rows = examples.select("ad_id", "row_id", "item_no")
+    samples, users, candidates = _scored_inputs(spark, sf_dir, behaviours, items)
+    rows = samples.select("ad_id", "row_id", "profile", "item_no")
     negatives = S.sample_negatives(rows, Q.user_positives(behaviours, items), ACTIVE_CAP, per_row=1)
-    pairs = S.labelled_pairs(rows, negatives, "row_id", "item_no").select(
-        "row_id", F.col("item_no").alias("item"), "label"
+    pairs = S.labelled_pairs(rows, negatives, ["row_id", "profile"], "item_no").select(
+        "profile", F.col("item_no").alias("item"), "label"
     )
     return E.score_pairs(pairs, users, candidates)
 

@@ -6,9 +6,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidepool.functions.columns import parse_int_list
 from tidepool.operators.behaviours import (
     DENIED_IDS, EVENT_PREFIX, item_events, to_behaviours,
 )
+from tidepool.operators.evaluate import LISTS
 from tidepool.operators.features import feature_config, impression_items, user_behaviour_json
 from tidepool.operators.items import active_items
 from tidepool.operators.joins import join_next_day
@@ -269,10 +271,19 @@ def labelled_rows(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def month_samples(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """Every behaviour of the month with the user's features of the day before."""
+def month_profiles(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The features of every user and day of the month with five items or more."""
     features = backfill_user_features(rows, items, _run_days())
     enough = features.filter((F.size(F.split("item_seq", ",")) >= 5) | (F.col("part") > 0))
-    return join_next_day(labelled_rows(rows, items), enough)
+    lists = [parse_int_list(F.col(name)).alias(name) for name in LISTS]
+    return enough.select(
+        "ad_id", "dt", F.concat_ws(":", "ad_id", "dt").alias("profile"), *lists
+    )
+
+
+def month_samples(rows: DataFrame, items: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Every behaviour of the month with the user's profile of the day before, by its id."""
+    known = profiles.select("ad_id", "dt", "profile").distinct()
+    return join_next_day(labelled_rows(rows, items), known)
 
 
