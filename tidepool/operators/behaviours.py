@@ -68,17 +68,19 @@ def item_events_json(
     names: Sequence[str] = tuple(EVENT_CODES),
 ) -> DataFrame:
     """As :func:`item_events`, from a log with one JSON text per row (column ``row``)."""
-    def field(path: str) -> Column:
-        return F.get_json_object("row", path)
-
-    events = raw.filter(
-        field("$._m").isin(*[EVENT_PREFIX + name for name in names])
-        & field("$._d.StoreId").isin(*stores)
-    ).select(
-        field("$._u").alias("ad_id"),
-        F.get_json_object(field("$._d.PartnerParameters"), "$.content_id").alias("items"),
-        F.replace(field("$._m"), F.lit(EVENT_PREFIX), F.lit("")).alias("behavior_name"),
-        field("$.timestamp").try_cast("bigint").alias("ts"),
+    # Each text is parsed once for all its fields; rows of other kinds leave before the next one.
+    kinds = raw.select(
+        "dt", F.json_tuple("row", "_u", "_m", "timestamp", "_d").alias("ad_id", "event", "ts", "d")
+    ).filter(F.col("event").isin(*[EVENT_PREFIX + name for name in names]))
+    ours = kinds.select(
+        "dt", "ad_id", "event", "ts",
+        F.json_tuple("d", "StoreId", "PartnerParameters").alias("store", "parameters"),
+    ).filter(F.col("store").isin(*stores))
+    events = ours.select(
+        "ad_id",
+        F.get_json_object("parameters", "$.content_id").alias("items"),
+        F.replace("event", F.lit(EVENT_PREFIX), F.lit("")).alias("behavior_name"),
+        F.col("ts").try_cast("bigint").alias("ts"),
         "dt",
     )
     return _item_rows(events, denied_ids)

@@ -110,8 +110,15 @@ def sample_negatives(
     def attempt(number: Column) -> Column:
         return hash_draw(n_items, F.col("ad_id"), F.col(row_id), F.col("draw"), number, seed) + 1
 
-    tries = F.transform(F.sequence(F.lit(0), F.lit(attempts - 1)), attempt)
-    free = F.filter(tries, lambda item: ~F.array_contains("_own", item))
+    def if_free(number: Column) -> Column:
+        found = F.filter(F.array(attempt(number)), lambda item: ~F.array_contains("_own", item))
+        return F.get(found, 0)
+
+    # Nothing more is drawn for a row once an item is found.
+    free = F.aggregate(
+        F.sequence(F.lit(0), F.lit(attempts - 1)), F.lit(None).cast("bigint"),
+        lambda found, number: F.coalesce(found, if_free(number)),
+    )
     every_item = F.sequence(F.lit(1).cast("bigint"), F.lit(n_items).cast("bigint"))
     left_over = F.transform(
         F.array(F.array_except(every_item, F.col("_own"))),
@@ -119,7 +126,7 @@ def sample_negatives(
             rest, F.pmod(attempt(F.lit(attempts)), F.greatest(F.size(rest), F.lit(1))).cast("int")
         ),
     )[0]
-    choice = F.coalesce(F.get(free, 0), left_over)
+    choice = F.coalesce(free, left_over)
     return drawn.withColumn("negative", choice).filter(F.col("negative").isNotNull()).drop("_own")
 
 

@@ -130,10 +130,11 @@ def keep_top(pairs: DataFrame, k: int) -> DataFrame:
 def unit_vectors(vectors: DataFrame) -> DataFrame:
     """``item, vector`` scaled to length 1; vectors of length 0 have no direction and drop out."""
     length = norm(F.col("vector"))
-    return vectors.withColumn("_length", length).filter(F.col("_length") > 0).select(
-        "item",
-        F.transform("vector", lambda x: x.cast("double") / F.col("_length")).alias("vector"),
-    )
+    # The length is bound once per vector here; as a column it would be worked out per number.
+    scaled = F.transform(
+        F.array(length), lambda n: F.transform("vector", lambda x: x.cast("double") / n)
+    )[0]
+    return vectors.filter(length > 0).select("item", scaled.alias("vector"))
 
 
 def cosine_topk(

@@ -353,7 +353,7 @@ def feature_stats_report(spark, sf_dir):
 
 @query
 def scalar_functions(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "orders")
+    rows = views.spread(views.table(spark, sf_dir, "orders"))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     price = F.col("o_totalprice")
     pairs = C.text_to_map(F.concat(F.lit("s:"), status, F.lit(",p:"), priority))
