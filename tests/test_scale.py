@@ -27,6 +27,14 @@ def test_salted_join_equals_join(spark, how):
     assert rows(salted) == rows(left.join(right, ["k"], how))
 
 
+def test_short_lists_are_sent_and_long_ones_shuffled(spark):
+    left, right = spark.range(100), spark.range(50, 90)
+    for max_rows, sent in ((40, True), (39, False)):
+        joined = J.join_short(left, right, ["id"], max_rows)
+        hint = "strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()
+        assert hint == sent and rows(joined) == rows(right)
+
+
 def test_salted_join_refuses_mixed_key_types(spark):
     with pytest.raises(TypeError):
         J.salted_join(spark.range(1), spark.range(1).select(F.col("id").cast("int")), ["id"])

@@ -92,7 +92,7 @@ def ctr_sample(
     )
     with_labels = base.join(labelled, "ots", "left")
     kept = downsample_negatives(with_labels, "ctr_label", rate, ["ots", "item_id"], seed)
-    return salted_join(kept, users, ["ad_id_plus"], "left").select(
+    return salted_join(kept, users, ["ad_id_plus"], "left", salt_by=["ots", "item_id"]).select(
         "ots", "ad_id_plus", "campaign_id", "item_id", "core_label", "itemf", "cf", "cxf", "uf",
         "ctr_label", "cvr_label", "dt",
     )

@@ -13,6 +13,8 @@ HOT_ROWS = 1_000_000
 # At most this many keys are salted; the ones after them are left to Spark's own skew handling.
 HOT_KEYS = 256
 SALTS = 256
+# A list of this many narrow rows is a few megabytes.
+SHORT_ROWS = 100_000
 
 
 def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
@@ -61,6 +63,19 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 
+def join_short(
+    df: DataFrame, short: DataFrame, keys: Sequence[str], max_rows: int = SHORT_ROWS
+) -> DataFrame:
+    """Inner join with a list of narrow rows that is sent to every task if it is short.
+
+    Its length is counted first, no further than ``max_rows``; a longer one is joined
+    through a salted shuffle.
+    """
+    if short.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(short), list(keys))
+    return salted_join(df, short, keys)
+
+
 def keep_known(df: DataFrame, ids: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of ``df`` whose key occurs in ``ids``."""
     known = ids.select(key).distinct()

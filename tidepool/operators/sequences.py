@@ -15,18 +15,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidepool.functions.columns import category_of
 from tidepool.functions.dates import in_window, shift_day
 from tidepool.operators.behaviours import CART, EVENT_CODES, PURCHASE
+from tidepool.operators.joins import join_short
 
 PART_EVENTS = 1_000_000
 SLOT = 60_000_000  # one minute of microseconds: the grain at which long sequences are cut
 
 
 def number_items(behaviours: DataFrame, items: DataFrame) -> DataFrame:
-    """Behaviours on listed items, with the item's number.
-
-    The list is capped at 20,000 rows where it is made, so Spark's own size check
-    sends it to every task; a list too large for that is joined through a shuffle.
-    """
-    return behaviours.join(items.select("item_id", "item_no"), "item_id")
+    """Behaviours on listed items, with the item's number."""
+    return join_short(behaviours, items.select("item_id", "item_no"), ["item_id"])
 
 
 def _parts(

@@ -350,8 +350,8 @@ ORACLES: dict[str, str] = {
     "export_by_day": _with(f"""
     SELECT * FROM impressions WHERE dt BETWEEN {back(7)} AND {back(1)}"""),
     "parameterised_sql": _with(f"""
-    SELECT dt, count(*) AS n, CAST(sum(click) AS BIGINT) AS clicks FROM impressions
-    WHERE dt BETWEEN {back(10)} AND {back(1)} AND creative_id < 150 GROUP BY dt"""),
+    SELECT dt, count(*) AS n, CAST(sum(click) * 100 AS BIGINT) AS clicks FROM impressions
+    WHERE dt BETWEEN {back(10)} AND {back(1)} GROUP BY dt"""),
     "behaviour_extract": _with("SELECT * FROM behaviours"),
     "behaviour_extract_json": _with("SELECT * FROM behaviours"),
     "category_counts": _with(f"""

@@ -111,15 +111,14 @@ def parameterised_sql(spark, sf_dir):
         SELECT count(*) AS n FROM impressions WHERE dt = '${dt}'
         ;
 -- next --
-        SELECT dt, count(*) AS n, sum(click) AS clicks
+        SELECT dt, count(*) AS n, sum(click) * ${factor} AS clicks
         FROM impressions
         WHERE dt >= date_format(date_add(date('${dt}'), -10), 'yyyy-MM-dd')
           AND dt <= date_format(date_add(date('${dt}'), -1), 'yyyy-MM-dd')
-          AND creative_id < ${creatives}
         GROUP BY dt
         ;
     """
-    return scripts.run_statements(spark, text, {"dt": AS_OF, "creatives": 150})[-1]
+    return scripts.run_statements(spark, text, {"dt": AS_OF, "factor": 100})[-1]
 
 
 # Behaviours, items and sequences
