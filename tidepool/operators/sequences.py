@@ -26,13 +26,15 @@ def number_items(behaviours: DataFrame, items: DataFrame) -> DataFrame:
     return join_short(behaviours, items.select("item_id", "item_no"), ["item_id"])
 
 
-def _parts(
+def _any_long(rows: DataFrame, keys: Sequence[str], part_events: int) -> bool:
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return not sizes.filter(F.col("_n") > part_events).isEmpty()
+
+
+def _with_parts(
     rows: DataFrame, keys: Sequence[str], newest_first: bool, part_events: int
 ) -> DataFrame:
-    """Adds ``part``. Only when some key exceeds ``part_events`` are its time slots counted."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    if sizes.filter(F.col("_n") > part_events).isEmpty():
-        return rows.withColumn("part", F.lit(0))
+    """Adds ``part``: how many times ``part_events`` events of the key lie before the row's slot."""
     slotted = rows.withColumn("_slot", F.floor(F.coalesce("ts", F.lit(0)) / SLOT))
     order = F.desc("_slot") if newest_first else F.asc("_slot")
     # One row per key and minute: a window over one key is bounded by the days read.
@@ -60,9 +62,13 @@ def user_sequences(
 
     The fields break ties among equal times, in the order given.
     """
-    parted = _parts(rows, keys, newest_first, part_events)
     gathered = F.sort_array(F.collect_list(F.struct("ts", *fields)), asc=not newest_first)
-    return parted.groupBy(*keys, "part").agg(gathered.alias("seq"))
+    if _any_long(rows, keys, part_events):
+        parted = _with_parts(rows, keys, newest_first, part_events)
+        return parted.groupBy(*keys, "part").agg(gathered.alias("seq"))
+    # Grouped by the bare keys, the rows are already placed for a later join on them.
+    whole = rows.groupBy(*keys).agg(gathered.alias("seq"))
+    return whole.select(*keys, F.lit(0).alias("part"), "seq")
 
 
 def _text(entries: Column) -> Column:
@@ -70,10 +76,10 @@ def _text(entries: Column) -> Column:
     return F.when(F.size(entries) > 0, F.array_join(entries, ","))
 
 
-def _feature_rows(numbered: DataFrame, part_events: int) -> DataFrame:
+def _feature_rows(numbered: DataFrame, keys: Sequence[str], part_events: int) -> DataFrame:
     sequences = user_sequences(
         numbered.filter(F.col("item_no").isNotNull()),
-        ["ad_id", "dt"],
+        keys,
         ["item_id", "behavior_type", "item_no"],
         part_events=part_events,
     )
@@ -90,7 +96,7 @@ def _feature_rows(numbered: DataFrame, part_events: int) -> DataFrame:
         items_of(EVENT_CODES[CART]).alias("item_car"),
         items_of(EVENT_CODES[PURCHASE]).alias("item_purchase"),
         F.lit(None).cast("string").alias("item_category"),
-        "dt",
+        *[key for key in keys if key != "ad_id"],
     )
 
 
@@ -103,8 +109,8 @@ def user_features(
 ) -> DataFrame:
     """What each user viewed, put in the cart and bought in the ``days`` before ``as_of``."""
     window = behaviours.filter(in_window(F.col("dt"), as_of, -days, -1))
-    numbered = number_items(window, items).withColumn("dt", F.lit(shift_day(as_of, -1)))
-    return _feature_rows(numbered, part_events)
+    rows = _feature_rows(number_items(window, items), ["ad_id"], part_events)
+    return rows.withColumn("dt", F.lit(shift_day(as_of, -1)))
 
 
 def backfill_user_features(
@@ -126,7 +132,7 @@ def backfill_user_features(
     )
     window = behaviours.filter(F.col("dt").between(shift_day(labels[0], 1 - days), labels[-1]))
     numbered = number_items(window, items).withColumn("dt", F.explode(targets))
-    return _feature_rows(numbered, part_events)
+    return _feature_rows(numbered, ["ad_id", "dt"], part_events)
 
 
 def user_sessions(
@@ -136,7 +142,7 @@ def user_sessions(
     numbered = number_items(behaviours.filter(F.col("dt") == day), items)
     sequences = user_sequences(
         numbered.filter(F.col("item_no").isNotNull()),
-        ["ad_id", "dt"],
+        ["ad_id"],
         ["item_id", "behavior_type", "item_no"],
         newest_first=True,
         part_events=part_events,
@@ -146,7 +152,7 @@ def user_sessions(
         "part",
         F.col("seq.item_no").alias("item_nos"),
         F.col("seq.behavior_type").alias("behavior_types"),
-        "dt",
+        F.lit(day).alias("dt"),
     )
 
 
@@ -194,14 +200,14 @@ def user_category_sequences(
 ) -> DataFrame:
     """Items and their categories per user and day, as parallel texts in time order."""
     rows = events.filter(F.col("dt") == day)
-    sequences = user_sequences(rows, ["ad_id", "dt"], ["item_id"], part_events=part_events)
+    sequences = user_sequences(rows, ["ad_id"], ["item_id"], part_events=part_events)
     items = F.col("seq.item_id")
     return sequences.select(
         "ad_id",
         "part",
         F.array_join(items, ",").alias("item_seq"),
         F.array_join(F.transform(items, category_of), ",").alias("category_seq"),
-        "dt",
+        F.lit(day).alias("dt"),
     )
 
 
