@@ -28,6 +28,12 @@ def word_codes() -> np.ndarray:
     return out
 
 
+@functools.cache
+def letters() -> np.ndarray:
+    """By code point: 1 for a letter, else 0."""
+    return np.fromiter((chr(code).isalpha() for code in range(0x110000)), dtype=np.uint32, count=0x110000)
+
+
 @functools.cache
 def classes() -> np.ndarray:
     """By code point: the character class."""
