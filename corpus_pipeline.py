@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import quality, simhash
+from tidepool.llm import decontamination, packing, quality, secrets, simhash
 from tidepool.llm.common import table
-from tidepool.llm.queries import MAX_BITS, QUALITY_CUT, SHINGLE_WORDS, held_out
+from tidepool.llm.queries import MAX_BITS, QUALITY_CUT, SEQUENCE, SHINGLE_WORDS, TOKENS, held_out
 from tidepool.shared import scratch_path
 
 
@@ -25,9 +25,27 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_of_each_group(docs, MAX_BITS, SHINGLE_WORDS)
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    return decontamination.clean_documents(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text are masked."""
+    return secrets.masked_documents(docs, secrets.learn(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their sequence and place in it."""
+    return packing.pack(spark, packing.pieces(docs, TOKENS, SEQUENCE), SEQUENCE)
+
+
 STAGES = [
     ("quality", quality_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("decontamination", benchmark_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
 ]
 
 #: SQL can't express the fitted classifier or the packing plan; tests check each stage instead.
