@@ -106,9 +106,14 @@ def _refined(max_bits: int) -> Callable:
     return of
 
 
+def _apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Differing bits of signed fingerprints."""
+    return np.bitwise_count((one ^ other).view(np.uint64))
+
+
 def _spanning(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the same members as all links within an entry do: each to its group's first."""
-    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= max_bits
+    near = _apart(prints[:, None], prints[None, :]) <= max_bits
     least = np.arange(len(prints))
     while True:
         now = np.where(near, least[None, :], len(prints)).min(axis=1)
@@ -131,7 +136,7 @@ def _entry_links(max_bits: int, longest: int) -> Callable:
         sizes = np.diff(np.concatenate((starts, [len(prints)])))
         two = starts[sizes == 2]
         a, b = prints[two], prints[two + 1]
-        near = np.bitwise_count(a ^ b) <= max_bits
+        near = _apart(a, b) <= max_bits
         left, right = [a[near]], [b[near]]
         for at, size in zip(starts[sizes > 2], sizes[sizes > 2]):
             one, other = _spanning(prints[at:at + size], max_bits)
