@@ -75,7 +75,7 @@ def test_reach_split_of_creatives_without_catalogue(spark):
     more = extension(spark, ("a", 1.0, "2024-01-15"), ("b", None, "2024-01-15"))
     row = R.reach_split(shown, more, creatives(spark, None), [5], AS_OF).first()
     assert (row.active_user_count, row.vimp, row.sw) == (1, 2, 1.0)
-    assert (row.active_dpa_user_count, row.vimp_dpa, row.sw_dpa) == (0, 0, 0.0)
+    assert (row.active_catalogue_user_count, row.vimp_catalogue, row.sw_catalogue) == (0, 0, 0.0)
 
 
 def test_event_totals_of_no_one(spark):

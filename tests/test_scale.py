@@ -118,18 +118,19 @@ def test_lsh_finds_most_true_neighbours(spark, block_rows):
 
 def brute_knn(scores, weight, k, b=0.2, k1=100.0):
     users, items = (sorted({s[i] for s in scores}) for i in (0, 1))
-    x = np.zeros((len(items), len(users)))
+    x, has = np.zeros((2, len(items), len(users)))
     for u, i, s in scores:
         x[items.index(i), users.index(u)] = s
-    idf = np.log(len(items)) - np.log1p((x > 0).sum(axis=0))
+        has[items.index(i), users.index(u)] = 1
+    idf = np.log(len(items)) - np.log1p(has.sum(axis=0))
     if weight == "bm25":
         length = x.sum(axis=1, keepdims=True)
-        w = np.where(x > 0, x * (k1 + 1) / (k1 * (1 - b + b * length / length.mean()) + x) * idf, 0)
+        w = np.where(has > 0, x * (k1 + 1) / (k1 * (1 - b + b * length / length.mean()) + x) * idf, 0)
     else:
         w = np.sqrt(x) * idf if weight == "tfidf" else x
         n = np.linalg.norm(w, axis=1, keepdims=True)
         w = np.divide(w, n, out=np.zeros_like(w), where=n > 0)
-    both = (x > 0).astype(int) @ (x > 0).astype(int).T
+    both = has @ has.T
     sims = np.round(w @ w.T, N.DIGITS)
     best = {}
     for i, item in enumerate(items):
@@ -156,6 +157,20 @@ def test_item_knn_with_a_user_of_a_third_of_all_rows(spark, monkeypatch, weight,
         np.testing.assert_allclose([s for _, s in found[item]], [s for _, s in best], atol=2e-9)
 
 
+@pytest.mark.parametrize("weight", ["tfidf", "cosine", "bm25"])
+@pytest.mark.parametrize("pair_items", [1000, 0])
+def test_item_knn_keeps_pairs_of_weight_zero(spark, weight, pair_items):
+    # user a has all items but one, so its idf is 0; user c has a score of 0
+    data = [("a", 1, 2.0), ("a", 2, 3.0), ("a", 3, 1.0), ("b", 4, 1.0), ("c", 4, 0.0), ("c", 1, 2.0)]
+    df = spark.createDataFrame(data, "user string, item bigint, score double")
+    found = collected(N.item_knn(df, weight, k=4, pair_items=pair_items))
+    expected = brute_knn(data, weight, 4)
+    assert sum(map(len, found.values())) == 8
+    for item, best in expected.items():
+        assert [n for n, _ in found[item]] == [n for n, _ in best]
+        np.testing.assert_allclose([s for _, s in found[item]], [s for _, s in best], atol=2e-9)
+
+
 def test_negatives_avoid_positives_and_end(spark):
     data = spark.createDataFrame([(u, f"{u}{n}") for u in "abc" for n in range(30)],
                                  "ad_id string, row_id string")

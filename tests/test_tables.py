@@ -27,6 +27,33 @@ def test_replacing_a_day_leaves_the_others(spark):
         tables.create_as(days(spark, (1, "2024-01-01")), path, ["dt"])
 
 
+def test_a_day_run_without_rows_is_emptied(spark):
+    path = scratch_path(spark, "t")
+    tables.create_as(days(spark, (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")), path, ["dt"])
+    tables.replace_partitions(days(spark, (4, "2024-01-02")), path, days=["2024-01-01", "2024-01-02", "2024-01-09"])
+    table = spark.read.schema("n int, dt string").parquet(path)
+    assert rows(table) == rows(days(spark, (4, "2024-01-02"), (3, "2024-01-03")))
+
+
+def test_exports_and_examples_leave_other_days(spark):
+    path, examples = scratch_path(spark, "e"), scratch_path(spark, "x")
+    first = days(spark, (1, "2024-01-01"), (2, "2024-01-02"))
+    again = days(spark, (5, "2024-01-02"), (6, "2024-01-03"))
+    for part, last in ((first, "2024-01-02"), (again, "2024-01-03")):
+        tables.export_by_day(part, path, "2024-01-01", last)
+        tables.write_examples(part, examples, ["dt"])
+    expected = rows(days(spark, (1, "2024-01-01"), (5, "2024-01-02"), (6, "2024-01-03")))
+    assert rows(tables.read_delimited(spark, path, "n int, dt string", by=["dt"])) == expected
+    assert rows(tables.read_examples(spark, examples, "n int, dt string")) == expected
+
+
+def test_dirty_text_becomes_null(spark):
+    path = scratch_path(spark, "d")
+    tables.write_delimited(spark.createDataFrame([("x", "1"), ("2", "y")], "a string, b string"), path)
+    assert rows(tables.read_delimited(spark, path, "a int, b int")) == rows(
+        spark.createDataFrame([(None, 1), (2, None)], "a int, b int"))
+
+
 def test_scan_reads_only_the_days_asked_for(spark):
     path = scratch_path(spark, "t")
     tables.create_as(days(spark, *[(n, f"2024-01-{n:02d}") for n in range(1, 10)]), path, ["dt"])

@@ -59,15 +59,19 @@ def json_object(text: Column) -> Column:
 def merge_objects(*objects: Column) -> Column:
     """Maps in one; for a name in several the value of the last stays. NULL maps are skipped."""
     entries = F.flatten(F.array_compact(F.array(*[F.map_entries(o) for o in objects])))
-    # Every object is read once into the list; a name's last place in the list is the one kept.
-    def last_only(all_entries: Column) -> Column:
-        names = F.transform(all_entries, lambda e: e["key"])
-        numbered = F.transform(all_entries, lambda e, i: F.struct(e.alias("e"), i.alias("i")))
-        last = F.filter(
-            numbered, lambda n: ~F.array_contains(F.slice(names, n["i"] + 2, F.size(names)),
-                                                  n["e"]["key"])
-        )
-        return F.map_from_entries(F.transform(last, lambda n: n["e"]))
+
+    # Every object is read once into the list. Sorted by name and place, the last entry of a
+    # name is the one before another name.
+    def last_only(held: Column) -> Column:
+        placed = F.array_sort(F.transform(
+            held, lambda e, i: F.struct(e["key"].alias("name"), i.alias("place"))))
+
+        def merged(names: Column) -> Column:
+            last = F.filter(names, lambda n, i: F.coalesce(
+                F.get(names, i + 1)["name"] != n["name"], F.lit(True)))
+            return F.map_from_entries(F.transform(last, lambda n: F.get(held, n["place"])))
+
+        return F.transform(F.array(placed), merged)[0]
 
     return F.transform(F.array(entries), last_only)[0]
 
@@ -95,10 +99,6 @@ def norm(vector: Column) -> Column:
     return F.sqrt(dot(vector, vector))
 
 
-def cosine(left: Column, right: Column) -> Column:
-    return F.try_divide(dot(left, right), norm(left) * norm(right))
-
-
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

@@ -176,8 +176,3 @@ def as_text(topk: DataFrame) -> DataFrame:
     return topk.groupBy("item").agg(
         F.sort_array(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("entries")
     ).select("item", F.col("entries.entry").alias("topk"))
-
-
-def vector_frame(df: DataFrame, item: str, vector: str) -> DataFrame:
-    return df.select(F.col(item).alias("item"), F.col(vector).alias("vector"))
-

@@ -544,7 +544,7 @@ ORACLES: dict[str, str] = {
       AND {_CATALOGS}
     GROUP BY 2"""),
     "report_reach_split": _with(f"""
-    SELECT i.dt, {_split('true', '')}, {_split('merchandise_catalog_id IS NOT NULL', '_dpa')},
+    SELECT i.dt, {_split('true', '')}, {_split('merchandise_catalog_id IS NOT NULL', '_catalogue')},
            {_split(_CATALOGS, '_selected')}
     FROM impressions i JOIN extension x ON i.ots = x.ots
     LEFT JOIN creatives c ON i.creative_id = c.creative_id

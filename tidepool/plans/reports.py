@@ -286,7 +286,7 @@ def reach_split(
     catalog = F.col("merchandise_catalog_id")
     groups = {
         "": F.lit(True),
-        "_dpa": catalog.isNotNull(),
+        "_catalogue": catalog.isNotNull(),
         "_selected": F.coalesce(catalog.isin(*catalogs), F.lit(False)),
     }
     measures = ("sales", "vimp", "pb", "click", "sw")

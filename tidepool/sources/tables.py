@@ -35,8 +35,28 @@ def create_as(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     _by_partition(df, by).write.mode("errorifexists").partitionBy(*by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("dt",)) -> None:
-    """Replaces the partitions that occur in ``df`` in one commit, and leaves the others."""
+def _drop_days(spark: SparkSession, path: str, days: Sequence[str], by: str) -> None:
+    """Removes the folders of these days, whichever store the table is in."""
+    jvm = spark.sparkContext._jvm
+    for day in days:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={day}")
+        store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if store.exists(folder):
+            store.delete(folder, True)
+
+
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str] = ("dt",), days: Sequence[str] = ()
+) -> None:
+    """Replaces the partitions that occur in ``df`` in one commit, and leaves the others.
+
+    ``days`` names the days (values of the first partition column) that are run: those
+    without a row in ``df`` are emptied. They are few, so what is asked of ``df`` is
+    which of them it has.
+    """
+    if days:
+        held = df.filter(F.col(by[0]).isin(*days)).select(by[0]).distinct().collect()
+        _drop_days(df.sparkSession, path, sorted(set(days) - {row[0] for row in held}), by[0])
     (
         _by_partition(df, by)
         .write.mode("overwrite")
@@ -76,7 +96,8 @@ def read_delimited(
 
     def column(place: int, field: T.StructField) -> Column:
         text = F.get(pieces, place)
-        return F.when(text != null, text).cast(field.dataType).alias(field.name)
+        # text that is no value of the type becomes NULL, as in the tables it comes from
+        return F.when(text != null, text).try_cast(field.dataType).alias(field.name)
 
     columns = {field.name: column(place, field) for place, field in enumerate(fields)}
     return lines.select(*[columns.get(name, F.col(name)) for name in schema.names])
@@ -89,8 +110,12 @@ def write_delimited(
     mode: str = "append",
     null: str = NULL_MARK,
     by: Sequence[str] = (),
+    days_only: bool = False,
 ) -> None:
+    """``days_only``: mode ``overwrite`` replaces the folders that ``df`` has rows for, no others."""
     writer = df.write.mode(mode)
+    if days_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if by:
         writer = writer.partitionBy(*by)
     writer.csv(path, sep=sep, header=False, nullValue=null, emptyValue="", quote="",
@@ -103,11 +128,11 @@ def export_by_day(
 ) -> None:
     """The days of the range as delimited text, a folder per day that has rows.
 
-    A day of ordinary size is one file; a large one is split, as no single task
+    Days exported before stay, unless they are exported again. A day of ordinary size is one file; a large one is split, as no single task
     should write a whole large day.
     """
     days = df.filter(F.col("dt").between(dt_from, dt_to))
-    write_delimited(_by_partition(days, ["dt"]), path, sep, mode="overwrite", by=["dt"])
+    write_delimited(_by_partition(days, ["dt"]), path, sep, mode="overwrite", by=["dt"], days_only=True)
 
 
 def redistribute(df: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
@@ -115,9 +140,15 @@ def redistribute(df: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
     return df.repartition(n, F.xxhash64(*key))
 
 
-def write_examples(df: DataFrame, path: str) -> None:
-    """Typed examples with their lists as array columns."""
-    df.write.mode("overwrite").parquet(path)
+def write_examples(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Typed examples with their lists as array columns.
+
+    With ``by`` the partitions that occur in ``df`` are replaced and the others stay.
+    """
+    if by:
+        replace_partitions(df, path, by)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def read_examples(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
