@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import json
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool import schemas
 from tidepool.functions import columns as C, dates
-from tidepool.operators import behaviours as B, items as I, sequences as Q
+from tidepool.operators import (
+    behaviours as B, features as X, items as I, joins as J, samples as S, sequences as Q,
+)
+from tidepool.plans import views
 
 NAMES = B.EVENT_PREFIX + "ViewContent"
 
@@ -93,20 +98,70 @@ def test_backfill_equals_single_days(spark):
     assert sorted(map(str, single)) == sorted(map(str, together))
 
 
-def test_long_sequences_continue_in_parts(spark):
-    minute = Q.SLOT
-    events = [("hot", f"i{n:03d}", n * minute // 3) for n in range(90)] + [("cold", "x", 4)]
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_long_sequences_continue_in_parts(spark, newest_first):
+    events = [("hot", f"i{n:03d}", n // 3) for n in range(90)] + [("cold", "x", 4)]
+    events += [("minute", f"i{n % 7}", 5) for n in range(60)] + [("none", "same", None)] * 55
     rows = spark.createDataFrame(events, "ad_id string, item_id string, ts bigint")
-    for newest_first in (False, True):
-        whole = Q.user_sequences(rows, ["ad_id"], ["item_id"], newest_first)
-        parts = Q.user_sequences(rows, ["ad_id"], ["item_id"], newest_first, part_events=10)
-        assert whole.filter("part > 0").count() == 0
-        gathered = {}
-        for r in sorted(parts.collect(), key=lambda r: (r.ad_id, r.part)):
-            assert len(r.seq) <= 10 + 3
-            gathered.setdefault(r.ad_id, []).extend(r.seq)
-        assert len(gathered["hot"]) == 90
-        assert gathered == {r.ad_id: r.seq for r in whole.collect()}
+    whole = Q.user_sequences(rows, ["ad_id"], ["item_id"], newest_first)
+    parts = Q.user_sequences(rows, ["ad_id"], ["item_id"], newest_first, part_events=10)
+    assert whole.filter("part > 0").count() == 0
+    gathered = {}
+    for r in sorted(parts.collect(), key=lambda r: (r.ad_id, r.part)):
+        assert len(r.seq) <= 10
+        gathered.setdefault((r.ad_id, r.n_items), []).extend(r.seq)
+    assert gathered == {(r.ad_id, r.n_items): r.seq for r in whole.collect()}
+
+
+def joined_text(rows, key, names):
+    """Slices of each user put together again."""
+    out = {}
+    for r in sorted(rows, key=lambda r: (r[key], r["dt"], r["part"])):
+        own = out.setdefault((r[key], r["dt"]), {name: [] for name in names})
+        for name in names:
+            value = r[name]
+            own[name] += value if isinstance(value, list) else re.split("[, ]", value) if value else []
+    return out
+
+
+def test_what_comes_out_does_not_depend_on_the_slices(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.001"
+    rows, items = views.daily(spark, sf_dir)
+    events = views.events(spark, sf_dir)
+    day = views.AS_OF
+
+    def made():
+        features = Q.user_features(rows, items, "2024-01-15", part_events=P)
+        sessions = Q.user_sessions(rows, items, "2024-01-14", part_events=P)
+        arrays = Q.user_behaviour_arrays(events, day, part_events=P)
+        samples = S.train_sample(rows, items, features, "2024-01-15")
+        shown = views.impressions(spark, sf_dir).select("ots", "ad_id", "click")
+        documents = X.user_behaviour_json(arrays)
+        flags = documents.select("ad_id", F.get_json_object("user_behavior_f", "$.has_view").alias("v"),
+                                 F.get_json_object("user_behavior_f", "$.has_add_to_car").alias("c"))
+        clicks = X.ctr_sample(views.catalogue_impressions(spark, sf_dir),
+                              views.feature_material(spark, sf_dir), documents, "2024-01-15", 1.0)
+        joined = J.left_join_where(shown, documents.filter("part = 0"), "ad_id", F.col("click") > 0)
+        return {
+            "features": joined_text(features.collect(), "ad_id", ["item_seq", "behavior_seq", "item_car"]),
+            "sessions": joined_text(sessions.collect(), "ad_id", ["item_nos", "behavior_types"]),
+            "arrays": joined_text(arrays.collect(), "ad_id", ["content_ids", "behavior_types"]),
+            "corpus": joined_text(Q.session_corpus(events, day, part_events=P).collect(), "ad_id", ["events"]),
+            "categories": joined_text(Q.user_category_sequences(events, "2024-01-15", part_events=P).collect(),
+                                      "ad_id", ["item_seq", "category_seq"]),
+            "samples": sorted(map(str, samples.select("ad_id", "item_target", "label", "dt").collect())),
+            "conversions": sorted(map(str, S.train_sample_conversions(
+                rows, items, sessions, "2024-01-15", min_items=2).select("ad_id", "item_target", "label").collect())),
+            "examples": sorted(map(str, S.to_examples(samples, features, min_items=2).collect())),
+            "flags": sorted(set(map(str, flags.collect()))),
+            "clicks": sorted(map(str, clicks.drop("itemf").collect())),
+            "joined": sorted(map(str, joined.select("ots", "ad_id", "click").collect())),
+        }
+
+    P = Q.PART_EVENTS
+    whole = made()
+    P = 3
+    assert made() == whole and whole["samples"] and whole["examples"]
 
 
 def test_active_items_break_ties_by_id(spark):

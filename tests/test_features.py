@@ -90,7 +90,7 @@ def test_limited_merge_needs_both_documents(spark):
 
 
 def test_behaviour_document(spark):
-    arrays = spark.createDataFrame([("u", 0, ["a", "b"], ["AddToCart", None], "d")],
+    arrays = spark.createDataFrame([("u", 0, ["a", "b"], ["AddToCart", None], 0, 1, "d")],
                                    schemas.USER_BEHAVIOUR_ARRAYS)
     document = json.loads(X.user_behaviour_json(arrays).first().user_behavior_f)
     assert document == {"content_ids_list": ["a", "b"], "behavior_types_list": ["AddToCart", None],
@@ -104,7 +104,7 @@ def test_config_file(spark, tmp_path):
 
 
 def samples(spark, *sequences):
-    rows = [("u", 0, s, "1", None, "\\N", "", n, 2, "d") for n, s in enumerate(sequences)]
+    rows = [("u", s, "1", None, "\\N", "", n, 2, "d") for n, s in enumerate(sequences)]
     return spark.createDataFrame(rows, schemas.TRAIN_SAMPLE)
 
 
@@ -122,13 +122,14 @@ def test_samples_need_five_items(spark):
                                        schemas.BEHAVIOURS)
     items = spark.createDataFrame([("a", 1, 4, "d")], schemas.ACTIVE_ITEMS)
     features = spark.createDataFrame(
-        [("u", 0, "1,2,3,4", "", None, None, None, "2024-01-14"),
-         ("v", 0, "1,2,3,4,5", "", None, None, None, "2024-01-14"),
-         ("v", 1, "6", "", None, None, None, "2024-01-14"),
-         ("v", 0, "1,2,3,4,5", "", None, None, None, "2024-01-13")], schemas.USER_FEATURES)
-    rows = S.train_sample(behaviours, items, features, "2024-01-15").orderBy("part").collect()
-    assert [(r.ad_id, r.item_seq, r.item_target, r.label) for r in rows] == [
-        ("v", "1,2,3,4,5", 4, 3), ("v", "6", 4, 3)]
+        [("u", 0, "1,2,3,4", "", None, None, None, 4, "2024-01-14"),
+         ("v", 0, "1,2,3,4", "", None, None, None, 6, "2024-01-14"),
+         ("v", 1, "5,6", "", None, None, None, 6, "2024-01-14"),
+         ("v", 0, "1,2,3,4,5", "", None, None, None, 5, "2024-01-13")], schemas.USER_FEATURES)
+    samples = S.train_sample(behaviours, items, features, "2024-01-15")
+    assert [(r.ad_id, r.item_seq, r.item_target, r.label) for r in samples.collect()] == [
+        ("v", "1,2,3,4", 4, 3)]
+    assert S.to_examples(samples, features).first().item_seq == [1, 2, 3, 4, 5, 6]
 
 
 def test_decimals_become_plain_numbers(spark):

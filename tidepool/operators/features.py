@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidepool.functions.columns import json_object, merge_json
 from tidepool.functions.dates import in_window, shift_day
-from tidepool.operators.behaviours import CART, VIEW
 from tidepool.operators.joins import salted_join
 from tidepool.operators.samples import downsample_negatives
 
@@ -17,15 +16,12 @@ KINDS = ("dense", "embedding", "sparse", "weighted_embedding", "labels")
 
 
 def user_behaviour_json(arrays: DataFrame) -> DataFrame:
-    """Behaviour arrays as one JSON document per row, with flags for views and carts."""
-    def has(name: str) -> Column:
-        return F.when(F.array_contains("behavior_types", name), 1).otherwise(0)
-
+    """Behaviour arrays as one JSON document per slice, with the user's flags for views and carts."""
     document = F.struct(
         F.col("content_ids").alias("content_ids_list"),
         F.col("behavior_types").alias("behavior_types_list"),
-        has(VIEW).alias("has_view"),
-        has(CART).alias("has_add_to_car"),
+        "has_view",
+        "has_add_to_car",
     )
     return arrays.select(
         "ad_id",
@@ -64,12 +60,15 @@ def ctr_sample(
     shown: DataFrame,
     material: DataFrame,
     user_features: DataFrame,
+    day: str,
     rate: float = 0.2,
     seed: int = 7,
 ) -> DataFrame:
     """Shown items with the impression's features and labels and the user's behaviour document.
 
-    All clicked rows stay, and the share ``rate`` of the others.
+    All clicked rows stay, and the share ``rate`` of the others. One row per shown item, of
+    the run day ``day`` also where the impression has no material; of a user with several
+    behaviour documents the first, which has the newest events.
     """
     labelled = material.select(
         "ots",
@@ -79,7 +78,6 @@ def ctr_sample(
         "uf",
         F.col("click").cast("double").alias("ctr_label"),
         F.col("postback").cast("double").alias("cvr_label"),
-        "dt",
     )
     base = shown.select(
         "ots",
@@ -87,14 +85,14 @@ def ctr_sample(
         F.col("mc_item_id").alias("item_id"),
         F.col("core_label").cast("string").alias("core_label"),
     )
-    users = user_features.select(
+    users = user_features.filter(F.col("part") == 0).select(
         F.col("ad_id").alias("ad_id_plus"), F.col("user_behavior_f").alias("itemf")
     )
     with_labels = base.join(labelled, "ots", "left")
     kept = downsample_negatives(with_labels, "ctr_label", rate, ["ots", "item_id"], seed)
     return salted_join(kept, users, ["ad_id_plus"], "left", salt_by=["ots", "item_id"]).select(
         "ots", "ad_id_plus", "campaign_id", "item_id", "core_label", "itemf", "cf", "cxf", "uf",
-        "ctr_label", "cvr_label", "dt",
+        "ctr_label", "cvr_label", F.lit(day).alias("dt"),
     )
 
 

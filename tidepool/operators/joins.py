@@ -10,24 +10,32 @@ from tidepool.functions.dates import next_day
 
 # A key below this many rows fits one task and needs no salt.
 HOT_ROWS = 1_000_000
-# At most this many keys are salted; the ones after them are left to Spark's own skew handling.
-HOT_KEYS = 256
+# Tasks that the rows of one frequent key are spread over. A key with a smaller share of all
+# rows than one of so many tasks has is no longer than they are.
 SALTS = 256
 # A list of this many narrow rows is a few megabytes.
 SHORT_ROWS = 100_000
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the most frequent keys with more than ``hot_rows`` rows, ``HOT_KEYS`` at most."""
+def hot_hashes(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, salts: int = SALTS
+) -> list[int]:
+    """Hashes of the keys with more than ``hot_rows`` rows and more than 1/``salts`` of all rows.
+
+    There are fewer than ``salts`` of them by arithmetic, so the limit cuts nothing off.
+    """
     frequent = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > hot_rows)
         .select("n", F.xxhash64(*keys).alias("h"))
         .orderBy(F.desc("n"), "h")
-        .limit(HOT_KEYS)
-    )
-    return sorted({row.h for row in frequent.collect()})
+        .limit(salts)
+    ).collect()
+    if not frequent:
+        return []
+    total = df.select(*keys).count()
+    return sorted({row.h for row in frequent if row.n * salts > total})
 
 
 def salted_join(
@@ -51,7 +59,7 @@ def salted_join(
     for key in keys:
         if left.schema[key].dataType != right.schema[key].dataType:
             raise TypeError(f"key {key} has different types on the two sides")
-    hot = hot_hashes(left, keys, hot_rows)
+    hot = hot_hashes(left, keys, hot_rows, salts)
     if not hot:
         return left.join(right, keys, how)
 

@@ -6,16 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidepool.functions.columns import hash_draw, min_length, parse_int_list, unique_sorted
+from tidepool.functions.columns import hash_draw, parse_int_list, unique_sorted
+from tidepool.functions.dates import next_day
 from tidepool.operators.joins import join_next_day, salted_join
 from tidepool.operators.sequences import number_items
 
 SEQUENCE_COLUMNS = ("item_seq", "behavior_seq", "item_car", "item_purchase", "item_category")
 
 
-def _long_enough(length: Column) -> Column:
-    """A continued row belongs to a sequence that is long by definition."""
-    return length | (F.col("part") > 0)
+def _one_per_user(sequences: DataFrame, min_items: int) -> DataFrame:
+    """The first slice of every sequence with ``min_items`` items or more in all its slices."""
+    return sequences.filter((F.col("part") == 0) & (F.col("n_items") >= min_items))
 
 
 def _targets(behaviours: DataFrame, items: DataFrame, day: str) -> DataFrame:
@@ -30,11 +31,13 @@ def train_sample(
 ) -> DataFrame:
     """Each behaviour of ``day`` as the target of the user's features of the day before.
 
-    Features with fewer than ``min_items`` items are left out.
+    One row per behaviour. Users with fewer than ``min_items`` items are left out. A sequence
+    of several slices is not copied to every target: the sample has the first one, the others
+    stay in ``features`` under the same user and day.
     """
-    enough = features.filter(_long_enough(min_length(F.split("item_seq", ","), min_items)))
+    enough = _one_per_user(features, min_items)
     joined = join_next_day(_targets(behaviours, items, day), enough)
-    return joined.select("ad_id", "part", *SEQUENCE_COLUMNS, "item_target", "label", "dt")
+    return joined.select("ad_id", *SEQUENCE_COLUMNS, "item_target", "label", "dt")
 
 
 def train_sample_conversions(
@@ -45,22 +48,53 @@ def train_sample_conversions(
     labels: Sequence[int] = (2, 3),
     min_items: int = 5,
 ) -> DataFrame:
-    """Carts and purchases of ``day`` as targets of the user's session of the day before."""
-    enough = sessions.filter(_long_enough(min_length(F.col("item_nos"), min_items)))
+    """Carts and purchases of ``day`` as targets of the user's session of the day before.
+
+    One row per behaviour; of a session of several slices the first, as in :func:`train_sample`.
+    """
+    enough = _one_per_user(sessions, min_items)
     targets = _targets(behaviours, items, day).filter(F.col("label").isin(*labels))
     return join_next_day(targets, enough).select(
-        "ad_id", "part", "item_nos", "behavior_types", "item_target", "label", "dt"
+        "ad_id", "item_nos", "behavior_types", "item_target", "label", "dt"
     )
 
 
-def to_examples(samples: DataFrame, unique: bool = True, min_items: int = 5) -> DataFrame:
+def _further_values(features: DataFrame) -> DataFrame:
+    """The distinct values that the slices after the first add to each list of a user and day.
+
+    Lists hold numbers of listed items and codes, so a set is no longer than the item list.
+    """
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("list"), parse_int_list(F.col(name)).alias("entries"))
+        for name in SEQUENCE_COLUMNS
+    ])
+    values = features.filter(F.col("part") > 0).select("ad_id", "dt", F.inline(entries)).select(
+        "ad_id", "dt", "list", F.explode("entries").alias("value")
+    )
+    sets = values.groupBy("ad_id", "dt", "list").agg(F.collect_set("value").alias("more"))
+    return sets.groupBy("ad_id", "dt").agg(*[
+        F.max(F.when(F.col("list") == name, F.sort_array("more"))).alias(f"_more_{name}")
+        for name in SEQUENCE_COLUMNS
+    ])
+
+
+def to_examples(
+    samples: DataFrame, features: DataFrame | None = None, unique: bool = True, min_items: int = 5
+) -> DataFrame:
     """Samples in text form as typed lists.
 
     With ``unique`` every list becomes its sorted distinct values, and only
-    samples with more than ``min_items`` distinct items stay.
+    samples with more than ``min_items`` distinct items stay. ``features`` is the
+    table the samples were made of; its slices after the first count, too.
     """
     lists = {name: parse_int_list(F.col(name)) for name in SEQUENCE_COLUMNS}
     if unique:
+        if features is not None:
+            following = _further_values(features).withColumn("dt", next_day(F.col("dt")))
+            samples = salted_join(samples, following, ["ad_id", "dt"], "left")
+            none = F.array().cast("array<bigint>")
+            lists = {name: F.concat(values, F.coalesce(F.col(f"_more_{name}"), none))
+                     for name, values in lists.items()}
         lists = {name: unique_sorted(values) for name, values in lists.items()}
     typed = samples.select(
         "ad_id",
@@ -103,31 +137,33 @@ def sample_negatives(
     known = positives.select("ad_id", F.col("items").alias("_own"))
     joined = salted_join(rows, known, ["ad_id"], "left")
     own = F.coalesce(F.col("_own"), F.array().cast("array<bigint>"))
-    drawn = joined.withColumn("_own", own).withColumn(
-        "draw", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1)))
-    )
 
-    def attempt(number: Column) -> Column:
-        return hash_draw(n_items, F.col("ad_id"), F.col(row_id), F.col("draw"), number, seed) + 1
+    def attempt(draw: Column, number: Column) -> Column:
+        return hash_draw(n_items, F.col("ad_id"), F.col(row_id), draw, number, seed) + 1
 
-    def if_free(number: Column) -> Column:
-        found = F.filter(F.array(attempt(number)), lambda item: ~F.array_contains("_own", item))
+    def if_free(draw: Column, number: Column) -> Column:
+        found = F.filter(F.array(attempt(draw, number)), lambda item: ~F.array_contains("_own", item))
         return F.get(found, 0)
 
-    # Nothing more is drawn for a row once an item is found.
-    free = F.aggregate(
-        F.sequence(F.lit(0), F.lit(attempts - 1)), F.lit(None).cast("bigint"),
-        lambda found, number: F.coalesce(found, if_free(number)),
-    )
     every_item = F.sequence(F.lit(1).cast("bigint"), F.lit(n_items).cast("bigint"))
-    left_over = F.transform(
-        F.array(F.array_except(every_item, F.col("_own"))),
-        lambda rest: F.get(
-            rest, F.pmod(attempt(F.lit(attempts)), F.greatest(F.size(rest), F.lit(1))).cast("int")
-        ),
-    )[0]
-    choice = F.coalesce(free, left_over)
-    return drawn.withColumn("negative", choice).filter(F.col("negative").isNotNull()).drop("_own")
+
+    def negative(draw: Column) -> Column:
+        # Nothing more is drawn once an item is found.
+        free = F.aggregate(
+            F.sequence(F.lit(0), F.lit(attempts - 1)), F.lit(None).cast("bigint"),
+            lambda found, number: F.coalesce(found, if_free(draw, number)),
+        )
+        left_over = F.transform(
+            F.array(F.array_except(every_item, F.col("_own"))),
+            lambda rest: F.get(rest, F.pmod(
+                attempt(draw, F.lit(attempts)), F.greatest(F.size(rest), F.lit(1))).cast("int")),
+        )[0]
+        return F.struct(draw.alias("draw"), F.coalesce(free, left_over).alias("negative"))
+
+    # The user's items stay in the one row: only the results of its draws are exploded.
+    draws = F.transform(F.sequence(F.lit(0), F.lit(per_row - 1)), negative)
+    drawn = joined.withColumn("_own", own).select(*rows.columns, F.inline(draws))
+    return drawn.filter(F.col("negative").isNotNull())
 
 
 def pair_triples(negatives: DataFrame, target: str) -> DataFrame:

@@ -1,24 +1,25 @@
 """Time-ordered sequences per user.
 
-A sequence row holds at most about ``PART_EVENTS`` events. A user with more of
-them gets several rows, numbered by ``part`` from 0 in sequence order, so that no
-task ever gathers an unbounded group and no event is dropped. All users below
-that size, which is every ordinary one, have the single row with part 0.
+A sequence is stored in slices of ``PART_EVENTS`` events, numbered by ``part`` from 0 in
+sequence order and cut by rank within the user, so that no task ever gathers an unbounded
+group and no event is dropped. What is said about the whole sequence (its length, which
+events occur in it) stands in every slice. Whoever needs one row per user takes part 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidepool.functions.columns import category_of
 from tidepool.functions.dates import in_window, shift_day
-from tidepool.operators.behaviours import CART, EVENT_CODES, PURCHASE
-from tidepool.operators.joins import join_short
+from tidepool.operators.behaviours import CART, EVENT_CODES, PURCHASE, VIEW
+from tidepool.operators.joins import join_short, salted_join
+from tidepool.operators.numbering import running_total
+from tidepool.shared import cut_lineage
 
 PART_EVENTS = 1_000_000
-SLOT = 60_000_000  # one minute of microseconds: the grain at which long sequences are cut
 
 
 def number_items(behaviours: DataFrame, items: DataFrame) -> DataFrame:
@@ -26,29 +27,33 @@ def number_items(behaviours: DataFrame, items: DataFrame) -> DataFrame:
     return join_short(behaviours, items.select("item_id", "item_no"), ["item_id"])
 
 
-def _any_long(rows: DataFrame, keys: Sequence[str], part_events: int) -> bool:
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return not sizes.filter(F.col("_n") > part_events).isEmpty()
-
-
-def _with_parts(
-    rows: DataFrame, keys: Sequence[str], newest_first: bool, part_events: int
+def _sliced(
+    rows: DataFrame, keys: Sequence[str], fields: Sequence[str], newest_first: bool, part_events: int
 ) -> DataFrame:
-    """Adds ``part``: how many times ``part_events`` events of the key lie before the row's slot."""
-    slotted = rows.withColumn("_slot", F.floor(F.coalesce("ts", F.lit(0)) / SLOT))
-    order = F.desc("_slot") if newest_first else F.asc("_slot")
-    # One row per key and minute: a window over one key is bounded by the days read.
-    earlier = (
-        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    slots = slotted.groupBy(*keys, "_slot").agg(F.count("*").alias("_n"))
-    parts = slots.select(
-        *keys,
-        "_slot",
-        F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / part_events)
-        .cast("int").alias("part"),
+    """``keys, part, seq``: slices by rank within the key.
+
+    Equal rows are counted first, and a running total over range partitions gives the ranks,
+    so neither a key nor a moment with very many rows is ever one task's.
+    """
+    own = ["ts", *fields]
+    counted = rows.groupBy(*keys, *own).agg(F.count("*").alias("_n"))
+    turned = F.desc if newest_first else F.asc
+    order = [*[F.asc(key) for key in keys], *[turned(name) for name in own]]
+    placed = running_total(counted, order, "_n", "_at")
+    first = placed.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    start = F.col("_at") - F.col("_first")
+    end = start + F.col("_n")
+    size = F.lit(part_events).cast("bigint")
+    parted = salted_join(placed, first, keys).withColumn(
+        "part", F.explode(F.sequence(F.floor(start / size), F.floor((end - 1) / size)))
     )
-    return slotted.join(parts, [*keys, "_slot"]).drop("_slot")
+    within = F.least(end, (F.col("part") + 1) * size) - F.greatest(start, F.col("part") * size)
+    entry = F.struct(F.struct(*own).alias("entry"), within.cast("int").alias("times"))
+    gathered = F.sort_array(F.collect_list(entry), asc=not newest_first)
+    repeated = F.flatten(F.transform("seq", lambda e: F.array_repeat(e["entry"], e["times"])))
+    return parted.groupBy(*keys, F.col("part").cast("int").alias("part")).agg(
+        gathered.alias("seq")
+    ).withColumn("seq", repeated)
 
 
 def user_sequences(
@@ -57,18 +62,23 @@ def user_sequences(
     fields: Sequence[str],
     newest_first: bool = False,
     part_events: int = PART_EVENTS,
+    totals: Sequence[Column] = (),
 ) -> DataFrame:
-    """``keys, part, seq``: structs of ``ts`` and ``fields`` in time order.
+    """``keys, part, seq, n_items`` and ``totals``: structs of ``ts`` and ``fields`` in time order.
 
-    The fields break ties among equal times, in the order given.
+    The fields break ties among equal times, in the order given. ``n_items`` and ``totals``
+    (named aggregates) are those of the key, the same in each of its slices.
     """
-    gathered = F.sort_array(F.collect_list(F.struct("ts", *fields)), asc=not newest_first)
-    if _any_long(rows, keys, part_events):
-        parted = _with_parts(rows, keys, newest_first, part_events)
-        return parted.groupBy(*keys, "part").agg(gathered.alias("seq"))
+    stored = cut_lineage(rows.select(*keys, "ts", *fields))
+    whole = [F.count("*").alias("n_items"), *totals]
+    longest = stored.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    if longest is not None and longest > part_events:
+        by_key = stored.groupBy(*keys).agg(*whole)
+        return _sliced(stored, keys, fields, newest_first, part_events).join(by_key, list(keys))
     # Grouped by the bare keys, the rows are already placed for a later join on them.
-    whole = rows.groupBy(*keys).agg(gathered.alias("seq"))
-    return whole.select(*keys, F.lit(0).alias("part"), "seq")
+    gathered = F.sort_array(F.collect_list(F.struct("ts", *fields)), asc=not newest_first)
+    found = stored.groupBy(*keys).agg(gathered.alias("seq"), *whole)
+    return found.withColumn("part", F.lit(0))
 
 
 def _text(entries: Column) -> Column:
@@ -96,6 +106,7 @@ def _feature_rows(numbered: DataFrame, keys: Sequence[str], part_events: int) ->
         items_of(EVENT_CODES[CART]).alias("item_car"),
         items_of(EVENT_CODES[PURCHASE]).alias("item_purchase"),
         F.lit(None).cast("string").alias("item_category"),
+        "n_items",
         *[key for key in keys if key != "ad_id"],
     )
 
@@ -152,6 +163,7 @@ def user_sessions(
         "part",
         F.col("seq.item_no").alias("item_nos"),
         F.col("seq.behavior_type").alias("behavior_types"),
+        "n_items",
         F.lit(day).alias("dt"),
     )
 
@@ -163,7 +175,13 @@ def user_behaviour_arrays(
     last: int = -2,
     part_events: int = PART_EVENTS,
 ) -> DataFrame:
-    """Item ids and event names per user over the window, newest first, stamped the day before."""
+    """Item ids and event names per user over the window, newest first, stamped the day before.
+
+    Whether the user has a view or a cart holds for the whole window.
+    """
+    def has(name: str) -> Column:
+        return F.max(F.when(F.col("behavior_name") == name, 1).otherwise(0))
+
     window = events.filter(in_window(F.col("dt"), as_of, first, last))
     sequences = user_sequences(
         window.filter(F.col("item_id").isNotNull() & (F.col("item_id") != "")),
@@ -171,12 +189,15 @@ def user_behaviour_arrays(
         ["item_id", "behavior_name"],
         newest_first=True,
         part_events=part_events,
+        totals=[has(VIEW).alias("has_view"), has(CART).alias("has_add_to_car")],
     )
     return sequences.select(
         "ad_id",
         "part",
         F.col("seq.item_id").alias("content_ids"),
         F.col("seq.behavior_name").alias("behavior_types"),
+        "has_view",
+        "has_add_to_car",
         F.lit(shift_day(as_of, -1)).alias("dt"),
     )
 

@@ -35,7 +35,7 @@ def _features(source: str, days: str) -> str:
                FILTER (WHERE behavior_type = 2) AS item_car,
            string_agg(CAST(item_no AS VARCHAR), ',' ORDER BY ts, item_id, behavior_type)
                FILTER (WHERE behavior_type = 3) AS item_purchase,
-           CAST(NULL AS VARCHAR) AS item_category,
+           CAST(NULL AS VARCHAR) AS item_category, count(*) AS n_items,
            d.label_dt AS dt
     FROM {source} b JOIN ({days}) d
       ON b.dt BETWEEN strftime(CAST(d.label_dt AS DATE) - 2, '%Y-%m-%d') AND d.label_dt
@@ -89,7 +89,7 @@ PARTS: dict[str, str] = {
     "week_features": _features("numbered", _days(shift_day(AS_OF, -7), shift_day(AS_OF, -1))),
     "month_features": _features("numbered", _days(FIRST_DAY, LAST_DAY)),
     "sample": f"""
-    SELECT f.ad_id, f.part, f.item_seq, f.behavior_seq, f.item_car, f.item_purchase,
+    SELECT f.ad_id, f.item_seq, f.behavior_seq, f.item_car, f.item_purchase,
            f.item_category, n.item_no AS item_target, n.behavior_type AS label, n.dt
     FROM numbered n JOIN earlier_features f ON n.ad_id = f.ad_id
      AND n.dt = strftime(CAST(f.dt AS DATE) + 1, '%Y-%m-%d')
@@ -376,13 +376,16 @@ ORACLES: dict[str, str] = {
            string_agg(CAST(item_no AS VARCHAR), ','
                       ORDER BY ts DESC, item_id DESC, behavior_type DESC) AS item_nos,
            string_agg(CAST(behavior_type AS VARCHAR), ','
-                      ORDER BY ts DESC, item_id DESC, behavior_type DESC) AS behavior_types, dt
+                      ORDER BY ts DESC, item_id DESC, behavior_type DESC) AS behavior_types,
+           count(*) AS n_items, dt
     FROM numbered WHERE dt = '{DAY}' GROUP BY ad_id, dt"""),
     "user_behaviour_arrays": _with(f"""
     SELECT ad_id, 0 AS part,
            string_agg(item_id, ',' ORDER BY ts DESC, item_id DESC, behavior_name DESC) AS content_ids,
            string_agg(behavior_name, ',' ORDER BY ts DESC, item_id DESC, behavior_name DESC)
                AS behavior_types,
+           max(CASE WHEN behavior_name = 'ViewContent' THEN 1 ELSE 0 END) AS has_view,
+           max(CASE WHEN behavior_name = 'AddToCart' THEN 1 ELSE 0 END) AS has_add_to_car,
            {back(1)} AS dt
     FROM item_events
     WHERE dt BETWEEN {back(7)} AND {back(2)} AND item_id IS NOT NULL AND item_id <> ''
@@ -405,7 +408,7 @@ ORACLES: dict[str, str] = {
     FROM features"""),
     "train_sample": _with("SELECT * FROM sample"),
     "train_sample_conversions": _with(f"""
-    SELECT n.ad_id, 0 AS part, s.item_nos, s.behavior_types, n.item_no AS item_target,
+    SELECT n.ad_id, s.item_nos, s.behavior_types, n.item_no AS item_target,
            n.behavior_type AS label, n.dt
     FROM numbered n JOIN (
         SELECT ad_id, count(*) AS n_items,
@@ -414,7 +417,7 @@ ORACLES: dict[str, str] = {
                string_agg(CAST(behavior_type AS VARCHAR), ','
                           ORDER BY ts DESC, item_id DESC, behavior_type DESC) AS behavior_types
         FROM numbered WHERE dt = {back(2)} GROUP BY ad_id) s ON n.ad_id = s.ad_id
-    WHERE n.dt = '{DAY}' AND n_items >= 2 AND n.behavior_type IN (2, 3)"""),
+    WHERE n.dt = '{DAY}' AND n_items >= 5 AND n.behavior_type IN (2, 3)"""),
     "train_examples": _with("""
     SELECT ad_id, {0} AS item_seq, {1} AS behavior_seq, {2} AS item_car, {3} AS item_purchase,
            '' AS item_category, item_target, CAST(label AS BIGINT) AS label
@@ -439,12 +442,14 @@ ORACLES: dict[str, str] = {
     "ctr_sample": _with(f"""
     SELECT s.ots, s.ad_id AS ad_id_plus, m.campaign_id, s.mc_item_id AS item_id,
            CAST(s.core_label AS VARCHAR) AS core_label, d.user_behavior_f AS itemf,
-           to_json({{price: m.o_totalprice, source: 'cf'}})::VARCHAR AS cf,
-           to_json({{priority: m.o_orderpriority}})::VARCHAR AS cxf,
-           to_json({{customer: m.o_custkey, source: 'uf'}})::VARCHAR AS uf,
-           m.click AS ctr_label, m.postback AS cvr_label, m.dt
+           CASE WHEN m.ots IS NOT NULL THEN to_json({{price: m.o_totalprice, source: 'cf'}})::VARCHAR END
+               AS cf,
+           CASE WHEN m.ots IS NOT NULL THEN to_json({{priority: m.o_orderpriority}})::VARCHAR END AS cxf,
+           CASE WHEN m.ots IS NOT NULL THEN to_json({{customer: m.o_custkey, source: 'uf'}})::VARCHAR END
+               AS uf,
+           m.click AS ctr_label, m.postback AS cvr_label, '{DAY}' AS dt
     FROM catalogue_impressions s
-    LEFT JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
+    LEFT JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}' AND CAST(m.ots AS BIGINT) % 11 <> 0
     LEFT JOIN documents_json d ON s.ad_id = d.ad_id
     WHERE m.click > 0 OR {_draw(1_000_000, 's.ots', 's.mc_item_id', '7')} < 200000"""),
     "ctr_feature_merge": _with(f"""
@@ -454,7 +459,7 @@ ORACLES: dict[str, str] = {
            m.o_custkey AS customer, m.o_totalprice AS price,
            CAST(json_extract_string(d.user_behavior_f, '$.has_view') AS INTEGER) AS has_view,
            CAST(json_array_length(d.user_behavior_f, '$.content_ids_list') AS INTEGER) AS n_items
-    FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
+    FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}' AND CAST(m.ots AS BIGINT) % 11 <> 0
     JOIN documents_json d ON s.ad_id = d.ad_id"""),
     "typed_features": _with("""
     SELECT event_id, name, kind, label, text_value, round(number_value, 6) AS number_value,

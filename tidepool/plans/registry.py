@@ -208,25 +208,26 @@ def min_length_filter(spark, sf_dir):
 
 def _train_sample(spark, sf_dir):
     rows, items = views.daily(spark, sf_dir)
-    return S.train_sample(rows, items, Q.user_features(rows, items, DAY), DAY)
+    features = Q.user_features(rows, items, DAY)
+    return S.train_sample(rows, items, features, DAY), features
 
 
 @query
 def train_sample(spark, sf_dir):
-    return _train_sample(spark, sf_dir)
+    return _train_sample(spark, sf_dir)[0]
 
 
 @query
 def train_sample_conversions(spark, sf_dir):
     rows, items = views.daily(spark, sf_dir)
     sessions = Q.user_sessions(rows, items, shift_day(DAY, -1))
-    return _texts(S.train_sample_conversions(rows, items, sessions, DAY, min_items=2))
+    return _texts(S.train_sample_conversions(rows, items, sessions, DAY))
 
 
 @query
 def train_examples(spark, sf_dir):
     path = scratch_path(spark, "examples")
-    tables.write_examples(S.to_examples(_train_sample(spark, sf_dir)), path)
+    tables.write_examples(S.to_examples(*_train_sample(spark, sf_dir)), path)
     return _texts(tables.read_examples(spark, path, schemas.TRAIN_EXAMPLE))
 
 
@@ -251,7 +252,9 @@ def negative_sampling(spark, sf_dir):
 @query
 def left_join_condition(spark, sf_dir):
     shown = views.impressions(spark, sf_dir).select("ots", "ad_id", "click")
-    documents = views.behaviour_documents(spark, sf_dir).select("ad_id", "user_behavior_f")
+    documents = views.behaviour_documents(spark, sf_dir).filter(F.col("part") == 0).select(
+        "ad_id", "user_behavior_f"
+    )
     joined = J.left_join_where(shown, documents, "ad_id", F.col("click") > 0)
     has_view = F.get_json_object("user_behavior_f", "$.has_view").cast("int")
     return joined.select("ots", "ad_id", "click", has_view.alias("has_view"))
@@ -278,10 +281,13 @@ def impression_items(spark, sf_dir):
 
 
 def _ctr_sample(spark, sf_dir, rate):
-    day = views.feature_material(spark, sf_dir).filter(F.col("dt") == DAY)
+    # some impressions have no material
+    day = views.feature_material(spark, sf_dir).filter(
+        (F.col("dt") == DAY) & (F.col("ots").cast("bigint") % 11 != 0)
+    )
     return X.ctr_sample(
         views.catalogue_impressions(spark, sf_dir), day,
-        views.behaviour_documents(spark, sf_dir), rate,
+        views.behaviour_documents(spark, sf_dir), DAY, rate,
     )
 
 
@@ -463,7 +469,7 @@ def item_knn_bm25(spark, sf_dir):
 
 @query
 def als_similar_items(spark, sf_dir):
-    items, _ = M.als_factors(views.purchases(spark, sf_dir), rank=16, iterations=5)
+    items, _ = M.als_factors(views.purchases(spark, sf_dir))
     return V.cosine_topk(items)
 
 
@@ -480,7 +486,7 @@ def approx_topk(spark, sf_dir):
 @query
 def skipgram_topk(spark, sf_dir):
     corpus = Q.session_corpus(views.events(spark, sf_dir), views.LAST_DAY, days=30)
-    return V.cosine_topk(M.skipgram_vectors(corpus, size=32))
+    return V.cosine_topk(M.skipgram_vectors(corpus))
 
 
 @query

@@ -274,7 +274,7 @@ def labelled_rows(rows: DataFrame, items: DataFrame) -> DataFrame:
 def month_profiles(rows: DataFrame, items: DataFrame) -> DataFrame:
     """The features of every user and day of the month with five items or more."""
     features = backfill_user_features(rows, items, _run_days())
-    enough = features.filter((F.size(F.split("item_seq", ",")) >= 5) | (F.col("part") > 0))
+    enough = features.filter(F.col("n_items") >= 5)
     lists = [parse_int_list(F.col(name)).alias(name) for name in LISTS]
     return enough.select(
         "ad_id", "dt", F.concat_ws(":", "ad_id", "dt").alias("profile"), *lists

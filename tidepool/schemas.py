@@ -7,17 +7,18 @@ ACTIVE_ITEMS = "item_id string, item_num bigint, item_no bigint, dt string"
 ITEM_INDEX = "item_id string, item_no bigint, dt string"
 USER_FEATURES = (
     "ad_id string, part int, item_seq string, behavior_seq string, item_car string, "
-    "item_purchase string, item_category string, dt string"
+    "item_purchase string, item_category string, n_items bigint, dt string"
 )
 USER_SESSIONS = (
-    "ad_id string, part int, item_nos array<bigint>, behavior_types array<int>, dt string"
+    "ad_id string, part int, item_nos array<bigint>, behavior_types array<int>, n_items bigint, "
+    "dt string"
 )
 TRAIN_SAMPLE_TEXT = (
     "ad_id string, item_seq string, behavior_seq string, item_car string, "
     "item_purchase string, item_category string, item_target bigint, label int"
 )
 TRAIN_SAMPLE = (
-    "ad_id string, part int, item_seq string, behavior_seq string, item_car string, "
+    "ad_id string, item_seq string, behavior_seq string, item_car string, "
     "item_purchase string, item_category string, item_target bigint, label int, dt string"
 )
 TRAIN_EXAMPLE = (
@@ -36,7 +37,8 @@ FEATURE_MATERIAL = (
     "click double, postback double, dt string"
 )
 USER_BEHAVIOUR_ARRAYS = (
-    "ad_id string, part int, content_ids array<string>, behavior_types array<string>, dt string"
+    "ad_id string, part int, content_ids array<string>, behavior_types array<string>, "
+    "has_view int, has_add_to_car int, dt string"
 )
 USER_BEHAVIOUR_JSON = "ad_id string, part int, user_behavior_f string, dt string"
 CTR_SAMPLE = (
