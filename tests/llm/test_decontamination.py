@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.tables import documents, values, whole
+from tidepool.llm import decontamination as D
+from tidepool.llm.queries import benchmark_decontamination
+
+WORDS = ("alpha bravo charlie delta echo foxtrot golf hotel india juliett kilo lima mike november oscar papa quebec "
+         "romeo sierra tango uniform victor whiskey yankee zulu").split()
+
+
+def prose(draw: random.Random, n: int) -> str:
+    return " ".join(draw.choice(WORDS) for _ in range(n))
+
+
+def plain(text: str) -> str:
+    return re.sub(r"[\W_]+", " ", text.lower()).strip()
+
+
+def least_edits(pattern: str, text: str) -> int:
+    """Edits between a pattern and the part of a text that it fits best."""
+    row = [0] * (len(text) + 1)
+    for k, sign in enumerate(pattern, 1):
+        above, row[0] = row[0], k
+        for j, other in enumerate(text, 1):
+            above, row[j] = row[j], min(above + (sign != other), row[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def holds_passage(item: str, text: str, window: int, edits: int) -> bool:
+    item, text = plain(item), plain(text)
+    size = min(window, len(item))
+    return any(least_edits(item[at:at + size], text) <= size * edits // window for at in range(len(item) - size + 1))
+
+
+def test_all_passages_of_the_whole_table(spark, sf_dir):
+    items = [(r["item_id"], plain(r["text"])) for r in whole(spark, sf_dir, "benchmark")]
+    expected = {(r["doc_id"], name) for r in whole(spark, sf_dir) for own in [plain(r["text"])]
+                for name, item in items if item in own}
+    rows = benchmark_decontamination(spark, sf_dir).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in rows}
+    assert expected <= found
+    texts = {r["doc_id"]: r["text"] for r in whole(spark, sf_dir)}
+    raw = dict(((r["item_id"], r["text"]) for r in whole(spark, sf_dir, "benchmark")))
+    assert all(holds_passage(raw[i], texts[d], D.WINDOW, D.EDITS) for d, i in found - expected)
+    for r in rows:
+        assert 0 <= r["start"] < r["end"] <= len(texts[r["doc_id"]])
+        if not r["edits"]:
+            assert plain(texts[r["doc_id"]][r["start"]:r["end"]])[:60] in plain(raw[r["item_id"]])
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_edited_passages_against_brute_force(seed):
+    draw = random.Random(seed)
+    items = [(k, prose(draw, draw.randrange(3, 40))) for k in range(6)]
+    search = D.Search(D.build(items, 60, 2))
+    for _ in range(12):
+        name, item = draw.choice(items)
+        signs = list(item[draw.randrange(len(item) // 2):])
+        for _ in range(draw.randrange(0, 6)):
+            at = draw.randrange(len(signs))
+            signs[at:at + 1] = draw.choice([[], ["q"], [signs[at], "z"]])
+        text = f"{prose(draw, 8)}, {''.join(signs).upper()}; {prose(draw, 8)}"
+        found = {row[0] for row in search.passages(text)}
+        assert all(holds_passage(dict(items)[k], text, 60, 2) for k in found)
+        # a q-gram filter with one or two edits on 60 characters may keep no 16-gram of shorter items
+        for k, other in items:
+            size = min(60, len(plain(other)))
+            allowed = int(search.index.edits[search.index.items.index(k)]) if k in search.index.items else None
+            if allowed is not None and holds_exact(other, text, size, allowed):
+                assert k in found
+
+
+def holds_exact(item: str, text: str, size: int, edits: int) -> bool:
+    item, text = plain(item), plain(text)
+    return any(least_edits(item[at:at + size], text) <= edits for at in range(len(item) - size + 1))
+
+
+def test_blocks_of_a_large_benchmark_and_long_documents(spark, monkeypatch):
+    draw = random.Random(3)
+    items = [(k, prose(draw, 30)) for k in range(12)]
+    docs = [(k, f"{prose(draw, 5)} {text} {prose(draw, 5)}") for k, text in items]
+    docs.append((99, f"{prose(draw, 30_000)} {items[3][1]} {prose(draw, 30_000)} {items[3][1]}"))
+    monkeypatch.setattr(D, "INDEXED", 600)
+    bench = spark.createDataFrame([*items, (50, None), (51, ""), (52, "short"), (None, prose(draw, 30))], "item_id long, text string")
+    assert len(D.indexes(bench, 120, 5, 600)) > 2
+    rows = D.passages(spark, documents(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} >= {(k, k) for k, _ in items} | {(99, 3)}
+    assert sum(r["doc_id"] == 99 and r["item_id"] == 3 for r in rows) == 2
+    kept = D.clean_documents(spark, documents(spark, [*docs, (100, prose(draw, 50))]).withColumn("leaks", F.lit(1)), bench)
+    assert [r["doc_id"] for r in kept.collect()] == [100] and "leaks" in kept.columns
+
+
+def test_awkward_rows(spark, awkward):
+    bench = spark.createDataFrame([(1, "many words " * 20), (1, "many words " * 20), (2, None)], "item_id long, text string")
+    docs = documents(spark, awkward)
+    assert {r["doc_id"] for r in D.passages(spark, docs, bench).collect()} == {9}
+    assert {r["doc_id"] for r in D.clean_documents(spark, docs, bench).collect()} == {k for k, _ in awkward} - {9}
+    none = spark.createDataFrame([], bench.schema)
+    assert D.passages(spark, docs, none).count() == 0
+    assert values(D.clean_documents(spark, docs, none)) == values(docs)
+    assert D.passages(spark, documents(spark, []), bench).count() == 0

@@ -207,7 +207,8 @@ def formatted(rows: DataFrame) -> DataFrame:
                     [*batch.columns, pa.array(marked, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
                     [part.split(" ")[0] for part in FORMATTED.split(", ")])
 
-    return rows.select("id", "turn", "place", "role", "text").mapInArrow(of, FORMATTED)
+    kinds = {"id": "long", "turn": "long", "place": "int", "role": "string", "text": "string"}
+    return rows.select(*(F.col(name).cast(kind) for name, kind in kinds.items())).mapInArrow(of, FORMATTED)
 
 
 DIGESTS = ("id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

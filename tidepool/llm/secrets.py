@@ -191,13 +191,13 @@ class Formats:
 
 
 def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, quantile: float = 0.05,
-          text_col: str = "text") -> Formats:
+          slack: float = 0.1, text_col: str = "text") -> Formats:
     """Formats of the credentials that the known patterns find, and of other tokens.
 
     Labelled credentials are the different matches of each kind in all documents. An automaton
     is fitted on at most ``per_kind`` of a kind, of ``longest`` signs or fewer, with the
-    smallest hashes; these few come to the driver. ``quantile`` of them lie below the least
-    likelihood of the kind. A kind without a match has no automaton; without any, no span is
+    smallest hashes; these few come to the driver. The least likelihood of a kind is that of a
+    ``quantile`` of them, less ``slack`` as they fit their own automaton best. A kind without a match has no automaton; without any, no span is
     added to the known ones.
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,8 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
     for kind in range(len(KINDS)):
         if strings := sorted(by_kind.get(kind, [])):
             automaton = infer(strings)
-            credentials.append((automaton, float(np.quantile([automaton.likelihood(s) for s in strings], quantile))))
+            least = float(np.quantile([automaton.likelihood(s) for s in strings], quantile)) - slack
+            credentials.append((automaton, least))
     plain = sorted(by_kind.get(len(KINDS), []))
     return Formats(tuple(credentials), infer(plain) if plain else None)
 

@@ -69,7 +69,7 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
              l1: float, l2: float) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal with a learning rate of its own for each coordinate; the last one is the bias.
 
-    Returns the numbers of the non-zero weights, these weights, and the bias.
+    Both classes weigh alike, whatever their shares of the sample. Returns the numbers of the non-zero weights, these weights, and the bias.
     """
     size = 1 << HASH_BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
@@ -82,11 +82,13 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
 
     draw = np.random.default_rng(7)
     rows = [np.append(row, size) for row in rows]
+    share = np.bincount(label, minlength=2) / len(label)
+    weight = 0.5 / np.maximum(share, 1 / (2 * len(label)))
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):
             at = rows[k]
             w = weights(at)
-            slope = probability(w.sum()) - label[k]
+            slope = (probability(w.sum()) - label[k]) * weight[label[k]]
             square = slope * slope
             z[at] += slope - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / alpha * w
             n[at] += square
@@ -96,8 +98,8 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS,
-          most: int = FEATURES, epochs: int = 4, alpha: float = 0.1, beta: float = 1.0,
-          l1: float = 1.0, l2: float = 1.0, id_col: str = "doc_id", text_col: str = "text") -> Model:
+          most: int = FEATURES, epochs: int = 10, alpha: float = 0.3, beta: float = 1.0,
+          l1: float = 6.0, l2: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Weights from at most ``per_class`` labelled documents of each class.
 
     One task fits the sample; its size is bounded by ``per_class`` and by ``most`` features of
