@@ -105,15 +105,30 @@ def test_include_self_and_zero_vectors(spark):
 
 
 @pytest.mark.parametrize("block_rows", [16, 1000])
-def test_lsh_finds_most_true_neighbours(spark, block_rows):
+def test_hashed_search_finds_most_true_neighbours(spark, block_rows):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16))
     matrix = np.repeat(centres, 12, axis=0) + 0.2 * rng.normal(size=(240, 16))
     matrix[:80] = matrix[0] + 1e-3 * rng.normal(size=(80, 16))  # one very full bucket
     exact = collected(V.cosine_topk(vectors(spark, matrix), k=5))
-    found = collected(V.lsh_topk(vectors(spark, matrix), k=5, block_rows=block_rows))
+    found = collected(V.hashed_topk(vectors(spark, matrix), k=5, block_rows=block_rows))
     hits = sum(len({n for n, _ in exact[i]} & {n for n, _ in found.get(i, [])}) for i in exact)
     assert hits / (5 * len(exact)) > 0.9
+    assert all(len({n for n, _ in best}) == 5 for best in found.values()) and len(found) == 240
+
+
+def test_hashed_search_compares_few_pairs_of_vectors_with_structure(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 16))
+    matrix = np.repeat(centres, 25, axis=0) + 0.25 * rng.normal(size=(1500, 16))
+    quality = V.search_quality(vectors(spark, matrix), k=5).first()
+    assert quality.recall >= 0.9 and quality.compared <= 1 / 3 and quality.found == 5 * 1500
+
+
+def test_hashed_search_gives_k_neighbours_of_few_vectors(spark):
+    matrix = np.random.default_rng(0).normal(size=(4, 8))
+    assert collected(V.hashed_topk(vectors(spark, matrix), k=3)) == collected(V.cosine_topk(vectors(spark, matrix), k=3))
+    assert V.hashed_topk(vectors(spark, matrix).where("false"), k=3).count() == 0
 
 
 def brute_knn(scores, weight, k, b=0.2, k1=100.0):

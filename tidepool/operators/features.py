@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidepool.functions.columns import json_object, merge_json
 from tidepool.functions.dates import in_window, shift_day
 from tidepool.operators.joins import salted_join
+from tidepool.operators.numbering import number_rows
 from tidepool.operators.samples import downsample_negatives
+from tidepool.shared import cut_lineage
 
 KINDS = ("dense", "embedding", "sparse", "weighted_embedding", "labels")
 
@@ -183,9 +185,37 @@ def typed_features(df: DataFrame, config: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
-def _dense_aggregates(value: str) -> list[Column]:
-    x = F.col(value)
-    return [
+NUMBERS = ("count", "positive", "min", "max", "mean", "square_mean", "variance")
+
+
+def statistics(typed: DataFrame) -> DataFrame:
+    """All statistics of a day in one pass: ``name, kind, whole, key`` and the numbers.
+
+    ``whole`` rows stand for a feature: a dense one, or a sparse or embedding one by
+    documents. The others stand for one value (``key``) of a sparse or embedding feature, or
+    for one key of a weighted one. Every document is read and taken apart once; the numbers
+    are added up before anything is moved.
+    """
+    none = F.lit(None)
+
+    def entry(whole: bool, key: Column, x: Column) -> Column:
+        return F.struct(F.lit(whole).alias("whole"), key.cast("string").alias("key"),
+                        x.cast("double").alias("x"))
+
+    kind = F.col("kind")
+    itself = F.array(entry(True, none, none))
+    entries = (
+        F.when(kind == "dense", F.array(entry(True, none, F.col("number_value"))))
+        .when(kind == "sparse", F.concat(itself, F.array(entry(False, F.col("text_value"), none))))
+        .when(kind == "embedding", F.concat(
+            itself, F.transform("counted_values", lambda value: entry(False, value, none))))
+        .when(kind == "weighted_embedding", F.transform(
+            F.map_entries("weights"), lambda pair: entry(False, pair["key"], pair["value"])))
+    )
+    x = F.col("x")
+    return typed.select("name", "kind", "label", F.inline(entries)).groupBy(
+        "name", "kind", "whole", "key"
+    ).agg(
         F.count("*").alias("count"),
         F.sum("label").alias("positive"),
         F.min(x).alias("min"),
@@ -193,61 +223,50 @@ def _dense_aggregates(value: str) -> list[Column]:
         F.avg(x).alias("mean"),
         F.avg(x * x).alias("square_mean"),
         F.var_pop(x).alias("variance"),
-    ]
+    )
 
 
 def dense_stats(typed: DataFrame) -> DataFrame:
     """Count, positives, range, mean and variance of every dense feature."""
-    dense = typed.filter(F.col("kind") == "dense")
-    return dense.groupBy("name").agg(*_dense_aggregates("number_value"))
-
-
-def category_totals(typed: DataFrame) -> DataFrame:
-    """Count and positives of every sparse and embedding feature, by documents."""
-    kinds = typed.filter(F.col("kind").isin("sparse", "embedding"))
-    return kinds.groupBy("name", "kind").agg(
-        F.count("*").alias("count"), F.sum("label").alias("positive")
-    )
+    return statistics(typed.filter(F.col("kind") == "dense")).select("name", *NUMBERS)
 
 
 def category_stats(typed: DataFrame) -> DataFrame:
-    """How often each value of a sparse or embedding feature occurs."""
-    values = typed.filter(F.col("kind").isin("sparse", "embedding")).select(
-        "name", "kind",
-        F.explode(
-            F.when(F.col("kind") == "sparse", F.array("text_value")).otherwise(
-                F.col("counted_values")
-            )
-        ).alias("value"),
+    """How often each value of a sparse or embedding feature occurs (``n``), with the feature's
+    own count and positives by documents."""
+    found = cut_lineage(statistics(typed.filter(F.col("kind").isin("sparse", "embedding"))))
+    values = found.filter(~F.col("whole")).select(
+        "name", "kind", F.col("key").alias("value"), F.col("count").alias("n")
     )
-    return values.groupBy("name", "kind", "value").agg(F.count("*").alias("n"))
+    totals = found.filter("whole").select("name", "kind", "count", "positive")
+    return values.join(totals, ["name", "kind"])
 
 
 def weighted_stats(typed: DataFrame) -> DataFrame:
     """The statistics of a dense feature for every key of a weighted feature."""
-    weighted = F.col("kind") == "weighted_embedding"
-    pairs = typed.filter(weighted).select(
-        "name", "label", F.explode(F.when(weighted, F.col("weights"))).alias("key", "weight")
-    )
-    return pairs.groupBy("name", "key").agg(*_dense_aggregates("weight"))
+    weighted = typed.filter(F.col("kind") == "weighted_embedding")
+    return statistics(weighted).select("name", "key", *NUMBERS)
 
 
 def stats_report(day: str, typed: DataFrame) -> DataFrame:
-    """All statistics of a day as JSON rows ``dt, name, kind, key, stats``, sorted by name.
+    """All statistics of a day as JSON rows ``dt, name, kind, key, rank, stats``.
 
     One row per dense feature, per value of a category feature and per key of a
-    weighted one: a feature with very many values never becomes one document.
+    weighted one: a feature with very many values never becomes one document. ``rank``
+    orders the values of a feature by falling count, from 1; a feature's own row has none.
+    Rows come by name, kind and rank.
     """
-    def rows(stats: DataFrame, kind: Column, key: Column, fields: Sequence[str]) -> DataFrame:
-        return stats.select("name", kind.alias("kind"), key.alias("key"),
-                            F.to_json(F.struct(*fields)).alias("stats"))
-
-    numbers = ["count", "positive", "min", "max", "mean", "square_mean", "variance"]
-    none = F.lit(None).cast("string")
-    report = (
-        rows(dense_stats(typed), F.lit("dense"), none, numbers)
-        .unionByName(rows(category_totals(typed), F.col("kind"), none, ["count", "positive"]))
-        .unionByName(rows(category_stats(typed), F.col("kind"), F.col("value"), ["n"]))
-        .unionByName(rows(weighted_stats(typed), F.lit("weighted_embedding"), F.col("key"), numbers))
-    )
-    return report.select(F.lit(day).alias("dt"), "*").orderBy("name", "kind", "key")
+    found = statistics(typed.filter(F.col("kind") != "labels"))
+    order = [F.asc("name"), F.asc("kind"), F.desc("whole"), F.desc("count"), F.asc_nulls_last("key")]
+    numbered = cut_lineage(number_rows(found, order, "_n"))
+    first = numbered.filter(~F.col("whole")).groupBy("name", "kind").agg(F.min("_n").alias("_first"))
+    counted = F.struct("count", "positive")
+    stats = (
+        F.when(F.col("kind").isin("dense", "weighted_embedding"), F.to_json(F.struct(*NUMBERS)))
+        .when(F.col("whole"), F.to_json(counted))
+        .otherwise(F.to_json(F.struct(F.col("count").alias("n"))))
+    )
+    rank = F.when(~F.col("whole"), F.col("_n") - F.col("_first") + 1)
+    return numbered.join(first, ["name", "kind"], "left").orderBy("_n").select(
+        F.lit(day).alias("dt"), "name", "kind", "key", rank.alias("rank"), stats.alias("stats")
+    )

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidepool.functions.columns import norm
 from tidepool.operators.joins import salted_join
+from tidepool.shared import cut_lineage
 
 BLOCK_ROWS = 2048
 DIGITS = 9  # scores equal to this many digits are ties, which the smaller id wins
@@ -144,30 +143,123 @@ def cosine_topk(
     return keep_top(top_neighbours(unit_vectors(vectors), k, include_self, block_rows), k)
 
 
-def lsh_topk(
+def fit_cells(sample: np.ndarray, cells: int, rounds: int = 15, seed: int = 0) -> np.ndarray:
+    """Centres of ``cells`` groups of unit vectors, by k-means on the sphere."""
+    draw = np.random.default_rng(seed)
+    centres = sample[draw.choice(len(sample), size=min(cells, len(sample)), replace=False)]
+    for _ in range(rounds):
+        nearest = (sample @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.maximum(length, 1e-12), centres)
+    return centres
+
+
+def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -> int:
+    """The fewest nearest cells per vector with which the sample's own neighbours mostly share one."""
+    queries = sample[:256]
+    scores = queries @ sample.T
+    scores[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :min(k, len(sample) - 1)]
+    order = np.argsort(-(sample @ centres.T), axis=1, kind="stable")
+    member = np.zeros(order.shape, dtype=bool)
+    for probes in range(1, len(centres) + 1):
+        np.put_along_axis(member, order[:, probes - 1:probes], True, axis=1)
+        shared = (member[:len(queries), None, :] & member[best]).any(axis=2)
+        if shared.mean() >= recall:
+            return probes
+    return len(centres)
+
+
+def _in_cells(units: DataFrame, centres: np.ndarray, probes: int, homes: np.ndarray, k: int) -> DataFrame:
+    """``item, vector, bucket``: each vector in its ``probes`` nearest cells, and in as many more
+    as it takes to meet ``k`` others, by the number of vectors at home in each (``homes``)."""
+    sent = units.sparkSession.sparkContext.broadcast((centres, homes))
+    fields = [units.schema["item"], units.schema["vector"], T.StructField("bucket", T.IntegerType())]
+
+    def of(batches):
+        own, population = sent.value
+        for pdf in batches:
+            if len(pdf):
+                order = np.argsort(-(np.stack(pdf["vector"].to_numpy()) @ own.T), axis=1, kind="stable")
+                short = (np.cumsum(population[order], axis=1) <= k).sum(axis=1) + 1
+                width = np.minimum(np.maximum(short, probes), order.shape[1])
+                chosen = np.arange(order.shape[1]) < width[:, None]
+                out = pdf.loc[pdf.index.repeat(width)].reset_index(drop=True)
+                out["bucket"] = order[chosen].astype("int32")
+                yield out
+
+    return units.mapInPandas(of, T.StructType(fields))
+
+
+def cell_buckets(
+    vectors: DataFrame, k: int, recall: float = 0.95, cells: int | None = None,
+    sample_rows: int = 20_000, seed: int = 0,
+) -> DataFrame:
+    """The search index ``item, vector, bucket`` (see :func:`hashed_topk`)."""
+    units = cut_lineage(unit_vectors(vectors))
+    n = units.count()
+    sample = units.orderBy(F.xxhash64("item")).limit(sample_rows).select("vector").collect()
+    if not sample:
+        return units.withColumn("bucket", F.lit(0))
+    points = np.array([row.vector for row in sample])
+    wanted = cells or max(1, min(round(4 * n ** 0.5), len(points) // 4))
+    centres = fit_cells(points, wanted, seed=seed)
+    probes = probes_needed(points, centres, k, recall)
+    homes = np.zeros(len(centres), dtype="int64")
+    for row in _in_cells(units, centres, 1, np.full(len(centres), k + 1), k).groupBy("bucket").count().collect():
+        homes[row["bucket"]] = row["count"]  # one row a cell
+    return _in_cells(units, centres, probes, homes, k)
+
+
+def hashed_topk(
     vectors: DataFrame,
     k: int = 10,
-    tables: int = 10,
-    bucket: float = 0.25,
+    recall: float = 0.95,
+    cells: int | None = None,
+    sample_rows: int = 20_000,
     seed: int = 0,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The ``k`` most similar items among those sharing a hash bucket in any of the tables.
+    """The ``k`` most similar items among those that share a cell with the item.
+
+    The centres of the cells are fitted on at most ``sample_rows`` vectors (those with the
+    smallest hashes); how many nearest cells a vector goes to is the least number with which
+    ``recall`` of the neighbours within the sample share one. Every vector is indexed, and in
+    so many cells that it meets ``k`` others if there are so many. The number of cells grows
+    with the square root of the vectors, so vectors with structure meet a falling share of
+    the others; vectors without any need many cells. Within a cell the search is exact, and
+    a cell of any size is cut in blocks.
+    """
+    bucketed = cut_lineage(cell_buckets(vectors, k, recall, cells, sample_rows, seed))
+    return _within_cells(bucketed, k, block_rows)
+
+
+def _within_cells(bucketed: DataFrame, k: int, block_rows: int) -> DataFrame:
+    found = top_neighbours(bucketed, k, block_rows=block_rows, group="bucket")
+    # A pair may meet in several cells, with scores that differ by rounding.
+    once = found.groupBy("item", "neighbour").agg(F.max("score").alias("score"))
+    return keep_top(once, k)
 
-    Within a bucket the search is exact, and a bucket of any size is cut in blocks.
+
+def search_quality(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS, **settings) -> DataFrame:
+    """``items, found, recall, compared``: hashed against exact search, on all items.
+
+    ``compared`` is the number of comparisons as a share of those of the exact search.
     """
-    units = unit_vectors(vectors).withColumn("point", array_to_vector("vector"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="point", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed
+    bucketed = cut_lineage(cell_buckets(vectors, k, **settings))
+    hashed = cut_lineage(_within_cells(bucketed, k, block_rows))
+    exact = cut_lineage(cosine_topk(vectors, k))
+    sizes = bucketed.groupBy("bucket").agg(F.count("*").cast("double").alias("n"))
+    # single rows of totals
+    pairs = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs")).first()["pairs"]
+    wanted, hits = exact.count(), exact.join(hashed, ["item", "neighbour"], "left_semi").count()
+    return unit_vectors(vectors).agg(F.count("*").alias("items")).select(
+        "items", F.lit(hashed.count()).alias("found"),
+        F.try_divide(F.lit(float(hits)), F.lit(float(wanted))).alias("recall"),
+        F.try_divide(F.lit(pairs), (F.col("items") * (F.col("items") - 1)).cast("double")).alias("compared"),
     )
-    hashed = lsh.fit(units).transform(units)
-    bucketed = hashed.select("item", "vector", F.posexplode("hashes").alias("table", "hash")).select(
-        "item", "vector",
-        F.concat_ws(":", "table", vector_to_array("hash")[0].cast("bigint")).alias("bucket"),
-    )
-    found = top_neighbours(bucketed, k, block_rows=block_rows, group="bucket")
-    # An item pair meets once per shared bucket, always with the same score.
-    return keep_top(found.distinct(), k)
 
 
 def as_text(topk: DataFrame) -> DataFrame:

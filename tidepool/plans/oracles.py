@@ -201,7 +201,8 @@ PARTS: dict[str, str] = {
     SELECT ad_id, list_filter(range(1, {ACTIVE_CAP + 1}), lambda x: NOT list_contains(own, x)) AS free
     FROM (SELECT ad_id, list(item_no) AS own FROM positives GROUP BY ad_id)""",
     "labelled": """
-    SELECT ad_id, concat_ws(':', ad_id, CAST(ts AS VARCHAR), CAST(item_no AS VARCHAR)) AS row_id,
+    SELECT ad_id, concat_ws(':', ad_id, CAST(ts AS VARCHAR), CAST(item_no AS VARCHAR),
+                                CAST(behavior_type AS VARCHAR)) AS row_id,
            item_no, dt FROM numbered""",
     "month": """
     SELECT l.row_id, l.ad_id, l.item_no, f.item_seq, f.item_car, f.item_purchase
@@ -343,12 +344,16 @@ ORACLES: dict[str, str] = {
     "delimited_roundtrip": _with("SELECT * FROM features"),
     "partition_replace": _with(f"""
     SELECT dt, count(*) AS n,
-           CAST(sum(CASE WHEN dt BETWEEN {back(7)} AND {back(1)} THEN click ELSE 0 END) AS BIGINT)
+           CAST(sum(CASE WHEN dt BETWEEN {back(7)} AND {back(2)} THEN click ELSE 0 END) AS BIGINT)
                AS clicks
-    FROM impressions GROUP BY dt"""),
+    FROM impressions WHERE dt <> {back(1)} GROUP BY dt"""),
     "ctas_partitioned": _with("SELECT * FROM catalogue_impressions"),
     "export_by_day": _with(f"""
-    SELECT * FROM impressions WHERE dt BETWEEN {back(7)} AND {back(1)}"""),
+    SELECT * FROM impressions WHERE dt BETWEEN {back(9)} AND {back(1)}"""),
+    "shards": _with("SELECT count(*) AS n, 1 AS in_shards, 6 AS shards FROM shown"),
+    "missing_table": _with("""
+    SELECT DISTINCT item_id, CAST(NULL AS BIGINT) AS item_no, CAST(NULL AS VARCHAR) AS dt
+    FROM behaviours"""),
     "parameterised_sql": _with(f"""
     SELECT dt, count(*) AS n, CAST(sum(click) * 100 AS BIGINT) AS clicks FROM impressions
     WHERE dt BETWEEN {back(10)} AND {back(1)} GROUP BY dt"""),
@@ -461,6 +466,14 @@ ORACLES: dict[str, str] = {
            CAST(json_array_length(d.user_behavior_f, '$.content_ids_list') AS INTEGER) AS n_items
     FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}' AND CAST(m.ots AS BIGINT) % 11 <> 0
     JOIN documents_json d ON s.ad_id = d.ad_id"""),
+    "ctr_feature_merge_limited": _with(f"""
+    SELECT s.ots, s.ad_id AS ad_id_plus, s.mc_item_id AS item_id,
+           CAST(s.core_label AS VARCHAR) AS core_label, m.click AS ctr_label, m.postback AS cvr_label,
+           '{DAY}' AS dt
+    FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
+     AND CAST(m.ots AS BIGINT) % 11 <> 0
+    JOIN documents_json d ON s.ad_id = d.ad_id
+    ORDER BY s.ots, item_id, ad_id_plus, core_label LIMIT 10"""),
     "typed_features": _with("""
     SELECT event_id, name, kind, label, text_value, round(number_value, 6) AS number_value,
            array_to_string(text_values, ',') AS text_values, CAST(len(counted) AS INTEGER) AS n_values,
@@ -475,12 +488,16 @@ ORACLES: dict[str, str] = {
                           GROUP BY ALL) t USING (name, kind)
     GROUP BY ALL"""),
     "feature_stats_report": _with(f"""
-    SELECT '{AS_OF}' AS dt, name, 'dense' AS kind, CAST(NULL AS VARCHAR) AS key, count(*) AS n
+    SELECT '{AS_OF}' AS dt, name, 'dense' AS kind, CAST(NULL AS VARCHAR) AS key,
+           CAST(NULL AS BIGINT) AS rank, count(*) AS n
     FROM dense_long GROUP BY name
-    UNION ALL SELECT '{AS_OF}', name, kind, NULL, count(*) FROM typed
+    UNION ALL SELECT '{AS_OF}', name, kind, NULL, NULL, count(*) FROM typed
     WHERE kind IN ('sparse', 'embedding') GROUP BY name, kind
-    UNION ALL SELECT '{AS_OF}', name, kind, value, count(*) FROM value_long GROUP BY name, kind, value
-    UNION ALL SELECT '{AS_OF}', name, 'weighted_embedding', key, count(*)
+    UNION ALL SELECT '{AS_OF}', name, kind, value,
+                     row_number() OVER (PARTITION BY name, kind ORDER BY count(*) DESC, value), count(*)
+    FROM value_long GROUP BY name, kind, value
+    UNION ALL SELECT '{AS_OF}', name, 'weighted_embedding', key,
+                     row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, key), count(*)
     FROM weight_long GROUP BY name, key"""),
     "scalar_functions": f"""
     SELECT o_orderkey, 's:' || o_custkey AS item_id, string_split(o_orderpriority, ':')[1] AS category,
@@ -555,7 +572,14 @@ ORACLES: dict[str, str] = {
     LEFT JOIN creatives c ON i.creative_id = c.creative_id
     WHERE i.dt BETWEEN {back(2)} AND {back(1)} AND x.dt BETWEEN {back(2)} AND {back(1)}
     GROUP BY i.dt"""),
-    "interaction_scores": _with('SELECT u AS "user", i AS item, round(x, 6) AS score FROM pairs'),
+    "interaction_scores": """
+    SELECT o_custkey AS "user", l_partkey AS item, round(sum(l_quantity * 100 + 1), 6) AS score
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "vocabulary_lookup": """
+    SELECT dense_rank() OVER (ORDER BY o_custkey) - 1 AS user_index,
+           dense_rank() OVER (ORDER BY l_partkey) - 1 AS item_index,
+           CAST(sum(l_quantity) AS DOUBLE) AS score, 1 AS contiguous
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey""",
     "item_knn_tfidf": _knn("tfidf_raw", True),
     "item_knn_cosine": _knn("cosine_raw", True),
     "item_knn_bm25": _knn("bm25_raw", False),
@@ -567,6 +591,27 @@ ORACLES: dict[str, str] = {
                        round(list_cosine_similarity(a.v, b.v), 9) AS score
                 FROM item_vector a JOIN item_vector b ON a.item <> b.item))
     WHERE rank <= 10"""),
+    "embedding_topk_text": _with("""
+    SELECT item, string_agg(neighbour || '=' || round(score, 6), ',' ORDER BY rank) AS topk
+    FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, neighbour) AS rank
+          FROM (SELECT a.item, b.item AS neighbour,
+                       round(list_cosine_similarity(a.v, b.v), 9) AS score
+                FROM item_vector a JOIN item_vector b ON a.item <> b.item))
+    WHERE rank <= 10 GROUP BY item"""),
+    "approx_topk_quality": """
+    SELECT count(*) AS items, 10 * count(*) AS found, 1 AS finds_most, 1 AS compares_less
+    FROM embeddings""",
+    "user_category_vectors": _with("""
+    SELECT ad_id, CAST(sum(n) AS BIGINT) AS n,
+           coalesce(string_agg(category, ',' ORDER BY category) FILTER (WHERE counts > 100), '') AS categories
+    FROM (SELECT ad_id, string_split(item_id, ':')[1] AS category, count(*) AS n
+          FROM item_events GROUP BY ALL)
+    JOIN (SELECT string_split(item_id, ':')[1] AS category, count(*) AS counts
+          FROM item_events GROUP BY ALL) USING (category)
+    GROUP BY ad_id HAVING sum(n) > 10"""),
+    "cluster_sizes": _with("""
+    SELECT count(*) AS users, 1 AS numbered
+    FROM (SELECT ad_id FROM item_events GROUP BY ad_id HAVING count(*) > 10)"""),
     "user_item_scores": _with("""
     SELECT m.row_id, m.item_no AS item, round(list_dot_product(u.v, i.v), 6) AS logit,
            round(1.0 / (1.0 + exp(-list_dot_product(u.v, i.v))), 6) AS score
@@ -583,7 +628,7 @@ ORACLES: dict[str, str] = {
                        round(list_dot_product(u.v, t.v), 9) AS own
                 FROM month m JOIN user_vector u ON m.row_id = u.row_id
                 JOIN item_vector t ON t.item = m.item_no
-                JOIN item_vector i ON i.item <> m.item_no)
+                JOIN item_vector i ON i.item <> m.item_no AND i.item BETWEEN 1 AND """ + str(ACTIVE_CAP) + """)
           GROUP BY row_id, item_no)"""),
     "auc": _with("""
     SELECT CAST(count(*) FILTER (WHERE label = 1) AS BIGINT) AS positives,

@@ -81,9 +81,10 @@ def partition_replace(spark, sf_dir):
     path = scratch_path(spark, "impressions")
     rows = views.impressions(spark, sf_dir)
     tables.create_as(rows.withColumn("click", F.lit(0)), path, ["dt"])
-    days = rows.filter(F.col("dt").between(*window_dates(AS_OF, -7, -1)))
+    days = rows.filter(F.col("dt").between(*window_dates(AS_OF, -7, -2)))
     tables.replace_partitions(days, path)
-    tables.replace_partitions(days, path)  # a day written again changes nothing
+    # a day written again changes nothing, and one that has no rows any more is emptied
+    tables.replace_partitions(days, path, days=[shift_day(AS_OF, -n) for n in range(1, 8)])
     return spark.read.schema(schemas.IMPRESSIONS).parquet(path).groupBy("dt").agg(
         F.count("*").alias("n"), F.sum("click").alias("clicks")
     )
@@ -100,10 +101,31 @@ def ctas_partitioned(spark, sf_dir):
 @query
 def export_by_day(spark, sf_dir):
     path = scratch_path(spark, "export")
-    tables.export_by_day(views.impressions(spark, sf_dir), path, *window_dates(AS_OF, -7, -1))
+    rows = views.impressions(spark, sf_dir)
+    tables.export_by_day(rows, path, *window_dates(AS_OF, -9, -5))
+    tables.export_by_day(rows, path, *window_dates(AS_OF, -7, -1))
     return tables.read_delimited(spark, path, schemas.IMPRESSIONS, by=["dt"])
 
 
+@query
+def shards(spark, sf_dir):
+    shown = views.shown_items(spark, sf_dir)
+    dealt = tables.redistribute(shown, 6, ["ots"]).withColumn("shard", F.spark_partition_id())
+    by_key = dealt.groupBy("ots").agg(F.count("*").alias("n"), F.count_distinct("shard").alias("in_shards"),
+                                      F.max("shard").alias("shard"))
+    return by_key.agg(F.sum("n").alias("n"), F.max("in_shards").alias("in_shards"),
+                      F.count_distinct("shard").alias("shards"))
+
+
+@query
+def missing_table(spark, sf_dir):
+    path = scratch_path(spark, "index")
+    tables.ensure_dataset(spark, path, schemas.ITEM_INDEX, ["dt"])
+    held = spark.read.schema(schemas.ITEM_INDEX).parquet(path)
+    found = views.behaviours(spark, sf_dir).select("item_id").distinct()
+    return found.join(held, "item_id", "left")
+
+
 @query
 def parameterised_sql(spark, sf_dir):
     views.impressions(spark, sf_dir).createOrReplaceTempView("impressions")
@@ -320,6 +342,12 @@ def _typed(spark, sf_dir):
     )
 
 
+@query
+def ctr_feature_merge_limited(spark, sf_dir):
+    merged = X.merge_features(_ctr_sample(spark, sf_dir, 1.0), limit=10)
+    return merged.select("ots", "ad_id_plus", "item_id", "core_label", "ctr_label", "cvr_label", "dt")
+
+
 @query
 def typed_features(spark, sf_dir):
     weights = F.map_values("weights")
@@ -339,9 +367,7 @@ def feature_stats_dense(spark, sf_dir):
 
 @query
 def feature_stats_categorical(spark, sf_dir):
-    typed = _typed(spark, sf_dir)
-    values = X.category_stats(typed)
-    return values.join(X.category_totals(typed), ["name", "kind"])
+    return X.category_stats(_typed(spark, sf_dir))
 
 
 @query
@@ -353,7 +379,7 @@ def feature_stats_weighted(spark, sf_dir):
 def feature_stats_report(spark, sf_dir):
     report = X.stats_report(AS_OF, _typed(spark, sf_dir))
     n = F.coalesce(F.get_json_object("stats", "$.count"), F.get_json_object("stats", "$.n"))
-    return report.select("dt", "name", "kind", "key", n.cast("bigint").alias("n"))
+    return report.select("dt", "name", "kind", "key", "rank", n.cast("bigint").alias("n"))
 
 
 @query
@@ -444,7 +470,15 @@ def report_reach_split(spark, sf_dir):
 
 @query
 def interaction_scores(spark, sf_dir):
-    return _rounded(N.interaction_scores(views.purchases(spark, sf_dir)))
+    return _rounded(N.interaction_scores(views.purchase_lines(spark, sf_dir)))
+
+
+@query
+def vocabulary_lookup(spark, sf_dir):
+    scores, users, items = N.indexed_scores(cut_lineage(views.purchases(spark, sf_dir)))
+    contiguous = int(I.is_contiguous(users, "user_index") and I.is_contiguous(items, "item_index"))
+    return _rounded(scores.withColumns({
+        "score": F.col("score").cast("double"), "contiguous": F.lit(contiguous)}))
 
 
 def _knn(spark, sf_dir, weight):
@@ -478,9 +512,23 @@ def embedding_topk(spark, sf_dir):
     return _rounded(V.cosine_topk(views.item_vectors(spark, sf_dir)))
 
 
+@query
+def embedding_topk_text(spark, sf_dir):
+    topk = V.cosine_topk(views.item_vectors(spark, sf_dir))
+    return _texts(V.as_text(_rounded(topk)))
+
+
 @query
 def approx_topk(spark, sf_dir):
-    return V.lsh_topk(views.item_vectors(spark, sf_dir))
+    return V.hashed_topk(views.item_vectors(spark, sf_dir))
+
+
+@query
+def approx_topk_quality(spark, sf_dir):
+    return V.search_quality(views.item_vectors(spark, sf_dir)).select(
+        "items", "found", (F.col("recall") >= 0.9).cast("int").alias("finds_most"),
+        (F.col("compared") < 1).cast("int").alias("compares_less"),
+    )
 
 
 @query
@@ -489,12 +537,28 @@ def skipgram_topk(spark, sf_dir):
     return V.cosine_topk(M.skipgram_vectors(corpus))
 
 
-@query
-def user_category_clusters(spark, sf_dir):
+def _category_inputs(spark, sf_dir):
     rows = cut_lineage(views.events(spark, sf_dir))
     category = C.category_of(F.col("item_id")).alias("category")
-    counts = rows.groupBy(category).agg(F.count("*").alias("counts"))
-    return M.user_clusters(rows, counts)
+    return rows, rows.groupBy(category).agg(F.count("*").alias("counts"))
+
+
+@query
+def user_category_vectors(spark, sf_dir):
+    rows, counts = _category_inputs(spark, sf_dir)
+    return _texts(M.user_categories(rows, M.frequent_categories(counts)))
+
+
+@query
+def user_category_clusters(spark, sf_dir):
+    return M.user_clusters(*_category_inputs(spark, sf_dir))
+
+
+@query
+def cluster_sizes(spark, sf_dir):
+    sizes = M.cluster_sizes(M.user_clusters(*_category_inputs(spark, sf_dir)))
+    return sizes.agg(F.sum("users").alias("users"),
+                     (F.max("cluster") < 5).cast("int").alias("numbered"))
 
 
 # Evaluation
@@ -524,7 +588,8 @@ def hit_rate(spark, sf_dir):
     pairs = samples.groupBy("profile", F.col("item_no").alias("target")).agg(
         F.count("*").alias("n")
     )
-    ranks = E.target_ranks(pairs.select("profile", "target"), users, candidates)
+    numbered = candidates.filter(F.col("item").between(1, ACTIVE_CAP))
+    ranks = E.target_ranks(pairs.select("profile", "target"), users, numbered)
     return _rounded(E.hit_rate(ranks.join(pairs, ["profile", "target"]), weight="n"))
 
 

@@ -238,15 +238,18 @@ def catalogue(spark: SparkSession) -> DataFrame:
     return feature_config(spark, CONFIG)
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw user-item scores: the quantities each customer bought of each part."""
+def purchase_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every time a customer bought a part: the quantity."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item"), "l_quantity"
     )
-    return lines.join(orders, "o_orderkey").groupBy("user", "item").agg(
-        F.sum("l_quantity").alias("score")
-    )
+    return lines.join(orders, "o_orderkey").select("user", "item", F.col("l_quantity").alias("score"))
+
+
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw user-item scores: the quantities each customer bought of each part."""
+    return purchase_lines(spark, sf_dir).groupBy("user", "item").agg(F.sum("score").alias("score"))
 
 
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +267,8 @@ def labelled_rows(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Every behaviour of the month on an active item, with an id of its own."""
     return number_items(rows, items).select(
         "ad_id",
-        F.concat_ws(":", "ad_id", F.col("ts").cast("string"), F.col("item_no").cast("string"))
-        .alias("row_id"),
+        F.concat_ws(":", "ad_id", F.col("ts").cast("string"), F.col("item_no").cast("string"),
+                    F.col("behavior_type").cast("string")).alias("row_id"),
         "item_no",
         "dt",
     )
