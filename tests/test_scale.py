@@ -227,8 +227,8 @@ def test_ranks_and_hit_rate(spark):
         own = scores[i, t] if t < 90 else None
         expected[f"r{i}"] = None if own is None else 1 + sum(
             (s > own) or (s == own and j < t) for j, s in enumerate(scores[i]) if j != t)
-    for block_rows in (11, 1000):
-        ranks = E.target_ranks(targets_df, user_df, vectors(spark, items), block_rows)
+    for block_rows, sent_rows in ((11, 0), (1000, 0), (11, 89), (1000, 90)):
+        ranks = E.target_ranks(targets_df, user_df, vectors(spark, items), block_rows, sent_rows)
         assert {r.profile: r.rank for r in ranks.collect()} == expected
     long = spark.createDataFrame(
         [(f"r{i}", j, float(scores[i, j])) for i in range(50) for j in range(90)],
@@ -253,15 +253,14 @@ def test_user_vectors_and_scores(spark):
     users = E.user_vectors(profiles, vecs, 4)
     found = {r.profile: np.array(r.vector) for r in users.collect()}
     zero = np.zeros(4)
-    expected = {"p": np.concatenate([items[[1, 2, 2, 4]].mean(axis=0), zero, items[3]]),
-                "q": np.concatenate([zero, items[8], zero])}
+    expected = {"p": items[[1, 2, 2, 4]].mean(axis=0) + items[3], "q": items[8] + zero}
     for key, vector in expected.items():
         np.testing.assert_allclose(found[key], vector, atol=1e-12)
     pairs = spark.createDataFrame([("p", 0), ("p", 0), ("q", 5)], "profile string, item bigint")
-    scored = E.score_pairs(pairs, users, E.candidate_vectors(vecs)).collect()
+    scored = E.score_pairs(pairs, users, vecs).collect()
     assert len(scored) == 3
     for r in scored:
-        logit = expected[r.profile] @ np.tile(items[r.item], 3)
+        logit = expected[r.profile] @ items[r.item]
         assert r.logit == pytest.approx(logit) and r.score == pytest.approx(1 / (1 + np.exp(-logit)))
 
 

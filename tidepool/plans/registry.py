@@ -572,7 +572,7 @@ def _scored_inputs(spark, sf_dir, rows, items):
     samples = cut_lineage(views.month_samples(rows, items, profiles))
     vectors = views.item_vectors(spark, sf_dir)
     users = cut_lineage(E.user_vectors(profiles, vectors, VECTOR_SIZE))
-    return samples, users, E.candidate_vectors(vectors)
+    return samples, users, vectors
 
 
 @query

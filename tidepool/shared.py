@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, as every executor sees it.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a local session may go without the setting; it then gets a folder of its own. Spark
+    makes a folder for the session in it, which goes when the session's JVM ends.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -21,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
             configured = tempfile.mkdtemp(prefix="tidepool-")
         sc.setCheckpointDir(configured)
+    folder = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return sc.getCheckpointDir()
 
 
