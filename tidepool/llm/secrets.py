@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import fresh
+from tidepool.shared import cut_lineage
 
 #: The known patterns, fixed values: name, pattern, group that is the credential, its least length.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -194,7 +195,7 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
           slack: float = 0.1, text_col: str = "text") -> Formats:
     """Formats of the credentials that the known patterns find, and of other tokens.
 
-    Labelled credentials are the different matches of each kind in all documents. An automaton
+    Labelled credentials are the different matches of each kind in all documents, read once. An automaton
     is fitted on at most ``per_kind`` of a kind, of ``longest`` signs or fewer, with the
     smallest hashes; these few come to the driver. The least likelihood of a kind is that of a
     ``quantile`` of them, less ``slack`` as they fit their own automaton best. A kind without a match has no automaton; without any, no span is
@@ -211,7 +212,7 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
                 kinds, tokens = zip(*sorted(found))
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(tokens)], ["kind", "token"])
 
-    tokens = docs.select(F.col(text_col).alias("text")).mapInArrow(of, "kind int, token string").distinct()
+    tokens = cut_lineage(docs.select(F.col(text_col).alias("text")).mapInArrow(of, "kind int, token string").distinct())
     chosen = tokens.where("false")
     for kind in range(len(KINDS) + 1):
         chosen = chosen.unionAll(tokens.where(F.col("kind") == kind)
