@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators.joins import join_short
+
 #: Equivalent spellings, fixed values: after lower-casing the first is written as the second.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"),
@@ -103,7 +105,8 @@ def licences(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
 
     Scope 'text': the canonical text of the whole document is a known one. Scope 'line': so
     many of its lines are, each taken as a whole text. Only digests are joined, never texts,
-    and documents without a hit drop out in that join. Empty and NULL texts match nothing.
+    and documents without a hit drop out in that join: the known digests are counted and go to
+    every task, or, if they are very many, meet a salted shuffle. Empty and NULL texts match nothing.
     Hits are added up by id, so documents that repeat an id, or have none, share their rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("lines"))
@@ -111,5 +114,5 @@ def licences(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
     lines = F.transform(F.split("lines", "\n"), lambda line: F.struct(F.lit("line").alias("scope"), F.trim(line).alias("body")))
     units = (rows.select("id", F.explode(F.concat(F.array(unit), lines)).alias("unit"))
              .where("unit.body <> ''").select("id", "unit.scope", F.md5("unit.body").alias("digest")))
-    return (units.join(digests(known), "digest")
+    return (join_short(units, digests(known), ["digest"])
             .groupBy("id", "scope", "licence_id", "digest").agg(F.count("*").alias("found")))
