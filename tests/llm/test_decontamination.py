@@ -105,3 +105,11 @@ def test_awkward_rows(spark, awkward):
     assert D.passages(spark, docs, none).count() == 0
     assert values(D.clean_documents(spark, docs, none)) == values(docs)
     assert D.passages(spark, documents(spark, []), bench).count() == 0
+
+
+def test_long_texts_normalise_like_short_ones(monkeypatch):
+    text = "Some, words --  and\n\n more!! of them... " * 40
+    codes, places = D.normalised(text)
+    monkeypatch.setattr(D.texts, "BLOCK", 37)
+    again = D.normalised(text)
+    assert (codes == again[0]).all() and (places == again[1]).all()

@@ -29,13 +29,14 @@ TOGETHER = 256
 
 def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Letters and digits in lower case with one 0 for whatever lies between, and their places."""
-    codes, places, at = [], [], 0
+    codes, places, at, after_word = [], [], 0, True
     for block in texts.blocks(text):
         folded = texts.word_codes()[block]
-        kept = np.flatnonzero((folded != 0) | np.concatenate(([True], folded[:-1] != 0)))
+        kept = np.flatnonzero((folded != 0) | np.concatenate(([after_word], folded[:-1] != 0)))
         codes.append(folded[kept])
         places.append(kept + at)
         at += len(block)
+        after_word = bool(folded[-1])
     if not codes:
         return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
     return np.concatenate(codes), np.concatenate(places)
