@@ -80,18 +80,21 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
         out[np.abs(held) <= l1] = 0
         return out
 
+    def learn(at: np.ndarray, w: np.ndarray, slope: float) -> None:
+        square = slope * slope
+        z[at] += slope - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / alpha * w
+        n[at] += square
+
     draw = np.random.default_rng(7)
-    rows = [np.append(row, size) for row in rows]
+    bias = np.array([size])
     share = np.bincount(label, minlength=2) / len(label)
     weight = 0.5 / np.maximum(share, 1 / (2 * len(label)))
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):
-            at = rows[k]
-            w = weights(at)
-            slope = (probability(w.sum()) - label[k]) * weight[label[k]]
-            square = slope * slope
-            z[at] += slope - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / alpha * w
-            n[at] += square
+            w, own = weights(rows[k]), weights(bias)
+            slope = (probability(w.sum() + own[0]) - label[k]) * weight[label[k]]
+            learn(rows[k], w, slope)
+            learn(bias, own, slope)
     w = weights(np.arange(size + 1))
     kept = np.flatnonzero(w[:-1])
     return kept, w[kept], float(w[-1])
