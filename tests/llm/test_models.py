@@ -161,3 +161,13 @@ def test_l1_leaves_few_weights(spark):
     many = T.train(docs, labels, label="quality", l1=0.01)
     few = T.train(docs, labels, label="quality", l1=4.0)
     assert 0 < len(few.numbers) < len(many.numbers)
+
+
+def test_long_documents_are_learned_whole(spark):
+    draw = np.random.default_rng(3)
+    words = ["".join(x) for x in draw.choice(list("abcdefghijklmnopqrstuvwxyz"), size=(60_000, 6))]
+    bad = next(x for x in words if T.numbers(x).min() > 0.97 * (1 << T.HASH_BITS))
+    docs = [(k, " ".join([*draw.choice(words, 6000), bad] if k % 2 else draw.choice(words, 6000))) for k in range(60)]
+    assert min(len(T.features(text)) for _, text in docs) > 20_000
+    model = T.train(documents(spark, docs), spark.createDataFrame([(k, 0, k % 2) for k, _ in docs], LABELS), l1=4.0)
+    assert set(T.features(bad)) <= set(model.numbers[model.weights > 0])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import tempfile
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,9 +15,10 @@ from pyspark.sql import functions as F
 from tidepool.llm import texts
 from tidepool.llm.common import class_counts, labelled_sample
 
-#: Labelled documents of each class that the weights are fitted on, and features of one of them.
+#: Labelled documents of each class that the weights are fitted on.
 PER_CLASS = 5000
-FEATURES = 16_384
+#: Bytes of features that leave a task together.
+TOGETHER = 1 << 24
 #: Bits of a feature's number.
 HASH_BITS = 20
 #: Letters of the word beginnings that count as unigrams beside the whole words.
@@ -65,7 +68,26 @@ def probability(margin: float) -> float:
     return 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
 
 
-def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: float, beta: float,
+class Stored(Sequence):
+    """Arrays of feature numbers in an unnamed local file, read one at a time."""
+
+    def __init__(self) -> None:
+        self.file, self.ends = tempfile.TemporaryFile(), [0]
+
+    def append(self, packed: bytes) -> None:
+        self.file.seek(self.ends[-1])
+        self.file.write(packed)
+        self.ends.append(self.ends[-1] + len(packed))
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        self.file.seek(self.ends[k])
+        return np.frombuffer(self.file.read(self.ends[k + 1] - self.ends[k]), dtype=np.int32)
+
+
+def fit_ftrl(rows: Sequence[np.ndarray], label: np.ndarray, epochs: int, alpha: float, beta: float,
              l1: float, l2: float) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal with a learning rate of its own for each coordinate; the last one is the bias.
 
@@ -91,9 +113,10 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
     weight = 0.5 / np.maximum(share, 1 / (2 * len(label)))
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):
-            w, own = weights(rows[k]), weights(bias)
+            row = rows[k]
+            w, own = weights(row), weights(bias)
             slope = (probability(w.sum() + own[0]) - label[k]) * weight[label[k]]
-            learn(rows[k], w, slope)
+            learn(row, w, slope)
             learn(bias, own, slope)
     w = weights(np.arange(size + 1))
     kept = np.flatnonzero(w[:-1])
@@ -101,32 +124,45 @@ def fit_ftrl(rows: list[np.ndarray], label: np.ndarray, epochs: int, alpha: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS,
-          most: int = FEATURES, epochs: int = 10, alpha: float = 0.3, beta: float = 1.0,
-          l1: float = 6.0, l2: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> Model:
+          epochs: int = 10, alpha: float = 0.3, beta: float = 1.0, l1: float = 6.0, l2: float = 0.3,
+          id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Weights from at most ``per_class`` labelled documents of each class.
 
-    One task fits the sample; its size is bounded by ``per_class`` and by ``most`` features of
-    a sampled document (those with the smallest numbers, which are hashes). L1 leaves few
-    weights, and only these are sent on. With labels of one class only, or none, every text
-    has the share of label 1 (one row of each class added) as its score.
+    All features of a sampled document count. One task fits the sample, which is bounded by
+    ``per_class``; it keeps the features in a local file and reads a document at a time, in
+    each epoch. L1 leaves few weights, and only these are sent on. With labels of one class
+    only, or none, every text has the share of label 1 (one row of each class added) as its
+    score.
     """
     low, high = class_counts(labels, label)
 
-    @F.pandas_udf("binary")
-    def packed(texts_: pd.Series) -> pd.Series:
-        return texts_.map(lambda x: features(x)[:most].tobytes())
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "features"])
-        numbers, weights, bias = fit_ftrl([np.frombuffer(x, dtype=np.int32) for x in rows["features"]],
-                                          rows["label"].to_numpy(), epochs, alpha, beta, l1, l2)
-        return pd.DataFrame({"numbers": [numbers.astype(np.int32).tobytes()],
-                             "weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
-
-    sample = (labelled_sample(docs, labels, label, per_class, id_col, text_col)
-              .select(F.lit(1).alias("all"), "id", "label", packed("text").alias("features")))
-    found = (sample.groupBy("all").applyInPandas(fit, "numbers binary, weights binary, bias double")
-             .collect()) if low and high else []
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, held = [], 0
+            for name, text, own in zip(batch["id"], batch["text"], batch["label"]):
+                rows.append((name, own, features(text).tobytes()))
+                held += len(rows[-1][2])
+                if held >= TOGETHER:
+                    yield pd.DataFrame(rows, columns=["id", "label", "features"])
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=["id", "label", "features"])
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, own = Stored(), []
+        for batch in batches:
+            for one in batch["features"]:
+                rows.append(one)
+            own += batch["label"].tolist()
+        if own:
+            numbers, weights, bias = fit_ftrl(rows, np.array(own), epochs, alpha, beta, l1, l2)
+            yield pd.DataFrame({"numbers": [numbers.astype(np.int32).tobytes()],
+                                "weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
+
+    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col)
+    kind = sample.schema["id"].dataType.simpleString()
+    rows = sample.mapInPandas(packed, f"id {kind}, label int, features binary")
+    found = (rows.repartition(1).sortWithinPartitions("id", "features").select("label", "features")
+             .mapInPandas(fit, "numbers binary, weights binary, bias double").collect()) if low and high else []
     if not found:
         none = np.empty(0, dtype=np.int32)
         return Model(none, none.astype(np.float32), math.log((high + 1) / (low + 1)))
