@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tidepool import schemas
 from tidepool.functions import columns as C, dates
 from tidepool.operators import (
@@ -164,6 +165,45 @@ def test_what_comes_out_does_not_depend_on_the_slices(spark, monkeypatch):
     assert made() == whole and whole["samples"] and whole["examples"]
 
 
+def test_samples_of_any_slices_hold_whole_sequences(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.01"
+    names = {"train_sample": ["item_seq", "behavior_seq", "item_car", "item_purchase"],
+             "train_sample_conversions": ["item_nos", "behavior_types"]}
+
+    def made():
+        out = {}
+        for query, lists in names.items():
+            rows = queries()[query](spark, sf_dir).collect()
+            own = {}
+            for r in rows:  # a target's lists first, then those of -1, -2, ...
+                own.setdefault((r.ad_id, r.dt), {})[0 if r.label is not None else -r.item_target] = [
+                    r[name].split(",") if r[name] else [] for name in lists]
+            out[query] = {key: [sum((parts[k][n] for k in sorted(parts)), []) for n in range(len(lists))]
+                          for key, parts in own.items()}
+            out[f"targets of {query}"] = sorted(
+                (r.ad_id, r.item_target, r.label, r.dt) for r in rows if r.label is not None)
+        rows = queries()["ctr_sample"](spark, sf_dir).collect()
+        documents = {}
+        for r in rows:
+            if r.itemf is not None:
+                document = json.loads(r.itemf)
+                documents.setdefault((r.ad_id_plus, r.dt), {})[document.get("part", 0)] = document
+        out["itemf"] = {key: [sum((parts[k][name] for k in sorted(parts)), [])
+                              for name in ("content_ids_list", "behavior_types_list")]
+                        for key, parts in documents.items()}
+        out["clicks"] = sorted(str(r.asDict() | {"itemf": None}) for r in rows if r.ots is not None)
+        merged = queries()["ctr_feature_merge"](spark, sf_dir).collect()
+        first = {r.ad_id_plus: r.n_items for r in merged if r.ots is not None}
+        out["n_items"] = {user: n + sum(r.n_items for r in merged if r.ots is None and r.ad_id_plus == user)
+                          for user, n in first.items()}
+        return out
+
+    whole = made()
+    for make in (Q.user_features, Q.user_sessions, Q.user_behaviour_arrays):
+        monkeypatch.setattr(make, "__defaults__", (*make.__defaults__[:-1], 3))
+    assert made() == whole and all(whole.values())
+
+
 def test_active_items_break_ties_by_id(spark):
     rows = spark.createDataFrame(
         [("u", item, 1, 1, "2024-01-10") for item in "bbaaccd"] + [("u", "old", 1, 1, "2024-01-05")],

@@ -70,7 +70,8 @@ def ctr_sample(
 
     All clicked rows stay, and the share ``rate`` of the others. One row per shown item, of
     the run day ``day`` also where the impression has no material; of a user with several
-    behaviour documents the first, which has the newest events.
+    behaviour documents the first, which has the newest events; :func:`with_documents` adds
+    the others once for each user.
     """
     labelled = material.select(
         "ots",
@@ -98,6 +99,24 @@ def ctr_sample(
     )
 
 
+def with_documents(rows: DataFrame, user_features: DataFrame, column: str) -> DataFrame:
+    """Rows with a user's first behaviour document in ``column``, and beside them the further ones.
+
+    A further document is a row of its own, once for each user of ``rows``, with the user, the
+    day and ``column`` only; the document begins with the number of its slice, ``part``.
+    """
+    numbered = F.concat(F.lit('{"part":'), F.col("part").cast("string"), F.lit(","),
+                        F.expr("substring(user_behavior_f, 2)"))
+    further = user_features.filter(F.col("part") > 0).select(
+        F.col("ad_id").alias("ad_id_plus"), numbered.alias(column)
+    )
+    joined = salted_join(further, rows.select("ad_id_plus", "dt").distinct(), ["ad_id_plus"])
+    return rows.unionByName(joined.select(*[
+        F.col(name) if name in joined.columns else F.lit(None).cast(kind).alias(name)
+        for name, kind in rows.dtypes
+    ]))
+
+
 def merge_features(sample: DataFrame, limit: int | None = None) -> DataFrame:
     """The documents of each sample row merged into one, later ones winning.
 

@@ -32,8 +32,8 @@ def train_sample(
     """Each behaviour of ``day`` as the target of the user's features of the day before.
 
     One row per behaviour. Users with fewer than ``min_items`` items are left out. A sequence
-    of several slices is not copied to every target: the sample has the first one, the others
-    stay in ``features`` under the same user and day.
+    of several slices is not copied to every target: the sample has the first one, and
+    :func:`with_slices` adds the others once for each user.
     """
     enough = _one_per_user(features, min_items)
     joined = join_next_day(_targets(behaviours, items, day), enough)
@@ -59,6 +59,23 @@ def train_sample_conversions(
     )
 
 
+def with_slices(sample: DataFrame, sequences: DataFrame) -> DataFrame:
+    """The sample, and beside it the further slices of its users' sequences, so that none is cut.
+
+    A further slice is a row without a ``label``, once for a user and day however many targets
+    they have. Its ``item_target`` is minus the slice's number (items count from 1): the targets'
+    lists, then those of -1, -2 and so on, are the whole sequence.
+    """
+    keys, kinds = ["ad_id", "dt"], dict(sample.dtypes)
+    further = sequences.filter(F.col("part") > 0).withColumn("dt", next_day(F.col("dt")))
+    own = {
+        "item_target": (-F.col("part")).cast(kinds["item_target"]).alias("item_target"),
+        "label": F.lit(None).cast(kinds["label"]).alias("label"),
+    }
+    rows = salted_join(further, sample.select(*keys).distinct(), keys, "left_semi")
+    return sample.unionByName(rows.select(*[own.get(name, F.col(name)) for name in sample.columns]))
+
+
 def _further_values(features: DataFrame) -> DataFrame:
     """The distinct values that the slices after the first add to each list of a user and day.
 

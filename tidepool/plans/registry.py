@@ -236,14 +236,15 @@ def _train_sample(spark, sf_dir):
 
 @query
 def train_sample(spark, sf_dir):
-    return _train_sample(spark, sf_dir)[0]
+    return S.with_slices(*_train_sample(spark, sf_dir))
 
 
 @query
 def train_sample_conversions(spark, sf_dir):
     rows, items = views.daily(spark, sf_dir)
     sessions = Q.user_sessions(rows, items, shift_day(DAY, -1))
-    return _texts(S.train_sample_conversions(rows, items, sessions, DAY))
+    sample = S.train_sample_conversions(rows, items, sessions, DAY)
+    return _texts(S.with_slices(sample, sessions))
 
 
 @query
@@ -307,20 +308,20 @@ def _ctr_sample(spark, sf_dir, rate):
     day = views.feature_material(spark, sf_dir).filter(
         (F.col("dt") == DAY) & (F.col("ots").cast("bigint") % 11 != 0)
     )
-    return X.ctr_sample(
-        views.catalogue_impressions(spark, sf_dir), day,
-        views.behaviour_documents(spark, sf_dir), DAY, rate,
-    )
+    documents = views.behaviour_documents(spark, sf_dir)
+    shown = views.catalogue_impressions(spark, sf_dir)
+    return X.ctr_sample(shown, day, documents, DAY, rate), documents
 
 
 @query
 def ctr_sample(spark, sf_dir):
-    return _ctr_sample(spark, sf_dir, 0.2)
+    return X.with_documents(*_ctr_sample(spark, sf_dir, 0.2), "itemf")
 
 
 @query
 def ctr_feature_merge(spark, sf_dir):
-    merged = X.merge_features(_ctr_sample(spark, sf_dir, 1.0))
+    sample, documents = _ctr_sample(spark, sf_dir, 1.0)
+    merged = X.with_documents(X.merge_features(sample), documents, "features")
 
     def field(name):
         return F.get_json_object("features", f"$.{name}")
@@ -344,7 +345,7 @@ def _typed(spark, sf_dir):
 
 @query
 def ctr_feature_merge_limited(spark, sf_dir):
-    merged = X.merge_features(_ctr_sample(spark, sf_dir, 1.0), limit=10)
+    merged = X.merge_features(_ctr_sample(spark, sf_dir, 1.0)[0], limit=10)
     return merged.select("ots", "ad_id_plus", "item_id", "core_label", "ctr_label", "cvr_label", "dt")
 
 
