@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from pyspark.sql import functions as F
 
 from tests.llm.tables import documents
@@ -32,3 +34,26 @@ def test_empty_tables_and_double_texts(spark):
 def test_licences_have_different_digests(spark):
     rows = L.digests(L.known_licences(spark)).collect()
     assert {r["licence_id"] for r in rows} >= {"MIT", "ISC", "0BSD", "Apache-2.0"} and len(rows) >= len(L.NOTICES) + len(L.TEXTS)
+
+
+def test_every_known_text_with_holders_and_any_line_ends(spark):
+    known = L.known_licences(spark)
+    ids = [(k, name) for k, (name, _) in enumerate(L.TEXTS)]
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0",
+            "CC0-1.0"} <= {name for _, name in ids}
+    lines = ["Copyright Jane Doe 2019", "Copyright The Foo Authors", "# Copyright: Ona Holdersson", "(c) Some Body",
+             "Copyright (c) 2001, A. B.", "All rights reserved."]
+    docs = [(k, "\n".join([*lines, "", text])) for k, (_, text) in enumerate(L.TEXTS)]
+    found = {(r["id"], r["licence_id"]) for r in
+             L.licences(documents(spark, docs), known).where("scope = 'text'").collect()}
+    assert found == set(ids)
+    words = ("copyright notice", "copyright holder is", "the", "copyright the", "(c) you must", "copyright law:", "and")
+    kept = spark.createDataFrame([("\n".join(words),)], "text string").select(L.joined(L.canonical_lines(F.col("text")))).first()[0]
+    assert kept == "copyright notice copyright holder is the copyright the c you must copyright law and"
+    for name, text in L.TEXTS:
+        if name in ("BSD-3-Clause", "MIT", "GPL-3.0", "LGPL-2.1"):
+            own = text.split("\n\n")
+            docs = [(w, "\n\n".join(part if "opyright (" in part else textwrap.fill(part, w, break_long_words=False) for part in own))
+                    for w in range(30, 110, 8)]
+            rows = L.licences(documents(spark, docs), known).where("scope = 'text'").collect()
+            assert {(r["id"], r["licence_id"]) for r in rows} == {(w, name) for w, _ in docs}, name

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,36 @@ SPELLINGS = (
     ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("https://", "http://"), ("&", "and"),
 )
 
+#: What follows "copyright" and "(c)" in running text of licences; any other word is a holder.
+NO_HOLDERS = (
+    "and", "are", "disclaimer", "doctrines", "header", "headers", "holder", "holders", "if", "in", "information",
+    "infringement", "interest", "interests", "is", "law", "laws", "licence", "license", "licenses", "line", "notice",
+    "notices", "of", "on", "or", "owner", "owners", "ownership", "permission", "permissions", "protection", "resulting",
+    "rights", "statement", "statements", "the library", "the program", "the software", "the work", "to", "treaty",
+)
+NO_HOLDERS_AFTER_SIGN = ("representations", "the licenses", "under", "you")
+
+
+def _other_words(phrases: tuple[str, ...]) -> str:
+    """A pattern, without lookahead, of words in lower case that begin with none of the phrases as whole words."""
+    def of(rest: tuple[str, ...], within: bool) -> str:
+        first = sorted({phrase[0] for phrase in rest if phrase})
+        letters = "".join(x for x in first if x != " ")
+        ways = [rf"[^{letters}\P{{L}}]"] + [
+            ("[ \\t]+" if x == " " else x) + of(tuple(p[1:] for p in rest if p[:1] == x), x != " ") for x in first]
+        if within and "" not in rest and " " not in first:
+            ways.append(r"[^\p{L}\n]|$")
+        return f"(?:{'|'.join(ways)})"
+
+    return of(phrases, False)
+
+
 #: A line that names a copyright holder or reserves rights, in lower case.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright[^\p{L}\n]*(?:\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright[^\p{L}\n]*(?:\(c\)|©|[0-9])|copyright[ \t:]*[\[<{]|copyright[ \t:]+"
+    + _other_words(NO_HOLDERS) + r"|\(c\)[ \t]*(?:[^\p{L} \t\n]|$|" + _other_words(NO_HOLDERS_AFTER_SIGN)
+    + r")|©|all rights reserved)[^\n]*$"
+)
 
 #: Known notices of one line, by licence, as they stand in sources and documents.
 NOTICES = (
@@ -50,7 +80,51 @@ ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVE
 PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH \
 THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 
-#: Known licence texts without their copyright lines.
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee \
+is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+""" + _ISC_WARRANTY
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided \
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following \
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following \
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+_BSD_NAMES = """3. Neither the name of the {} nor the names of its contributors may be used to endorse or promote products \
+derived from this software without specific prior written permission.
+
+"""
+_BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE {0} AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, \
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE \
+DISCLAIMED. IN NO EVENT SHALL THE {1} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, \
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF \
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, \
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN \
+IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_HOLDERS = _BSD_WARRANTY.format("COPYRIGHT HOLDERS", "COPYRIGHT HOLDER")
+_BSD_REGENTS = _BSD_WARRANTY.format("REGENTS", "REGENTS")
+
+#: Where the terms of a text end; its appendix often stays away.
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _packaged() -> list[tuple[str, str]]:
+    """(licence, text) of the files in ``known``, with and without an appendix."""
+    out = []
+    for file in sorted(resources.files("tidepool.llm").joinpath("known").iterdir(), key=lambda x: x.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        out.append((name, text))
+        if _END in text:
+            terms = text[:text.index(_END)]
+            out += [(name, terms), (name, terms + _END)]
+    return out
+
+
+#: Known licence texts; their copyright lines don't count.
 TEXTS = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and \
 associated documentation files (the "Software"), to deal in the Software without restriction, including without \
@@ -61,14 +135,18 @@ The above copyright notice and this permission notice shall be included in all c
 Software.
 
 """ + _WARRANTY),
-    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee \
-is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-""" + _ISC_WARRANTY),
+    ("ISC", _ISC),
     ("0BSD", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee \
 is hereby granted.
 
 """ + _ISC_WARRANTY),
+    ("ISC", "ISC License\n\n" + _ISC),
+    ("BSD-2-Clause", _BSD + _BSD_HOLDERS),
+    ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD + _BSD_HOLDERS),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES.format("copyright holder") + _BSD_HOLDERS),
+    ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD + _BSD_NAMES.format("copyright holder") + _BSD_HOLDERS),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES.format("University") + _BSD_REGENTS),
+    *_packaged(),
 )
 
 
