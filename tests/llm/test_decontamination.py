@@ -113,3 +113,43 @@ def test_long_texts_normalise_like_short_ones(monkeypatch):
     monkeypatch.setattr(D.texts, "BLOCK", 37)
     again = D.normalised(text)
     assert (codes == again[0]).all() and (places == again[1]).all()
+
+
+def test_a_replaced_word_does_not_hide_an_item():
+    draw = random.Random(5)
+    items = [(k, prose(draw, n)) for k, n in enumerate([14, 16, 20, 25, 30, 40, 60])]
+    search = D.Search(D.build(items, D.WINDOW, D.EDITS))
+    for k, item in items:
+        words = item.split()
+        for at in range(len(words)):
+            changed = " ".join([*words[:at], "xyzzy", *words[at + 1:]])
+            assert k in {row[0] for row in search.passages(f"{prose(draw, 9)} {changed} {prose(draw, 9)}")}, (item, changed)
+    assert not search.passages(prose(draw, 3000))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_all_edits_of_the_budget_against_brute_force(seed):
+    draw = random.Random(seed)
+    items = [(k, prose(draw, draw.randrange(2, 12))) for k in range(6)]
+    search = D.Search(D.build(items, D.WINDOW, D.EDITS))
+    for _ in range(8):
+        _, item = draw.choice(items)
+        signs = list(item)
+        for _ in range(draw.randrange(0, 14)):
+            at = draw.randrange(len(signs))
+            signs[at:at + 1] = draw.choice([[], ["q"], [signs[at], "z"]])
+        text = f"{prose(draw, 6)}, {''.join(signs)}; {prose(draw, 6)}"
+        expected = {k for k, own in items
+                    if holds_exact(own, text, min(D.WINDOW, len(own)), int(search.index.edits[search.index.items.index(k)]))}
+        assert {row[0] for row in search.passages(text)} == expected
+
+
+def test_short_items_are_whole_words():
+    items = [(1, "Yes."), (2, "42"), (3, "go on"), (4, "yes"), (5, "--"), (6, "go on and do it")]
+    search = D.Search(D.build(items, D.WINDOW, D.EDITS))
+    text = "Go, on! yesterday 4 2 142 (YES) gone on"
+    assert sorted(search.passages(text)) == [(1, 27, 30, 0), (3, 0, 6, 0), (4, 27, 30, 0)]
+    assert len(search.passages(text, first_only=True)) == 1 and not search.passages("") and not search.passages(None)
+    only = D.Search(D.build(items[:5], D.WINDOW, D.EDITS))
+    assert [row[:3] for row in only.passages("42")] == [(2, 0, 2)] and not only.passages("nothing of these here")
+    assert D.build(items[4:5], D.WINDOW, D.EDITS) is None

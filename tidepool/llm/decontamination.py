@@ -15,10 +15,11 @@ from tidepool.llm import texts
 from tidepool.llm.common import fresh
 
 #: Characters of a q-gram.
-Q = 16
-#: Characters of a passage, and edits that it may have. Shorter items count as a whole, with
-#: edits in proportion.
-WINDOW, EDITS = 120, 5
+Q = 8
+#: Characters of a passage, and edits that it may have: one or two replaced words. Shorter
+#: items count as a whole, with edits in proportion; those of fewer than ``Q`` characters as
+#: whole words, without edits.
+WINDOW, EDITS = 120, 12
 #: Characters of benchmark text that one index holds; a larger benchmark is searched in blocks.
 INDEXED = 4_000_000
 #: Characters of a document that are looked up at a time, and bits of the lookup filter.
@@ -63,32 +64,34 @@ class Index:
     length: np.ndarray  # of a passage, by item
     edits: np.ndarray
     shared: np.ndarray  # q-grams that a passage with this many edits keeps at least
+    words: dict[bytes, list]  # ids of the items of fewer than ``Q`` characters, by their codes
 
 
 def build(items: list[tuple], window: int, edits: int) -> Index | None:
-    """An index of (id, text) items. Items of fewer than ``Q`` normalised characters, NULL ones
-    included, have no q-gram and are not searched."""
-    names, codes = [], []
+    """An index of (id, text) items; NULL ones and those without a letter or digit are left out."""
+    names, codes, words = [], [], {}
     for name, text in items:
         own = normalised(text or "")[0]
         own = own[slice(int(len(own) > 0 and own[0] == 0), len(own) - int(len(own) > 1 and own[-1] == 0))]
         if len(own) >= Q:
             names.append(name)
             codes.append(own)
-    if not names:
+        elif (own != 0).any():
+            words.setdefault(own.tobytes(), []).append(name)
+    if not names and not words:
         return None
-    sizes = np.array([len(c) for c in codes])
+    sizes = np.array([len(c) for c in codes], dtype=np.int64)
     length = np.minimum(sizes, window)
     allowed = np.minimum(length * edits // window, (length + 1) // Q - 1).clip(0)
     while (short := length + 1 - Q * (allowed + 1) < 1).any():
         allowed[short] -= 1
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    places = np.concatenate([np.arange(a, b - Q + 1) for a, b in zip(bounds, bounds[1:])])
-    joined = np.concatenate(codes)
-    grams = gram_hashes(joined)[places]
+    places = np.concatenate([np.empty(0, dtype=np.int64), *(np.arange(a, b - Q + 1) for a, b in zip(bounds, bounds[1:]))])
+    joined = np.concatenate([np.empty(0, dtype=np.uint32), *codes])
+    grams = gram_hashes(joined)[places] if names else np.empty(0, dtype=np.uint64)
     order = np.argsort(grams, kind="stable")
     return Index(names, joined, bounds, grams[order], places[order], length, allowed,
-                 length + 1 - Q * (allowed + 1))
+                 length + 1 - Q * (allowed + 1), words)
 
 
 class Search:
@@ -99,6 +102,17 @@ class Search:
         self.filter = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.filter[index.grams >> np.uint64(64 - FILTER_BITS)] = True
 
+    def _words(self, codes: np.ndarray) -> Iterator[tuple[object, int, int]]:
+        """(item id, start, end) of the items of fewer than ``Q`` characters, from word bound to word bound."""
+        gap = np.concatenate(([True], codes == 0, [True]))
+        for size in sorted({len(key) // codes.itemsize for key in self.index.words}):
+            starts = np.flatnonzero(gap[:-size - 1] & gap[size + 1:])
+            known = np.array([np.frombuffer(key, dtype=codes.dtype) for key in self.index.words if len(key) == size * codes.itemsize])
+            starts = starts[np.isin(codes[starts], known[:, 0]) & np.isin(codes[starts + size - 1], known[:, -1])]
+            for start in starts.tolist():
+                for name in self.index.words.get(codes[start:start + size].tobytes(), ()):
+                    yield name, start, start + size
+
     def _hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the document, place in the index) of all shared q-grams."""
         at = np.flatnonzero(self.filter[grams >> np.uint64(64 - FILTER_BITS)])
@@ -164,6 +178,7 @@ class Search:
         if not len(at):
             return
         new = np.concatenate(([True], (np.diff(item) != 0) | (np.diff(band) != 0) | (np.diff(at) != 0)))
+        every, first = places, np.append(np.flatnonzero(new), len(places))
         item, band, at, places = item[new], band[new], at[new], places[new]
         cuts = np.concatenate(([0], np.flatnonzero((np.diff(item) != 0) | (np.diff(band) != 0)) + 1, [len(at)]))
         for a, b in zip(cuts, cuts[1:]):
@@ -178,6 +193,10 @@ class Search:
             apart = np.flatnonzero(np.diff(dense) > need - 1) + 1
             for run in np.split(dense, apart):
                 rows = slice(a + run[0], a + run[-1] + need)
+                # the q-grams that a passage keeps stand at different places of one window of the item
+                there = np.unique(every[first[rows.start]:first[rows.stop]])
+                if len(there) < need or (there[need - 1:] - there[:len(there) - need + 1]).min() > self.index.length[own] - Q:
+                    continue
                 if found := self._verified(codes, own, at[rows], places[rows]):
                     yield own, *found
 
@@ -187,8 +206,14 @@ class Search:
         Passages of one item that overlap are one, with the least edits.
         """
         codes, where = normalised(text or "")
-        if len(codes) < Q:
-            return []
+        out = []
+        if self.index.words:
+            for name, start, end in self._words(codes):
+                out.append((name, int(where[start]), int(where[end - 1]) + 1, 0))
+                if first_only:
+                    return out
+        if len(codes) < Q or not self.index.items:
+            return out
         found: dict[int, list] = {}
         overlap = 2 * int(self.index.length.max()) + Q
         for begin in range(0, len(codes) - Q + 1, STEP):
@@ -197,7 +222,6 @@ class Search:
                 if first_only:
                     return [(self.index.items[item], start, end, edits)]
                 found.setdefault(item, []).append((start, end, edits))
-        out = []
         for item, spans in found.items():
             spans.sort()
             merged = [spans[0]]
