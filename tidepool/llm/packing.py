@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
@@ -45,15 +46,17 @@ class Encoder:
 
     Ids are those of the ``tokenizers`` library for the vocabulary file. Where the vocabulary
     numbers its merges in the order in which they apply, a rank table gives the same ids, and
-    texts without special tokens and rare signs take this shorter way.
+    texts without special tokens and rare signs take this shorter way. If ``plain``, the
+    strings of special tokens are text like any other.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = plain
         with open(path, encoding="utf-8") as file:
             held = json.load(file)
         vocabulary, merges = held["model"]["vocab"], held["model"]["merges"]
-        self.special = [token["content"] for token in held["added_tokens"]]
+        self.special = [] if plain else [token["content"] for token in held["added_tokens"]]
         letters = byte_letters()
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         self.ranked = None
@@ -69,6 +72,12 @@ class Encoder:
         return self.ranked.encode_to_numpy(text).astype("<u4", copy=False)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python process: made once, not once a task."""
+    return Encoder(path)
+
+
 PIECE_ROWS = ("doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long")
 
 
@@ -76,13 +85,13 @@ def _pieces(path: str, size: int, keep_ids: bool) -> Callable:
     """Pieces of each document, numbered within the task and length by ``part`` and ``place``."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
             rows = []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(encoder.ids(text or ""), np.uint32(END)).astype("<u4", copy=False)
+                ids = np.append(own.ids(text or ""), np.uint32(END)).astype("<u4", copy=False)
                 first = len(ids) % size or size
                 bounds = [0, *range(first, len(ids) + 1, size)]
                 for k, (start, end) in enumerate(zip(bounds, bounds[1:])):

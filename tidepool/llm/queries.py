@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import (
-    chat, decontamination, fingerprints, languages, licences, packing, quality, secrets, simhash, toxicity,
+    alignment, chat, decontamination, fingerprints, languages, licences, packing, quality, secrets, simhash, toxicity,
 )
 from tidepool.llm.common import in_bucket, table
 
@@ -17,6 +17,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEQUENCE = 2048
 TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: A conversation that says the template's own control strings.
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -87,6 +88,11 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "found.*"))
 
 
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = alignment.aligned(table(spark, sf_dir, "documents"), TOKENS, PIECES)
+    return alignment.scored(tokens, alignment.count_pairs(tokens, TOKENS, PIECES)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": benchmark_decontamination,
     "op2_language_id": language_id,
@@ -98,6 +104,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_secret_scans": secret_scans,
+    "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
 }
 
 # -- SQL --------------------------------------------------------------------------------------
