@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import (
-    alignment, chat, decontamination, fingerprints, languages, licences, packing, quality, secrets, simhash, toxicity,
+    alignment, chat, decontamination, fingerprints, languages, licences, packing, quality, repair, secrets, simhash,
+    toxicity,
 )
 from tidepool.llm.common import in_bucket, table
 
@@ -88,6 +89,11 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "found.*"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repairs(rows, gone_col="gone").withColumnRenamed("id", "conv_id")
+
+
 def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = alignment.aligned(table(spark, sf_dir, "documents"), TOKENS, PIECES)
     return alignment.scored(tokens, alignment.count_pairs(tokens, TOKENS, PIECES)).withColumnRenamed("id", "doc_id")
@@ -104,6 +110,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_secret_scans": secret_scans,
+    "op12_conversation_structure_repair": conversation_repair,
     "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
 }
 
