@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import (
-    alignment, chat, decontamination, fingerprints, languages, licences, packing, quality, repair, secrets, simhash,
-    toxicity,
+    alignment, chat, decontamination, fingerprints, languages, licences, packing, quality, repair, secrets,
+    sharding as shards, simhash, toxicity,
 )
 from tidepool.llm.common import in_bucket, table
 
@@ -17,6 +17,7 @@ QUALITY_CUT = 0.3
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEQUENCE = 2048
+SHARDS = 24
 TOKENS = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: A conversation that says the template's own control strings.
@@ -89,6 +90,11 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "found.*"))
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards.assigned(table(spark, sf_dir, "documents"), shards.equal_shards(SHARDS), shards.equal_shards(SHARDS + 1))
+    return rows.withColumnRenamed("id", "doc_id").withColumn("law", F.lit("key"))
+
+
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repair.damaged(table(spark, sf_dir, "conversations"))
     return repair.repairs(rows, gone_col="gone").withColumnRenamed("id", "conv_id")
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_secret_scans": secret_scans,
+    "op11_sharding": sharding,
     "op12_conversation_structure_repair": conversation_repair,
     "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
 }
