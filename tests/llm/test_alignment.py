@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
@@ -112,14 +113,20 @@ def test_empty_tables(spark, tmp_path):
     assert [tuple(r)[1:] for r in rows] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
-def test_long_texts_cut_at_spaces(monkeypatch):
-    own = A.aligner(TOKENS, PIECES)
-    text = ("Some words, it's 12 3 and  two\n spaces <|endoftext|> -- a b " * 60).strip() + " end"
-    at_once = own.tokens(text)
-    monkeypatch.setattr(A, "STEP", 17)
-    assert len(list(own._parts(text))) > 50
-    for one, other in zip(own.tokens(text), at_once):
-        assert one.tolist() == other.tolist()
+def test_cut_texts_give_what_whole_texts_give(monkeypatch):
+    own = A.Aligner(TOKENS, PIECES)
+    monkeypatch.setattr(A, "STEP", 3)
+    draw = random.Random(4)
+    signs = ["a", "Word", "it's", "12", ".", ",", " ", "  ", "\n", "\t", "\xa0", "\u3000", "é", "漢", "\U0001F600", "-", "_", "<s>", "\u200b",
+             "\x1c", "\x85", "\u180e", "'ll", "Ω", "я"]
+    for _ in range(1500):
+        text = "".join(draw.choice(signs) for _ in range(draw.randrange(1, 30)))
+        left, right = own.encoder.whole.encode(" " + text, add_special_tokens=False).ids, own.pieces.encode(text)
+        found = own.tokens(text)
+        if len(found[0]):
+            assert found[0].tolist() == left and found[1].tolist() == right, repr(text)
+        else:
+            assert "▁" in text or b"".join(own.bytes[1][k] for k in right) != f" {text}".encode()
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 1000, 60_000])

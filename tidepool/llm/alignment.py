@@ -35,8 +35,9 @@ ROOM, LEVELS = 2, 64
 FAN = 16
 #: Characters of a text that are encoded at a time, where it can be cut.
 STEP = 1 << 18
-#: Bytes of rows that a task gathers before it hands them on.
-BATCH_BYTES = 8 << 20
+#: Bytes of rows that a task gathers before it hands them on, and ids that it aligns at a time
+#: (of whole documents, one at least).
+BATCH_BYTES, TOGETHER = 8 << 20, 1 << 19
 
 # -- tokens -----------------------------------------------------------------------------------
 
@@ -47,6 +48,11 @@ def _narrow(size: int) -> np.dtype:
     return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
+#: Before spaces that follow a sign which no version of the character tables takes for white
+#: space, and that something else follows.
+_CUT = re.compile(r"(?<=[\w!-~])(?= +[^ ])")
+
+
 class Aligner:
     """Both tokenizers, and the bytes of all their tokens."""
 
@@ -63,22 +69,19 @@ class Aligner:
         self.bytes = left, right
         self.sizes = tuple(np.array([len(t) for t in side], dtype=np.int64) for side in self.bytes)
         self.kinds = tuple(_narrow(len(side)) for side in self.bytes)
-        #: ids as text, followed by each of the signs that may come after a token
-        self.written = tuple([f"{k}{sign}" for k in range(len(side)) for sign in (",", "|", ";", "")] for side in self.bytes)
-        #: no piece goes on over a space, so a text may be cut before one
-        self.cuts = not any("▁" in name.lstrip("▁") for name in names)
+        #: ids as text, with room for one sign
+        widths = [len(str(len(side) - 1)) for side in self.bytes]
+        self.written = [np.array([str(k) for k in range(len(side))], dtype=f"S{max(widths) + 1}").view(np.uint8).reshape(len(side), -1)
+                        for side in self.bytes]
+        #: no token of either kind goes on over a space after a word, so a text may be cut there
+        self.cuts = self.encoder.ranked is not None and not any("▁" in name.lstrip("▁") for name in names)
 
     def _parts(self, text: str) -> Iterator[str]:
-        """The text cut before single spaces that stand between two signs, each left out."""
+        """The text cut before spaces, one of which is left out at each cut."""
         start = 0
-        while self.cuts and len(text) - start > STEP:
-            at = text.find(" ", start + STEP)
-            while at > 0 and (text[at - 1].isspace() or not text[at + 1:at + 2].isalpha()):
-                at = text.find(" ", at + 1)
-            if at < 0:
-                break
-            yield text[start:at]
-            start = at + 1
+        while self.cuts and len(text) - start > STEP and (cut := _CUT.search(text, start + STEP)):
+            yield text[start:cut.start()]
+            start = cut.start() + 1
         yield text[start:]
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -86,42 +89,49 @@ class Aligner:
         none = tuple(np.empty(0, dtype=kind) for kind in self.kinds)
         if not text:
             return none
-        parts = list(self._parts(text))
-        left = np.concatenate([self.encoder.ids(" " + part) for part in parts]).tolist()
-        right = [number for part in parts for number in self.pieces.encode(part)]
-        whole = f" {text}".encode("utf-8", "surrogatepass")
-        for side, ids in zip(self.bytes, (left, right)):
-            if b"".join(map(side.__getitem__, ids)) != whole:
-                return none
-        return np.array(left, dtype=self.kinds[0]), np.array(right, dtype=self.kinds[1])
-
-    def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[int, str]:
+        both: tuple[list, list] = [], []
+        for part in self._parts(text):
+            whole = f" {part}".encode("utf-8", "surrogatepass")
+            for ids, side, out, kind in zip((self.encoder.ids(" " + part).tolist(), self.pieces.encode(part)), self.bytes, both, self.kinds):
+                if b"".join(map(side.__getitem__, ids)) != whole:
+                    return none
+                out.append(np.array(ids, dtype=kind))
+        return np.concatenate(both[0]), np.concatenate(both[1])
+
+    def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[int, bytes]:
         """How many groups the common ends cut the tokens into, and the groups as text."""
         if not len(left):
-            return 0, ""
+            return 0, b""
         ends = [np.cumsum(size[ids]) for size, ids in zip(self.sizes, (left, right))]
-        common = np.intersect1d(*ends, assume_unique=True)
-        # twice the number of a token's group, plus its side
-        group = np.concatenate([2 * np.searchsorted(common, end) + side for side, end in enumerate(ends)])
+        marked = np.zeros((2, int(ends[0][-1]) + 1), dtype=bool)
+        for side, end in zip(marked, ends):
+            side[end] = True
+        both = marked[0] & marked[1]
+        number = np.cumsum(both, dtype=np.int64)
+        # twice the number of a token's group (those that end before it, or with it), plus its side
+        group = np.concatenate([2 * (number[end] - both[end]) + side for side, end in enumerate(ends)])
         order = np.argsort(group, kind="stable")
         own = group[order]
-        sign = np.full(len(own), 3)
-        sign[:-1] = np.where(own[1:] == own[:-1], 0, np.where(own[:-1] % 2 == 0, 1, 2))
-        spot = np.concatenate((left, right)).astype(np.int64)[order] * 4 + sign
-        first, second = self.written
-        return len(common), "".join([second[k] if side else first[k] for k, side in zip(spot.tolist(), (own % 2).tolist())])
+        text = np.concatenate([table[ids] for table, ids in zip(self.written, (left, right))])[order]
+        sign = np.zeros(len(own), dtype=np.uint8)
+        sign[:-1] = np.where(own[1:] == own[:-1], ord(","), np.where(own[:-1] % 2 == 0, ord("|"), ord(";")))
+        text[:, -1] = sign
+        return int(number[-1]), text[text != 0].tobytes()
 
     def links(self, left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pairs, bounds) of documents that follow one another in ``left`` and ``right``.
 
         ``counts`` are the first ids by document. A pair is left id * 2 ** 32 + right id; the
-        links of document k are those from bounds[k] to bounds[k + 1].
+        links of document k are those from bounds[k] to bounds[k + 1]. Each stretch between two
+        ends of either kind lies in one token of both kinds, and this is their one link.
         """
         ends = [np.cumsum(size[ids]) for size, ids in zip(self.sizes, (left, right))]
-        both = np.concatenate(ends)
-        both.sort(kind="stable")
-        both = both[np.concatenate((both[:-1] != both[1:], [True]))] if len(both) else both
-        one, other = (ids[np.searchsorted(end, both)].astype(np.int64) for ids, end in zip((left, right), ends))
+        width = int(ends[0][-1]) + 1 if len(left) else 1
+        marked = np.zeros((2, width), dtype=bool)
+        for side, end in zip(marked, ends):
+            side[end] = True
+        both = np.flatnonzero(marked[0] | marked[1])
+        one, other = (ids[np.cumsum(m := mark[both], dtype=np.int64) - m].astype(np.int64) for ids, mark in zip((left, right), marked))
         last = np.concatenate(([0], ends[0]))[np.concatenate(([0], np.cumsum(counts)))]
         return (one << 32) | other, np.searchsorted(both, last, side="right")
 
@@ -160,7 +170,7 @@ def aligned(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc
             for name, text in zip(batch.column(0), batch.column(1)):
                 left, right = own.tokens(text.as_py())
                 groups, written = own.groups(left, right)
-                digest = hashlib.sha256(written.encode()).hexdigest() if len(left) else ""
+                digest = hashlib.sha256(written).hexdigest() if len(left) else ""
                 row = (name.as_py(), len(left), len(right), groups, len(left) + len(right) - groups, digest,
                        left.tobytes(), right.tobytes(), written)
                 rows.append(row[:width])
@@ -178,13 +188,19 @@ def aligned(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc
     return docs.sparkSession.read.parquet(path)
 
 
-def _linked(own: Aligner, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, bounds) of a batch's documents, by the columns a_ids and b_ids."""
-    sides = []
-    for name, kind in zip(("a_ids", "b_ids"), own.kinds):
-        column = batch.column(batch.schema.get_field_index(name)).to_pylist()
-        sides.append((np.frombuffer(b"".join(column), dtype=kind), [len(x) // kind.itemsize for x in column]))
-    return own.links(sides[0][0], sides[1][0], np.array(sides[0][1], dtype=np.int64))
+def _linked(own: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, pairs, bounds) of some documents at a time, by the columns a_ids and b_ids."""
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(name)) for name in ("a_ids", "b_ids")]
+        sizes = [np.diff(np.frombuffer(c.buffers()[1], dtype="<i4")[c.offset:c.offset + len(c) + 1]).astype(np.int64) // kind.itemsize
+                 for c, kind in zip(columns, own.kinds)]
+        step = np.cumsum(sizes[0]) // TOGETHER
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(batch)]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                left, right = (np.frombuffer(b"".join(c.slice(start, end - start).to_pylist()), dtype=kind)
+                               for c, kind in zip(columns, own.kinds))
+                yield batch.slice(start, end - start), *own.links(left, right, sizes[0][start:end])
 
 
 # -- perfect hash -----------------------------------------------------------------------------
@@ -262,7 +278,7 @@ class Round:
     def numbers(self, keys: np.ndarray) -> np.ndarray:
         """The place of each pair in this round's vector; below 0 for pairs of other rounds."""
         out = np.full(len(keys), -1, dtype=np.int64)
-        own = shard_of(keys, self.shards)
+        own = shard_of(keys, self.shards) if self.shards > 1 else np.zeros(len(keys), dtype=np.int64)
         for shard, perfect in self.hashes.items():
             at = np.flatnonzero(own == shard)
             numbers = perfect.numbers(keys[at])
@@ -279,8 +295,8 @@ def _different(byte_path: str, piece_path: str) -> Callable:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(byte_path, piece_path)
         seen = np.empty(0, dtype=np.int64)
-        for batch in batches:
-            seen = np.union1d(seen, _linked(own, batch)[0])
+        for _, keys, _ in _linked(own, batches):
+            seen = np.union1d(seen, pd.unique(keys))
             if len(seen) > SHARD_PAIRS:
                 yield pa.RecordBatch.from_arrays([pa.array(seen)], ["pair"])
                 seen = seen[:0]
@@ -312,8 +328,8 @@ def _counted(byte_path: str, piece_path: str, shards: int, sent) -> Callable:
         own, now = aligner(byte_path, piece_path), Round(shards, sent.value)
         sums = np.zeros(now.width, dtype=np.int64)
         held, waiting = [], 0
-        for batch in batches:
-            numbers = now.numbers(_linked(own, batch)[0])
+        for _, keys, _ in _linked(own, batches):
+            numbers = now.numbers(keys)
             held.append(numbers[numbers >= 0])
             waiting += len(held[-1])
             if waiting >= now.width:
@@ -434,8 +450,7 @@ def _looked_up(model: Model, sent, highest, schema: list[str]) -> Callable:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, now, most = aligner(byte_path, piece_path), Round(shards, sent.value), highest.value
-        for batch in batches:
-            keys, bounds = _linked(own, batch)
+        for batch, keys, bounds in _linked(own, batches):
             numbers = now.numbers(keys)
             found = numbers >= 0
             count = np.where(found, now.counts[np.where(found, numbers, 0)], 0)
