@@ -155,10 +155,11 @@ def brute_knn(scores, weight, k, b=0.2, k1=100.0):
 
 
 @pytest.mark.parametrize("weight", ["tfidf", "cosine", "bm25"])
-@pytest.mark.parametrize("pair_items", [1000, 10, 0])
-def test_item_knn_with_a_user_of_a_third_of_all_rows(spark, monkeypatch, weight, pair_items):
-    monkeypatch.setattr(N, "TILE_ITEMS", 16)
-    monkeypatch.setattr(N, "TILE_USERS", 5)
+@pytest.mark.parametrize("basket, load", [(1000, 4_000_000), (7, 300), (1000, 1), (1, 20)])
+def test_item_knn_with_a_user_of_a_third_of_all_rows(spark, monkeypatch, weight, basket, load):
+    # the last ones make every item one of several slabs, in ranges of a few neighbours
+    for name, value in (("STEP", 11), ("WAITING", 17), ("RANGE", 8)):
+        monkeypatch.setattr(N, name, value)
     rng = np.random.default_rng(2)
     scores = {("hot", i): float(rng.integers(1, 9)) for i in range(60)}
     for u in range(40):
@@ -166,19 +167,19 @@ def test_item_knn_with_a_user_of_a_third_of_all_rows(spark, monkeypatch, weight,
             scores[(f"u{u}", int(i))] = float(rng.integers(1, 9))
     data = [(u, i, s) for (u, i), s in scores.items()]
     df = spark.createDataFrame(data, "user string, item bigint, score double")
-    found = collected(N.item_knn(df, weight, k=4, pair_items=pair_items))
+    found = collected(N.item_knn(df, weight, k=4, basket=basket, load=load))
     expected = brute_knn(data, weight, 4)
     for item, best in expected.items():
         np.testing.assert_allclose([s for _, s in found[item]], [s for _, s in best], atol=2e-9)
 
 
 @pytest.mark.parametrize("weight", ["tfidf", "cosine", "bm25"])
-@pytest.mark.parametrize("pair_items", [1000, 0])
-def test_item_knn_keeps_pairs_of_weight_zero(spark, weight, pair_items):
+@pytest.mark.parametrize("basket, load", [(1000, 1000), (2, 3)])
+def test_item_knn_keeps_pairs_of_weight_zero(spark, weight, basket, load):
     # user a has all items but one, so its idf is 0; user c has a score of 0
     data = [("a", 1, 2.0), ("a", 2, 3.0), ("a", 3, 1.0), ("b", 4, 1.0), ("c", 4, 0.0), ("c", 1, 2.0)]
     df = spark.createDataFrame(data, "user string, item bigint, score double")
-    found = collected(N.item_knn(df, weight, k=4, pair_items=pair_items))
+    found = collected(N.item_knn(df, weight, k=4, basket=basket, load=load))
     expected = brute_knn(data, weight, 4)
     assert sum(map(len, found.values())) == 8
     for item, best in expected.items():
@@ -186,6 +187,24 @@ def test_item_knn_keeps_pairs_of_weight_zero(spark, weight, pair_items):
         np.testing.assert_allclose([s for _, s in found[item]], [s for _, s in best], atol=2e-9)
 
 
+def test_item_knn_makes_no_row_for_a_pair_of_items(spark):
+    data = [(u, (u * 7 + 3 * n) % 500, float(n + 1)) for u in range(300) for n in range(40)]
+    data += [(u, 999, 1.0) for u in range(300)]  # an item of every user
+    df = spark.createDataFrame(data, "user bigint, item bigint, score double")
+    pairs = sum(41 * 40 // 2 for _ in range(300))
+    weights = N.item_weights(df, "cosine").withColumn("number", F.col("item"))
+    homes = N.item_loads(weights, 40_000)
+    met = N.meetings(weights, homes, 1024)
+    assert met.count() * 3 < pairs
+    assert met.agg(F.sum(F.size("numbers") * F.size("others"))).first()[0] == 300 * 41 * 41
+    # blocks and slabs have about as many products as they may
+    sizes = met.groupBy("block", "slab").agg(F.sum(F.size("numbers") * F.size("others")).alias("n"))
+    assert homes.filter("number = 999").first()["slabs"] == 1 and sizes.agg(F.max("n")).first()[0] < 100_000
+    assert N.item_loads(weights, 5_000).filter("number = 999").first()["slabs"] == 3
+    plan = N.item_knn(df, "cosine")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_negatives_avoid_positives_and_end(spark):
     data = spark.createDataFrame([(u, f"{u}{n}") for u in "abc" for n in range(30)],
                                  "ad_id string, row_id string")
