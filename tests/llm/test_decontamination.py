@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import pickle
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,7 +71,7 @@ def test_edited_passages_against_brute_force(seed):
         text = f"{prose(draw, 8)}, {''.join(signs).upper()}; {prose(draw, 8)}"
         found = {row[0] for row in search.passages(text)}
         assert all(holds_passage(dict(items)[k], text, 60, 2) for k in found)
-        # a q-gram filter with one or two edits on 60 characters may keep no 16-gram of shorter items
+        # shorter items have edits in proportion
         for k, other in items:
             size = min(60, len(plain(other)))
             allowed = int(search.index.edits[search.index.items.index(k)]) if k in search.index.items else None
@@ -88,7 +91,7 @@ def test_blocks_of_a_large_benchmark_and_long_documents(spark, monkeypatch):
     docs.append((99, f"{prose(draw, 30_000)} {items[3][1]} {prose(draw, 30_000)} {items[3][1]}"))
     monkeypatch.setattr(D, "INDEXED", 600)
     bench = spark.createDataFrame([*items, (50, None), (51, ""), (52, "short"), (None, prose(draw, 30))], "item_id long, text string")
-    assert len(D.indexes(bench, 120, 5, 600)) > 2
+    assert D.blocks(bench, 120, 5, 600).count() > 2
     rows = D.passages(spark, documents(spark, docs), bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in rows} >= {(k, k) for k, _ in items} | {(99, 3)}
     assert sum(r["doc_id"] == 99 and r["item_id"] == 3 for r in rows) == 2
@@ -107,6 +110,37 @@ def test_awkward_rows(spark, awkward):
     assert D.passages(spark, documents(spark, []), bench).count() == 0
 
 
+def test_periodic_texts_take_little_time():
+    search = D.Search(D.build([(1, "many words " * 20), (2, "many words and " * 12), (3, "abcdefgh" * 30)], D.WINDOW, D.EDITS))
+    began = time.process_time()
+    for text, items in (("many words " * 30_000, {1}), ("-" * 300_000, set()), ("abcdefgh" * 20_000, {3}), ("a" * 300_000, set())):
+        assert {row[0] for row in search.passages(text)} == items
+    assert time.process_time() - began < 30
+
+
+def test_signs_that_one_byte_cannot_tell_apart(monkeypatch):
+    draw = random.Random(9)
+    text = "".join(chr(0x4E00 + draw.randrange(5000)) for _ in range(150))
+    search = D.Search(D.build([(1, text), (2, "".join(chr(ord(c) + 1) for c in text[:60]))], D.WINDOW, D.EDITS))
+    assert [row[0] for row in search.passages(text)] == [1]
+    for shift in (2, 13, 256, 4096):
+        assert not search.passages("".join(chr(ord(c) + shift) for c in text))
+    # whatever the hashes are, no passage is told without alignment
+    monkeypatch.setattr(D, "gram_hashes", lambda codes: np.zeros(max(0, len(codes) - D.Q + 1), dtype=np.uint64))
+    search = D.Search(D.build([(1, text)], D.WINDOW, D.EDITS))
+    assert not search.passages("".join(chr(ord(c) + 1) for c in text)) and search.passages(f"so {text}")[0][3] == 0
+
+
+def test_repeated_benchmark_texts_are_indexed_once(spark):
+    draw = random.Random(4)
+    text = prose(draw, 30)
+    bench = spark.createDataFrame([(k, text) for k in range(500)] + [(1000, prose(draw, 30))], "item_id long, text string")
+    packed = D.blocks(bench).collect()
+    assert len(packed) == 1 and len(pickle.loads(packed[0]["index"]).items) == 2
+    rows = D.passages(spark, documents(spark, [(1, f"so {text} and {text}"), (2, "none")]), bench).collect()
+    assert len(rows) == 1000 and {r["item_id"] for r in rows} == set(range(500))
+
+
 def test_long_texts_normalise_like_short_ones(monkeypatch):
     text = "Some, words --  and\n\n more!! of them... " * 40
     codes, places = D.normalised(text)
