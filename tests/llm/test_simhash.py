@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -81,6 +83,33 @@ def test_other_distances(spark, max_bits):
     assert {p: found.get(p, p) for p in prints} == {p: min(q for q in prints if expected[q] == expected[p]) for p in prints}
 
 
+def test_many_near_fingerprints_make_few_rows(spark):
+    draw = np.random.default_rng(3)
+    centre, prints = 0x123456789ABCDEF0, set()
+    while len(prints) < 20_000:  # different ones within three bits of one
+        for bits in draw.integers(0, 64, (20_000, 3)):
+            prints.add(centre ^ sum(1 << int(b) for b in set(bits)))
+    signed = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)[:20_000]]
+    frame = spark.createDataFrame([(p,) for p in signed], "print long").repartition(8)
+    rows = frame.mapInArrow(S._around(2), S.ENTRY_ROWS)
+    assert rows.count() == 65 * 20_000 and rows.groupBy("part").count().agg(F.max("count")).first()[0] <= 65
+    began = time.time()
+    links = S.links(frame, 2)
+    found = {r.node: r.root for r in C.components(links).collect()}
+    assert time.time() - began < 60
+    assert len(found) > 19_900 and len(set(found.values())) == 1
+
+
+@pytest.mark.parametrize("shingle", [1, 2, 3, 5])
+def test_long_texts_are_hashed_in_blocks(monkeypatch, shingle):
+    texts = ["Some, WORDS\x0bof\u00a0all\tkinds\r\n " * n for n in (0, 1, 2, 40)] + ["\u00c4 B", "  ", "x" * 200, "a b c d e"]
+    whole = [S.fingerprint(text, shingle) & (1 << 64) - 1 for text in texts]
+    assert whole == [plain_fingerprint(text, shingle) for text in texts]
+    for step in (1, 7, 50):
+        monkeypatch.setattr(S, "STEP", step)
+        assert [S.fingerprint(text, shingle) & (1 << 64) - 1 for text in texts] == whole
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 200)] + [(7, 7)]
     found = C.components(spark.createDataFrame(path, "u long, v long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -18,11 +20,29 @@ from tidepool.shared import cut_lineage
 
 BITS = 64
 SEED = 42
-#: Members of an index entry that are compared with one another in a task. Longer entries are
-#: indexed once more by the other bits, so that no entry is compared pair by pair beyond this.
-ENTRY = 2048
-#: Shingles whose bits are counted at a time.
-STEP = 1 << 14
+#: Members of an index entry that are compared with one another in a task. Members of longer
+#: entries are indexed once more, so that no entry is compared pair by pair beyond this.
+ENTRY = 256
+#: Bytes of a text whose words are held at a time; a longer word is held whole.
+STEP = 1 << 18
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def _shingles(data: bytes, shingle: int) -> Iterator[list[bytes]]:
+    """All shingles of a text, block by block; the last words of a block go over to the next."""
+    start, words, seen = 0, [], 0
+    while start < len(data):
+        space = _SPACE.search(data, start + STEP)
+        end = space.start() if space else len(data)
+        more = data[start:end].lower().split()
+        seen += len(more)
+        words += more
+        if len(words) >= shingle:
+            yield [b" ".join(row) for row in zip(*(words[k:] for k in range(shingle)))]
+            words = words[len(words) - shingle + 1:]
+        start = end
+    if 0 < seen < shingle:
+        yield [b" ".join(words)]
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -31,20 +51,13 @@ def fingerprint(text: str | None, shingle: int) -> int:
     Words are what white space of ASCII separates, A-Z in lower case. A text with fewer words
     than a shingle is one shingle; a text without words (NULL, too) has fingerprint 0.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        hashes = [digest(b" ".join(words), SEED)]
-    else:
-        rows = zip(*(words[k:] for k in range(shingle)))
-        hashes = [digest(b" ".join(row), SEED) for row in rows]
-    ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), STEP):
-        part = np.array(hashes[at:at + STEP], dtype="<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    packed = np.packbits(ones * 2 > len(hashes), bitorder="little")
+    ones, total = np.zeros(BITS, dtype=np.int64), 0
+    for some in _shingles((text or "").encode("utf-8", "surrogatepass"), shingle):
+        hashes = np.array([xxhash.xxh64_intdigest(x, SEED) for x in some], dtype="<u8")
+        total += len(hashes)
+        for part in np.array_split(hashes.view(np.uint8).reshape(-1, 8), len(hashes) // (1 << 14) + 1):
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    packed = np.packbits(ones * 2 > total, bitorder="little")
     return int(packed.view("<i8")[0])
 
 
@@ -85,23 +98,20 @@ def _variants(max_bits: int) -> Callable:
     return of
 
 
-def _refined(max_bits: int) -> Callable:
-    """Index rows of members of long entries: all other bits but any ``max_bits`` of them, too."""
-    wide = [next(m for m in segments(max_bits) if m >> i & 1) for i in range(BITS)]
-    full = (1 << BITS) - 1
+def _around(max_bits: int) -> Callable:
+    """Index rows of members of long entries: all values within half of ``max_bits``, rounded up.
+
+    Two fingerprints within the distance have such a value in common, half way between them. For two
+    bits these are 65 rows, and a value has 65 fingerprints around it at most.
+    """
+    flips = _signed([sum(1 << k for k in some) for n in range((max_bits + 1) // 2 + 1) for some in combinations(range(BITS), n)])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-            for bit in np.unique(bits):
-                own = prints[bits == bit]
-                rest = [k for k in range(BITS) if not wide[bit] >> k & 1]
-                drop = [sum(1 << k for k in some) for some in combinations(rest, min(max_bits, len(rest)))]
-                masks = _signed([full & ~(1 << int(bit)) & ~d for d in drop])
-                names = BITS + int(bit) * len(drop) + np.arange(len(drop), dtype=np.int32)
-                for some in np.array_split(own, len(own) // 256 + 1):
-                    yield _batch(np.tile(names, len(some)).astype(np.int32),
-                                 (some[:, None] & masks).ravel(), np.repeat(some, len(drop)))
+            prints = batch.column(0).to_numpy(zero_copy_only=False)
+            for some in np.array_split(prints, len(prints) * len(flips) // (1 << 17) + 1):
+                yield _batch(np.full(len(some) * len(flips), BITS, dtype=np.int32),
+                             (some[:, None] ^ flips).ravel(), np.repeat(some, len(flips)))
 
     return of
 
@@ -199,17 +209,18 @@ def links(prints: DataFrame, max_bits: int, longest: int = ENTRY) -> DataFrame:
 
     ``prints`` holds different fingerprints in one long column. A pair within the distance
     agrees in some segment but for one bit, so it meets in the index under the variant
-    without that bit, and is then verified on all bits. An entry of more than ``longest``
-    fingerprints is indexed again under the other bits without any ``max_bits`` of them, where
-    an entry has few members by construction: nothing is left out, and no entry is compared in
+    without that bit, and is then verified on all bits. The members of entries of more than ``longest``
+    fingerprints are indexed once more, each once whatever the number of its long entries, under the values
+    half way to what they may be linked with: nothing is left out, and no entry is compared in
     full beyond that length. Within an entry each member is linked to the first of its group.
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits must be 0 to 3")
     short = cut_lineage(_indexed(prints, _variants(max_bits), _entry_links(max_bits, longest)))
-    rest = short.where("entry >= 0")
-    # a refined entry holds at most 2 ** (max_bits + 1) different fingerprints
-    more = _indexed(rest, _refined(max_bits), _entry_links(max_bits, 1 << (max_bits + 2)))
+    rest = short.where("entry >= 0").select("print").distinct()
+    # as many fingerprints as there are values around one; for 3 bits 2,081
+    most = sum(math.comb(BITS, n) for n in range((max_bits + 1) // 2 + 1))
+    more = _indexed(rest, _around(max_bits), _entry_links(max_bits, most))
     return (short.where("entry < 0").unionAll(more)
             .select(F.col("part").alias("u"), F.col("print").alias("v")).distinct())
 
