@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
-from tidepool.operators import models as M, similarity as V
+from tidepool.operators import factorise as Z, models as M, similarity as V
 
 GROUPS = 4
 
@@ -26,6 +28,52 @@ def test_factors_bring_items_of_a_group_together(spark):
     assert share_of_own_group(V.cosine_topk(items, k=5)) > 0.9
 
 
+def _loss(ratings, users, items, reg, alpha) -> float:
+    """Weighted squared error over all pairs, and the penalty by positive ratings."""
+    x = np.zeros((len(users), len(items)))
+    for u, i, s in ratings:
+        x[u, i] = s
+    guess = users @ items.T
+    out = ((1 + alpha * np.abs(x)) * ((x > 0) - guess) ** 2).sum()
+    positive = x > 0
+    return out + reg * ((positive.sum(1) * (users ** 2).sum(1)).sum() + (positive.sum(0) * (items ** 2).sum(1)).sum())
+
+
+def _matrix(df) -> np.ndarray:
+    return np.array([r.vector for r in df.orderBy("id").collect()], dtype="float64")
+
+
+def test_factors_reach_the_loss_of_the_library(spark, tmp_path):
+    draw = random.Random(4)
+    pairs = {(u, draw.randrange(10) * GROUPS + u % GROUPS) for u in range(1, 60) for _ in range(9)} | {(0, i) for i in range(40)}
+    pairs |= {(u, 7) for u in range(60)}  # one user has all items, one item all users
+    ratings = [(u, i, float(draw.randrange(1, 9))) for u, i in sorted(pairs)]
+    frame = spark.createDataFrame(ratings, "user_index int, item_index int, score float")
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    model = ALS(rank=6, maxIter=12, regParam=0.05, alpha=3.0, implicitPrefs=True, seed=1,
+                userCol="user_index", itemCol="item_index", ratingCol="score").fit(frame)
+    theirs = _loss(ratings, *(_matrix(f.withColumnRenamed("features", "vector")) for f in (model.userFactors, model.itemFactors)), 0.05, 3.0)
+    found = {}
+    for per_row, sent in ((10_000, 1 << 20), (11, 1 << 20), (11, 0), (1, 1 << 20)):
+        users, items = (_matrix(f) for f in Z.implicit_factors(frame, 60, 40, 6, 0.05, 12, 3.0, 0, per_row, sent))
+        assert users.shape == (60, 6) and items.shape == (40, 6)
+        assert _loss(ratings, users, items, 0.05, 3.0) < 1.01 * theirs
+        found[per_row, sent] = users @ items.T
+    for other in found.values():  # how keys are split and vectors travel changes nothing but rounding
+        np.testing.assert_allclose(other, found[10_000, 1 << 20], atol=2e-3)
+
+
+def test_a_key_with_a_third_of_all_ratings_is_split(spark):
+    data = [(0, i, 1.0) for i in range(3000)] + [(u, u % 3000, 1.0) for u in range(1, 6001)]
+    frame = spark.createDataFrame(data, "user_index int, item_index int, score float")
+    rows = Z.packed_ratings(frame, "user_index", "item_index", per_row=100)
+    sizes = rows.select("block", "slices", F.size("owns").alias("n")).collect()
+    assert sum(r.n for r in sizes) == 9000 and max(r.n for r in sizes) < 200
+    assert sum(r.slices > 1 for r in sizes) == 30
+    none = frame.where("false")
+    assert [f.count() for f in Z.implicit_factors(none, 0, 0)] == [0, 0]
+
+
 def test_skipgram_brings_items_of_a_topic_together(spark):
     draw = random.Random(2)
     rows = [(" ".join(str(draw.randrange(10) * GROUPS + n % GROUPS) for _ in range(12)),) for n in range(800)]

@@ -97,6 +97,16 @@ def test_cosine_topk_with_many_copies(spark, block_rows):
         np.testing.assert_allclose([s for _, s in found[item]], [s for _, s in best], atol=1e-8)
 
 
+def test_a_vector_is_copied_once_per_strip(spark):
+    n, block_rows = 5000, 50  # a hundred blocks, ten strips
+    df = vectors(spark, np.random.default_rng(1).normal(size=(n, 4)))
+    sent = V.block_exchange(V.unit_vectors(df), block_rows)
+    assert sent.agg(F.sum(F.size("items"))).first()[0] == 10 * n
+    assert sent.groupBy("_low", "_high").count().count() == 55
+    met = sent.select("_low", "_high", "_strip", F.explode("items").alias("item"))
+    assert met.groupBy("item", "_low", "_high").count().agg(F.max("count")).first()[0] == 1
+
+
 def test_include_self_and_zero_vectors(spark):
     df = vectors(spark, np.array([[1.0, 0], [0, 1], [0, 0]]))
     found = collected(V.cosine_topk(df, k=1, include_self=True))

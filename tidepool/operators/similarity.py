@@ -1,15 +1,17 @@
 """Top-k neighbours of vectors, block against block.
 
-The vectors are dealt into blocks of bounded size. Every pair of blocks is one
-group of rows for Spark to place; the group multiplies its two blocks and hands on
+The vectors are dealt into blocks of bounded size, and the blocks into strips. Every pair of
+strips is one group of rows for Spark to place; the group multiplies its blocks and hands on
 the k best neighbours per vector only. No pair of vectors ever becomes a row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepool.functions.columns import norm
 from tidepool.operators.joins import salted_join
@@ -61,6 +63,63 @@ def _with_blocks(df: DataFrame, block_rows: int, group: str | None) -> DataFrame
     return counted.withColumn("_block", block_of("item", F.col("_blocks")))
 
 
+# Rows of one matrix that are multiplied with how many of the other at a time.
+TILE_ROWS, TILE_COLUMNS = 2048, 8192
+
+
+def block_exchange(
+    vectors: DataFrame, block_rows: int = BLOCK_ROWS, group: str | None = None
+) -> DataFrame:
+    """``[group,] _low, _high, _strip, items, vectors``: what every pair of strips needs.
+
+    The vectors of a block travel as one row. The blocks are dealt in turn into strips, the square root of
+    their number, and each block goes to the pairs of its strip with every strip. So a vector is
+    copied as often as there are strips, not blocks, and every two blocks meet in just one group.
+    """
+    keys = [*([group] if group else [])]
+    packed = _with_blocks(vectors, block_rows, group).groupBy(*keys, "_blocks", "_block").agg(
+        F.collect_list("item").alias("items"), F.flatten(F.collect_list("vector")).alias("vectors"))
+    strips = F.ceil(F.sqrt("_blocks")).cast("int")
+    placed = packed.select(*keys, (F.col("_block") % strips).alias("_strip"),
+                           F.explode(F.sequence(F.lit(0), strips - 1)).alias("_other"), "items", "vectors")
+    return placed.select(*keys, F.least("_strip", "_other").alias("_low"),
+                         F.greatest("_strip", "_other").alias("_high"), "_strip", "items", "vectors")
+
+
+def _strip(rows: pa.Table, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Items of a strip in order, and their vectors."""
+    own = rows.filter(pc.equal(rows["_strip"], number))
+    items = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in own["items"].chunks] or [np.empty(0)])
+    vectors = np.concatenate([c.flatten().to_numpy() for c in own["vectors"].chunks] or [np.empty(0)])
+    order = np.argsort(items, kind="stable")
+    return items[order], vectors.astype("float64", copy=False).reshape(len(items), -1 if len(items) else 1)[order]
+
+
+def _directed(own: np.ndarray, others: np.ndarray, k: int, apart: bool) -> list[tuple]:
+    """(rows, columns, scores) of the ``k`` best others of each; the earlier of equal ones.
+
+    If ``apart``, both are the same vectors and none is its own neighbour.
+    """
+    out = []
+    for first in range(0, len(own), TILE_ROWS):
+        some, parts = own[first:first + TILE_ROWS], []
+        for start in range(0, len(others), TILE_COLUMNS):
+            table = np.round(some @ others[start:start + TILE_COLUMNS].T, DIGITS)
+            if apart:
+                same = np.arange(max(first, start), min(first + len(some), start + table.shape[1]))
+                table[same - first, same - start] = -np.inf
+            rows, columns = best_per_row(table, k)
+            parts.append((rows, columns + start, table[rows, columns]))
+        rows, columns, scores = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, dtype=int),) * 3
+        if len(parts) > 1:
+            order = np.lexsort((columns, -scores, rows))
+            rows, columns, scores = rows[order], columns[order], scores[order]
+            kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+            rows, columns, scores = rows[kept], columns[kept], scores[kept]
+        out.append((rows + first, columns, scores))
+    return out
+
+
 def top_neighbours(
     unit_vectors: DataFrame,
     k: int,
@@ -68,52 +127,35 @@ def top_neighbours(
     block_rows: int = BLOCK_ROWS,
     group: str | None = None,
 ) -> DataFrame:
-    """The best ``k`` neighbours within each block pair: ``item, neighbour, score``.
+    """The best ``k`` neighbours within each pair of strips: ``item, neighbour, score``.
 
     ``unit_vectors`` holds ``item`` and ``vector``; with ``group`` only vectors of the
-    same group meet. A later step keeps the best of all block pairs.
+    same group meet. A group holds two strips and one tile of scores. A later step
+    keeps the best of all pairs of strips.
     """
     item_type = unit_vectors.schema["item"].dataType
-    blocked = _with_blocks(unit_vectors, block_rows, group)
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     keys = [*([group] if group else []), "_low", "_high"]
-    paired = blocked.select(*blocked.columns, other).select(
-        *([group] if group else []),
-        F.least("_block", "_other").alias("_low"),
-        F.greatest("_block", "_other").alias("_high"),
-        "_block", "item", "vector",
-    )
-
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = pdf["_low"].iloc[0], pdf["_high"].iloc[0]
-        pdf = pdf.sort_values("item", kind="stable")
-        sides = [pdf[pdf["_block"] == b] for b in (low, high)]
-        if len(sides[0]) == 0 or len(sides[1]) == 0:
-            return pd.DataFrame({"item": pdf["item"].iloc[:0], "neighbour": pdf["item"].iloc[:0],
-                                 "score": np.empty(0)})
-        first, second = (np.stack(side["vector"].to_numpy()).astype("float64") for side in sides)
-        scores = np.round(first @ second.T, DIGITS)
-        if low == high and not include_self:
-            np.fill_diagonal(scores, -np.inf)
-        turns = [(sides[0], sides[1], scores)]
-        if low != high:
-            turns.append((sides[1], sides[0], scores.T))
-        found = []
-        for own, others, table in turns:
-            rows, cols = best_per_row(table, k)
-            found.append(pd.DataFrame({
-                "item": own["item"].to_numpy()[rows],
-                "neighbour": others["item"].to_numpy()[cols],
-                "score": table[rows, cols],
-            }))
-        return pd.concat(found, ignore_index=True)
-
     schema = T.StructType([
         T.StructField("item", item_type),
         T.StructField("neighbour", item_type),
         T.StructField("score", T.DoubleType()),
     ])
-    return over_cores(paired, *keys).groupBy(*keys).applyInPandas(best, schema)
+    arrow = to_arrow_schema(schema)
+
+    def best(rows: pa.Table) -> pa.Table:
+        low, high = rows["_low"][0].as_py(), rows["_high"][0].as_py()
+        first = _strip(rows, low)
+        second = first if low == high else _strip(rows, high)
+        found = [(first[0], second[0], part) for part in _directed(first[1], second[1], k, low == high and not include_self)]
+        if low != high:
+            found += [(second[0], first[0], part) for part in _directed(second[1], first[1], k, False)]
+        columns = [(own[at], others[to], scores) for own, others, (at, to, scores) in found if len(at)]
+        if not columns:
+            return arrow.empty_table()
+        return pa.Table.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*columns), arrow)], schema=arrow)
+
+    exchanged = block_exchange(unit_vectors, block_rows, group)
+    return over_cores(exchanged, *keys).groupBy(*keys).applyInArrow(best, schema)
 
 
 def keep_top(pairs: DataFrame, k: int) -> DataFrame:
