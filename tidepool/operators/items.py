@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidepool.functions.dates import in_window, shift_day
-from tidepool.operators.numbering import number_rows
+from tidepool.operators.numbering import append_numbers, number_rows
 
 ACTIVE_ITEM_CAP = 20_000
 
@@ -51,6 +51,15 @@ def stable_item_index(previous: DataFrame, today: DataFrame, as_of: str) -> Data
     return index.select("item_id", "item_no", F.lit(shift_day(as_of, -1)).alias("dt"))
 
 
+def new_item_numbers(known: DataFrame, today: DataFrame) -> DataFrame:
+    """``item_id, item_no``: only the items that ``known`` doesn't have, to be appended to it.
+
+    Gives the numbers of :func:`stable_item_index` while those of ``known`` have no gap; what is known is
+    neither moved nor written again.
+    """
+    return append_numbers(known, today, "item_id", "item_no")
+
+
 def dense_index(df: DataFrame, column: str, name: str, start: int = 0) -> DataFrame:
     """The distinct values of ``column`` with consecutive numbers in sorted order."""
     values = df.select(column).distinct()

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidepool.shared import cut_lineage
 
+# Narrow values that are sent to where the known ones lie: a few megabytes.
+SENT_VALUES = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these bits
 
 
@@ -46,3 +48,19 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str, name: str)
     )
     total = F.col("_before") + F.coalesce(F.sum(value).over(before), F.lit(0))
     return placed.withColumn(name, total).select(*df.columns, name)
+
+
+def append_numbers(known: DataFrame, values: DataFrame, key: str, name: str, start: int = 1) -> DataFrame:
+    """``key, name``: numbers for the values that ``known`` doesn't have, after its last, in sorted order.
+
+    What is known is neither sorted nor moved: the new run's values are looked for in it where it lies. Stored by
+    ``key`` (see :mod:`tidepool.sources.bucketed`) it meets the values bucket by bucket; otherwise the values are
+    sent to it if they are few, and only beyond that both sides are shuffled. NULL gets no number.
+    """
+    last = known.agg(F.max(name)).first()[0]
+    asked = cut_lineage(values.select(key).filter(F.col(key).isNotNull()).distinct())
+    if asked.limit(SENT_VALUES + 1).count() <= SENT_VALUES:
+        met = known.select(key).join(F.broadcast(asked), key, "left_semi")
+    else:
+        met = asked.join(known.select(key), key, "left_semi")
+    return number_rows(asked.join(cut_lineage(met), key, "left_anti"), [F.asc(key)], name, start if last is None else last + 1)

@@ -454,7 +454,7 @@ ORACLES: dict[str, str] = {
                AS uf,
            m.click AS ctr_label, m.postback AS cvr_label, '{DAY}' AS dt
     FROM catalogue_impressions s
-    LEFT JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}' AND CAST(m.ots AS BIGINT) % 11 <> 0
+    LEFT JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
     LEFT JOIN documents_json d ON s.ad_id = d.ad_id
     WHERE m.click > 0 OR {_draw(1_000_000, 's.ots', 's.mc_item_id', '7')} < 200000"""),
     "ctr_feature_merge": _with(f"""
@@ -464,14 +464,14 @@ ORACLES: dict[str, str] = {
            m.o_custkey AS customer, m.o_totalprice AS price,
            CAST(json_extract_string(d.user_behavior_f, '$.has_view') AS INTEGER) AS has_view,
            CAST(json_array_length(d.user_behavior_f, '$.content_ids_list') AS INTEGER) AS n_items
-    FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}' AND CAST(m.ots AS BIGINT) % 11 <> 0
+    FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
     JOIN documents_json d ON s.ad_id = d.ad_id"""),
     "ctr_feature_merge_limited": _with(f"""
     SELECT s.ots, s.ad_id AS ad_id_plus, s.mc_item_id AS item_id,
            CAST(s.core_label AS VARCHAR) AS core_label, m.click AS ctr_label, m.postback AS cvr_label,
            '{DAY}' AS dt
     FROM catalogue_impressions s JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
-     AND CAST(m.ots AS BIGINT) % 11 <> 0
+    
     JOIN documents_json d ON s.ad_id = d.ad_id
     ORDER BY s.ots, item_id, ad_id_plus, core_label LIMIT 10"""),
     "typed_features": _with("""
@@ -650,3 +650,21 @@ ORACLES["auc_binned"] = ORACLES["auc"].replace(
     "round(score, 9) AS s",
     "greatest(least(ceil(round(score, 9) * 199) - 1, 198), 0) AS s",
 )
+
+# the same rows from what daily runs have stored
+for _name, _like in (
+    ("published_days", "partition_replace"),
+    ("appended_item_index", "stable_item_index"),
+    ("incremental_user_features", "user_features"),
+    ("latest_per_key_stored", "latest_per_key"),
+    ("report_event_totals_daily", "report_event_totals"),
+    ("report_event_totals_catalog_daily", "report_event_totals_catalog"),
+    ("report_user_overlap_daily", "report_user_overlap"),
+    ("report_reach_split_daily", "report_reach_split"),
+):
+    ORACLES[_name] = ORACLES[_like]
+ORACLES["next_day_stored"] = _with("""
+    SELECT b.dt, count(*) AS n, CAST(sum(f.n) AS BIGINT) AS events
+    FROM behaviours b JOIN (SELECT ad_id, dt, count(*) AS n FROM behaviours GROUP BY ALL) f
+      ON b.ad_id = f.ad_id AND b.dt = strftime(CAST(f.dt AS DATE) + 1, '%Y-%m-%d')
+    GROUP BY b.dt""")

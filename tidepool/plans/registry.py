@@ -11,12 +11,12 @@ from tidepool.functions import columns as C
 from tidepool.functions.dates import shift_day, window_dates
 from tidepool.operators import (
     behaviours as B, evaluate as E, features as X, interactions as N, items as I, joins as J,
-    models as M, samples as S, sequences as Q, similarity as V,
+    models as M, reach, runs, samples as S, sequences as Q, similarity as V,
 )
-from tidepool.plans import reports as R, views
+from tidepool.plans import daily, reports as R, views
 from tidepool.plans.views import ACTIVE_CAP, AS_OF, CATALOGS, DENIED, STORES
 from tidepool.shared import cut_lineage, scratch_path
-from tidepool.sources import scripts, tables
+from tidepool.sources import bucketed, published, scripts, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 # Thresholds in proportion to the given tables.
 MIN_IMPRESSIONS = 3
 MIN_BEHAVIOURS = 10
+BUCKETS = 8
 DAY = shift_day(AS_OF, -1)
 
 
@@ -90,6 +91,18 @@ def partition_replace(spark, sf_dir):
     )
 
 
+@query
+def published_days(spark, sf_dir):
+    path = scratch_path(spark, "published")
+    rows = views.impressions(spark, sf_dir)
+    published.publish(rows.withColumn("click", F.lit(0)), path)
+    days = rows.filter(F.col("dt").between(*window_dates(AS_OF, -7, -2)))
+    for _ in range(2):  # a day published again changes nothing, and one that has no rows any more is emptied
+        published.publish(days, path, [shift_day(AS_OF, -n) for n in range(1, 8)])
+    return published.read(spark, path, schemas.IMPRESSIONS).groupBy("dt").agg(
+        F.count("*").alias("n"), F.sum("click").alias("clicks"))
+
+
 @query
 def ctas_partitioned(spark, sf_dir):
     path = scratch_path(spark, "shown")
@@ -175,6 +188,16 @@ def stable_item_index(spark, sf_dir):
     return I.stable_item_index(previous, today, AS_OF)
 
 
+@query
+def appended_item_index(spark, sf_dir):
+    rows = cut_lineage(views.behaviours(spark, sf_dir).select("item_id", "dt"))
+    none = spark.createDataFrame([], "item_id string, item_no bigint")
+    first = I.new_item_numbers(none, rows.filter(F.col("dt") == shift_day(AS_OF, -10)))
+    stored = bucketed.write_bucketed(first, scratch_path(spark, "index"), ["item_id"], BUCKETS).all_rows()
+    more = I.new_item_numbers(stored, rows.filter(F.col("dt").between(*window_dates(AS_OF, -9, -1))))
+    return stored.unionByName(more).withColumn("dt", F.lit(DAY))
+
+
 @query
 def dense_index(spark, sf_dir):
     return I.dense_index(views.table(spark, sf_dir, "lineitem"), "l_partkey", "item_index")
@@ -185,6 +208,15 @@ def user_features(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
+@query
+def incremental_user_features(spark, sf_dir):
+    path = scratch_path(spark, "runs")
+    rows, items = views.daily(spark, sf_dir)
+    published.publish(runs.day_runs(rows.filter(F.col("dt") < DAY)), path)
+    runs.store_day(rows, path, DAY)
+    return runs.window_features(spark, path, items, AS_OF)
+
+
 @query
 def backfill_user_features(spark, sf_dir):
     days = [shift_day(AS_OF, -n) for n in range(7)]
@@ -291,6 +323,23 @@ def latest_per_key(spark, sf_dir):
     return J.latest_per_key(rows, "user_id", "ts", "event_id")
 
 
+@query
+def latest_per_key_stored(spark, sf_dir):
+    rows = views.table(spark, sf_dir, "events").select("user_id", views.micros("ts").alias("ts"), "event_id")
+    stored = bucketed.write_bucketed(rows, scratch_path(spark, "events"), ["user_id"], BUCKETS)
+    return bucketed.latest_stored(stored, "ts", "event_id")
+
+
+@query
+def next_day_stored(spark, sf_dir):
+    rows = cut_lineage(views.behaviours(spark, sf_dir).select("ad_id", "item_id", "dt"))
+    daily = rows.groupBy("ad_id", F.col("dt").alias("day")).agg(F.count("*").alias("events"))
+    labels = bucketed.write_bucketed(rows, scratch_path(spark, "labels"), ["ad_id"], BUCKETS)
+    features = bucketed.write_bucketed(daily, scratch_path(spark, "daily"), ["ad_id"], BUCKETS)
+    joined = bucketed.join_stored(labels, features, F.datediff(F.col("dt").cast("date"), F.col("day").cast("date")) == 1)
+    return joined.groupBy("dt").agg(F.count("*").alias("n"), F.sum("events").alias("events"))
+
+
 # Click samples and features
 
 @query
@@ -304,10 +353,7 @@ def impression_items(spark, sf_dir):
 
 
 def _ctr_sample(spark, sf_dir, rate):
-    # some impressions have no material
-    day = views.feature_material(spark, sf_dir).filter(
-        (F.col("dt") == DAY) & (F.col("ots").cast("bigint") % 11 != 0)
-    )
+    day = views.feature_material(spark, sf_dir).filter(F.col("dt") == DAY)
     documents = views.behaviour_documents(spark, sf_dir)
     shown = views.catalogue_impressions(spark, sf_dir)
     return X.ctr_sample(shown, day, documents, DAY, rate), documents
@@ -467,6 +513,59 @@ def report_reach_split(spark, sf_dir):
     return _rounded(R.reach_split(*_ad_tables(spark, sf_dir), CATALOGS, AS_OF))
 
 
+def _numbered_users(spark, *logs):
+    """User numbers as daily runs make them: those of a day after those of the days before."""
+    users = logs[0].select("ad_id", "dt")
+    for log in logs[1:]:
+        users = users.unionByName(log.select("ad_id", "dt"))
+    users = cut_lineage(users.distinct())
+    earlier = reach.append_users(spark.createDataFrame([], "ad_id string, number bigint"), users.filter(F.col("dt") < DAY))
+    earlier = cut_lineage(earlier)
+    return cut_lineage(earlier.unionByName(reach.append_users(earlier, users.filter(F.col("dt") >= DAY))))
+
+
+def _stored_users(spark, rows, numbers, first, last):
+    path = scratch_path(spark, "users")
+    daily.store_users(rows.filter(F.col("dt") < DAY), numbers, path)
+    daily.store_users(rows.filter(F.col("dt") >= DAY), numbers, path, [DAY])
+    return daily.stored_users(spark, path, *window_dates(AS_OF, first, last))
+
+
+@query
+def report_event_totals_daily(spark, sf_dir):
+    events, shown = cut_lineage(views.events(spark, sf_dir)), views.impressions(spark, sf_dir)
+    numbers = _numbered_users(spark, events, shown)
+    return daily.event_totals(events, _stored_users(spark, shown, numbers, -29, 0), numbers, AS_OF)
+
+
+@query
+def report_event_totals_catalog_daily(spark, sf_dir):
+    events = cut_lineage(views.events(spark, sf_dir))
+    chosen = R.selected_creatives(views.creatives(spark, sf_dir), CATALOGS)
+    shown = views.impressions(spark, sf_dir).join(chosen, "creative_id")
+    numbers = _numbered_users(spark, events, shown)
+    seen = _stored_users(spark, shown, numbers, -29, 0)
+    return daily.event_totals(events, seen, numbers, AS_OF, -7, R.CATALOG_AD)
+
+
+@query
+def report_user_overlap_daily(spark, sf_dir):
+    events, shown = cut_lineage(views.events(spark, sf_dir)), views.impressions(spark, sf_dir)
+    numbers = _numbered_users(spark, events, shown)
+    return daily.user_overlap(_stored_users(spark, events, numbers, -1, -1), _stored_users(spark, shown, numbers, -29, 0))
+
+
+@query
+def report_reach_split_daily(spark, sf_dir):
+    impressions, extension, creatives = _ad_tables(spark, sf_dir)
+    numbers = _numbered_users(spark, impressions)
+    path = scratch_path(spark, "reach")
+    for days in (F.col("dt") < DAY, F.col("dt") == DAY):
+        published.publish(daily.day_reach(impressions.filter(days), extension.filter(days), creatives, CATALOGS, numbers), path)
+    stored = published.read(spark, path, daily.REACHED, *window_dates(AS_OF, -2, -1))
+    return _rounded(daily.reach_split(stored))
+
+
 # Recall models
 
 @query

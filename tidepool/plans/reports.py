@@ -19,12 +19,12 @@ WELFARE_CAP = 1e5
 MICROS = 1e6
 
 
-def _selected(creatives: DataFrame, catalogs: Sequence[int]) -> DataFrame:
+def selected_creatives(creatives: DataFrame, catalogs: Sequence[int]) -> DataFrame:
     chosen = creatives.filter(F.col("merchandise_catalog_id").isin(*catalogs))
     return chosen.select("creative_id")
 
 
-def _welfare(extension: DataFrame) -> DataFrame:
+def welfare(extension: DataFrame) -> DataFrame:
     return extension.select(
         "ots", least_strict(F.col("social_welfare"), WELFARE_CAP).alias("sw")
     )
@@ -46,15 +46,29 @@ def _is(name: str) -> Column:
     return F.when(F.col("behavior_name") == name, 1).otherwise(0)
 
 
-def _event_totals(events: DataFrame, users: DataFrame, names: Sequence[str]) -> DataFrame:
-    per_item = events.groupBy("ad_id", "item_id").agg(
+ANY_AD = ("total_events", "users_count", "items_count", "view_count", "add_to_car_count", "revenue_count")
+CATALOG_AD = ("total_events", "unique_users_count", "unique_items_count", "total_view_count",
+              "total_add_to_car_count", "total_revenue_count")
+
+
+def per_item_counts(events: DataFrame) -> DataFrame:
+    """``ad_id, item_id, n, views, carts, purchases``."""
+    return events.groupBy("ad_id", "item_id").agg(
         F.count("*").alias("n"),
         F.sum(_is(VIEW)).alias("views"),
         F.sum(_is(CART)).alias("carts"),
         F.sum(_is(PURCHASE)).alias("purchases"),
     )
+
+
+def _event_totals(events: DataFrame, users: DataFrame, names: Sequence[str]) -> DataFrame:
+    per_item = per_item_counts(events)
+    return totals(keep_known(per_item, users, "ad_id"), names)
+
+
+def totals(per_item: DataFrame, names: Sequence[str]) -> DataFrame:
     total, n_users, n_items, views, carts, purchases = names
-    return keep_known(per_item, users, "ad_id").agg(
+    return per_item.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias(total),
         F.count_distinct("ad_id").alias(n_users),
         F.count_distinct("item_id").alias(n_items),
@@ -68,10 +82,7 @@ def event_totals(events: DataFrame, impressions: DataFrame, as_of: str) -> DataF
     """Yesterday's events of the users who saw any ad within 30 days."""
     seen = impressions.filter(in_window(F.col("dt"), as_of, -29, 0))
     day = events.filter(in_window(F.col("dt"), as_of, -1, -1))
-    return _event_totals(day, seen, [
-        "total_events", "users_count", "items_count", "view_count", "add_to_car_count",
-        "revenue_count",
-    ])
+    return _event_totals(day, seen, ANY_AD)
 
 
 def event_totals_catalog(
@@ -83,13 +94,10 @@ def event_totals_catalog(
 ) -> DataFrame:
     """A week's events of the users who saw an ad of the given catalogues within 30 days."""
     seen = impressions.filter(in_window(F.col("dt"), as_of, -29, 0)).join(
-        _selected(creatives, catalogs), "creative_id"
+        selected_creatives(creatives, catalogs), "creative_id"
     )
     week = events.filter(in_window(F.col("dt"), as_of, -7, -1))
-    return _event_totals(week, seen, [
-        "total_events", "unique_users_count", "unique_items_count", "total_view_count",
-        "total_add_to_car_count", "total_revenue_count",
-    ])
+    return _event_totals(week, seen, CATALOG_AD)
 
 
 def user_overlap(events: DataFrame, impressions: DataFrame, as_of: str) -> DataFrame:
@@ -119,7 +127,7 @@ def item_response(
     shown = (
         week(impressions)
         .filter(~F.col("ad_id").isin(*denied_ids))
-        .join(_selected(creatives, catalogs), "creative_id")
+        .join(selected_creatives(creatives, catalogs), "creative_id")
         .join(week(items).select("ots", "mc_item_id"), "ots")
         .join(week(extension).select("ots"), "ots")
         .groupBy("dt", "ad_id", "mc_item_id")
@@ -175,8 +183,8 @@ def performance(
     """Yesterday's reach, sales and rates of the given catalogues' ads."""
     shown = (
         impressions.filter(in_window(F.col("dt"), as_of, -1, -1))
-        .join(_selected(creatives, catalogs), "creative_id")
-        .join(_welfare(extension), "ots")
+        .join(selected_creatives(creatives, catalogs), "creative_id")
+        .join(welfare(extension), "ots")
     )
     per_user = shown.groupBy("dt", "uuid").agg(
         F.sum("sales_e6").alias("sales_e6"),
@@ -223,11 +231,11 @@ def cold_start(
         .filter(F.col("n") < min_behaviours)
         .select("ad_id", F.lit(1).alias("behavior_cold_start"))
     )
-    welfare = _welfare(extension.filter(in_window(F.col("dt"), as_of, -9, -1)))
+    capped = welfare(extension.filter(in_window(F.col("dt"), as_of, -9, -1)))
     per_user = (
         impressions.filter(in_window(F.col("dt"), as_of, -3, -1))
-        .join(_selected(creatives, catalogs), "creative_id")
-        .join(welfare, "ots")
+        .join(selected_creatives(creatives, catalogs), "creative_id")
+        .join(capped, "ots")
         .groupBy("ad_id")
         .agg(
             F.sum(F.col("sales_e6") / F.lit(MICROS)).alias("sales"),
@@ -280,7 +288,7 @@ def reach_split(
         .select("dt", "ots", "ad_id", "creative_id",
                 (F.col("sales_e6") / F.lit(MICROS)).alias("sales"),
                 F.lit(1).alias("vimp"), F.col("postback").alias("pb"), "click")
-        .join(_welfare(window(extension)), "ots")
+        .join(welfare(window(extension)), "ots")
         .join(catalogue, "creative_id", "left")
     )
     catalog = F.col("merchandise_catalog_id")

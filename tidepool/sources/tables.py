@@ -25,14 +25,14 @@ def scan_dimension(df: DataFrame, column: str, ids: Sequence) -> DataFrame:
     return df.filter(F.col(column).isin(*ids))
 
 
-def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of one output partition together, large ones split over several tasks and files."""
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df
 
 
 def create_as(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Writes a new table; an existing one is an error."""
-    _by_partition(df, by).write.mode("errorifexists").partitionBy(*by).parquet(path)
+    by_partition(df, by).write.mode("errorifexists").partitionBy(*by).parquet(path)
 
 
 def _drop_days(spark: SparkSession, path: str, days: Sequence[str], by: str) -> None:
@@ -58,7 +58,7 @@ def replace_partitions(
         held = df.filter(F.col(by[0]).isin(*days)).select(by[0]).distinct().collect()
         _drop_days(df.sparkSession, path, sorted(set(days) - {row[0] for row in held}), by[0])
     (
-        _by_partition(df, by)
+        by_partition(df, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -132,7 +132,7 @@ def export_by_day(
     should write a whole large day.
     """
     days = df.filter(F.col("dt").between(dt_from, dt_to))
-    write_delimited(_by_partition(days, ["dt"]), path, sep, mode="overwrite", by=["dt"], days_only=True)
+    write_delimited(by_partition(days, ["dt"]), path, sep, mode="overwrite", by=["dt"], days_only=True)
 
 
 def redistribute(df: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
