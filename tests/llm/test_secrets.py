@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tests.llm.tables import documents, whole
+from tests.llm.tables import documents, whole, write_tables
 from tidepool.llm import secrets as S
 from tidepool.llm.queries import secret_scans
 
@@ -79,6 +79,41 @@ def test_learned_formats_add_spans_and_leave_prose(spark):
     assert texts[3]["text"].startswith(f"here {S.MASK} and") and texts[501]["text"] == docs[-1][1]
 
 
+def test_all_tokens_that_no_known_span_covers_are_scored():
+    draw = random.Random(6)
+    pieces = ["a1B2c3D4e5F6", "0123456789abcdef", "GHJK", " ", "token=", "AKIA" + "Z" * 16, "-", "xy", "é", "password: "]
+    for _ in range(3000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(9)))
+        base = S.known(text)
+        covered = {k for start, _, end, _ in base for k in range(start, end)}
+        tokens = [m.span() for m in re.finditer("[A-Za-z0-9+/_.=-]{12,}", text)]
+        assert [t[:2] for t in S.others(text, base)] == [t for t in tokens if not set(range(*t)) <= covered]
+        assert [t[:2] for t in S.others(text, base, True)] == [t for t in tokens if not set(range(*t)) & covered]
+
+
+def test_short_credentials_and_those_around_a_known_match(spark):
+    draw = random.Random(8)
+
+    def value(n, signs="ghjkmnpqrstvwxyzGHJKMNPQRSTVWXYZ23456789"):
+        return "".join(draw.choice(signs) for _ in range(n))
+
+    def word(n=6):
+        return "".join(draw.choice(["tion", "the", "ing", "er", "re", "an", "ver", "long"]) for _ in range(n))
+
+    docs = [(k, f"token = {value(draw.choice([12, 13, 14, 28]))} and {word()} by {word(9)}") for k in range(400)]
+    short, around = value(13), value(8) + "2345678923456789" + value(8, "GHJKMNPQRSTVWXYZ")
+    docs += [(900, f"see {short} ok"), (901, f"see {around} ok")]
+    frame = documents(spark, docs)
+    formats = S.learn(frame)
+    texts = {r["doc_id"]: r["text"] for r in S.masked_documents(frame, formats).collect()}
+    assert texts[900] == f"see {S.MASK} ok" and texts[901] == f"see {S.MASK} ok"
+    assert sum(S.MASK in t.split(" and ")[1] for k, t in texts.items() if k < 400) == 0
+
+
+def test_query_on_empty_tables(spark, tmp_path):
+    assert secret_scans(spark, write_tables(spark, tmp_path, documents(spark, []))).collect() == []
+
+
 def test_awkward_rows(spark, awkward):
     frame = documents(spark, awkward)
     formats = S.learn(frame)

@@ -27,9 +27,10 @@ KINDS = ("assign", "access", "hex")
 #: What ASSIGN needs somewhere in the lower-case text.
 WORDS = ("passw", "secret", "token", "api")
 
-#: The name of spans found by a learned format, and the tokens that are scored.
+#: The name of spans found by a learned format, and the tokens that are scored: as long as the
+#: shortest credential that the known patterns label.
 LEARNED = "format"
-CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{16,}")
+CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_LEAST)
 #: Different credentials of a kind, and other tokens, that an automaton is fitted on, and the
 #: length of the longest one. Longer ones are scored, but not learned from.
 PER_KIND, LONGEST = 2000, 256
@@ -48,16 +49,23 @@ def known(text: str) -> list[tuple[int, int, int, str]]:
     return found
 
 
-def others(text: str, spans: list[tuple]) -> list[tuple[int, int, str]]:
-    """(start, end, token) of the candidates that no span touches."""
-    out, at = [], 0
-    reach = 0
+def others(text: str, spans: list[tuple], apart: bool = False) -> list[tuple[int, int, str]]:
+    """(start, end, token) of the candidates that no span covers; if ``apart``, that none touches."""
+    out, at, reach = [], 0, 0  # spans before ``at`` begin before the token, and end by ``reach``
     for m in CANDIDATE.finditer(text):
-        while at < len(spans) and spans[at][0] < m.end():
+        start, end = m.span()
+        while at < len(spans) and spans[at][0] <= start:
             reach = max(reach, spans[at][2])
             at += 1
-        if reach <= m.start():
-            out.append((m.start(), m.end(), m[0]))
+        covered, k = max(reach, start), at
+        touched = reach > start
+        while k < len(spans) and spans[k][0] < end:
+            touched = True
+            if spans[k][0] <= covered:
+                covered = max(covered, spans[k][2])
+            k += 1
+        if not touched or not apart and covered < end:
+            out.append((start, end, m[0]))
     return out
 
 
@@ -195,6 +203,8 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
           slack: float = 0.1, text_col: str = "text") -> Formats:
     """Formats of the credentials that the known patterns find, and of other tokens.
 
+    Other tokens are those apart from all matches; tokens that reach beyond a match are scored only.
+
     Labelled credentials are the different matches of each kind in all documents, read once. An automaton
     is fitted on at most ``per_kind`` of a kind, of ``longest`` signs or fewer, with the
     smallest hashes; these few come to the driver. The least likelihood of a kind is that of a
@@ -207,7 +217,7 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
             for text in batch.column(0).to_pylist():
                 base = known(text or "")
                 found.update((kind, token) for _, kind, _, token in base if len(token) <= longest)
-                found.update((len(KINDS), token) for *_, token in others(text or "", base) if len(token) <= longest)
+                found.update((len(KINDS), token) for *_, token in others(text or "", base, True) if len(token) <= longest)
             if found:
                 kinds, tokens = zip(*sorted(found))
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(tokens)], ["kind", "token"])
