@@ -19,6 +19,10 @@ RECORDS = [
     (6, {"system": "s", "prompt": "p", "response": "r"}, [("system", "s"), ("user", "p"), ("assistant", "r")]),
     (7, {"history": [["q1", "a1"], ["q2", "a2"]], "query": "q3", "response": "a3"},
      [("user", "q1"), ("assistant", "a1"), ("user", "q2"), ("assistant", "a2"), ("user", "q3"), ("assistant", "a3")]),
+    (10, {"history": [], "query": "first", "response": "a"}, [("user", "first"), ("assistant", "a")]),
+    (11, {"prompt": [{"role": "user", "content": "p"}], "completion": []}, [("user", "p")]),
+    (12, {"messages": []}, [(None, None)]),
+    (13, {"history": [[]], "query": "q", "response": None}, [("user", "q")]),
     (8, {"prompt": [{"role": "user", "content": "p"}], "completion": [{"role": "assistant", "content": "c"}]}, [("user", "p"), ("assistant", "c")]),
     (9, {"question": 5, "answer": None}, [("user", "5")]),
 ]

@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,10 +17,10 @@ from pyspark.sql import functions as F
 
 
 def paths(value, at: str = "") -> set[str]:
-    """Paths of all leaves of a JSON value; members of a list share one path."""
+    """Paths of all leaves of a JSON value; members of a list share one path, and an empty list has none."""
     if isinstance(value, dict) and value:
         return set().union(*(paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
-    if isinstance(value, list) and value:
+    if isinstance(value, list):
         return set().union(*(paths(v, f"{at}[]") for v in value))
     return {at}
 
@@ -48,6 +49,13 @@ class Mapping:
     order: str = ""
 
 
+    def schemas(self) -> list[set[str]]:
+        """The leaf paths with all lists, and without those of any lists that are empty."""
+        lists = sorted({path.split("[]")[0] for path in self.schema if "[]" in path})
+        empty = [set(some) for n in range(len(lists) + 1) for some in combinations(lists, n)]
+        return [{p for p in self.schema if "[]" not in p or p.split("[]")[0] not in some} for some in empty]
+
+
 SPEAKERS = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 #: Known layouts by their leaf paths.
@@ -114,11 +122,15 @@ def canonical_turns(records: DataFrame, id_col: str, json_col: str, mappings: It
     """(id, turn, place, role, text, layout): the turns of JSON records.
 
     The schema of each record, without the ``ignored`` paths, is hashed, and the mapping with
-    that hash makes the turns; ``layout`` is the hash. A record that is NULL or no JSON object
-    (layout 'unreadable'), or of a schema without a mapping ('unknown:' and its hash), has one
+    that hash makes the turns; ``layout`` is the hash. Lists may be empty, as the history of a first turn. A record that is NULL or no JSON object
+    (layout 'unreadable'), or of a schema without a mapping ('unknown:' and its hash), or without any turn, has one
     row with NULL role and text, so that nothing gets lost unseen.
     """
-    by_hash = {fingerprint(m.schema): m for m in mappings}
+    by_hash: dict[str, Mapping] = {}
+    for mapping in mappings:
+        for schema in mapping.schemas():  # a layout of its own goes before one with empty lists
+            if schema == set(mapping.schema) or fingerprint(schema) not in by_hash:
+                by_hash[fingerprint(schema)] = mapping
     left_out = frozenset(ignored)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +150,8 @@ def canonical_turns(records: DataFrame, id_col: str, json_col: str, mappings: It
                     rows.append((name, None, 0, None, None, f"{UNKNOWN}:{layout}"))
                     continue
                 number = _at(record, mapping.order) if mapping.order else 0
-                rows += [(name, number, k, role, text, layout) for k, (role, text) in enumerate(turns(record, mapping))]
+                made = turns(record, mapping) or [(None, None)]
+                rows += [(name, number, k, role, text, layout) for k, (role, text) in enumerate(made)]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
