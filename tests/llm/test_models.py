@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.tables import LABELS, documents
+from tests.llm.tables import LABELS, documents, write_tables
 from tidepool.llm import languages as L, quality as Q, toxicity as T
 from tidepool.llm.queries import language_id, quality_classifier, toxicity_scores
 
@@ -133,7 +133,14 @@ def test_labels_of_one_class_or_none(spark, which):
 def test_ftrl_against_a_plain_loop():
     rows = [np.array([1, 5], dtype=np.int32), np.array([2], dtype=np.int32), np.array([1, 2, 7], dtype=np.int32)] * 8
     label = np.array([1, 0, 1] * 8)
-    numbers, weights, bias = T.fit_ftrl(rows, label, 2, 0.1, 1.0, 0.01, 1.0)
+    learner, again = T.Learner(0.1, 1.0, 0.01, 1.0), np.random.default_rng(7)
+    for _ in range(2):
+        for k in again.permutation(len(rows)):
+            learner.learn(rows[k], label[k], 0.75 if label[k] else 1.5)
+        learner = T.Learner(0.1, 1.0, 0.01, 1.0, learner.state())  # handed on to the next pass
+    every = learner.weights(np.arange((1 << T.HASH_BITS) + 1))
+    numbers = np.flatnonzero(every[:-1])
+    weights, bias = every[numbers], every[-1]
     z, n, w = {}, {}, {}
     draw = np.random.default_rng(7)
     size = 1 << T.HASH_BITS
@@ -156,6 +163,21 @@ def test_ftrl_against_a_plain_loop():
     assert dict(zip(numbers.tolist(), weights.tolist())) == pytest.approx(expected)
 
 
+def test_queries_on_empty_tables(spark, tmp_path):
+    sf_dir = write_tables(spark, tmp_path / "none", documents(spark, []))
+    for query in (toxicity_scores, quality_classifier, language_id):
+        assert query(spark, sf_dir).collect() == []
+    sf_dir = write_tables(spark, tmp_path / "unlabelled", documents(spark, [(1, "text"), (2, None)]))
+    for query in (toxicity_scores, quality_classifier, language_id):
+        assert sorted(r["doc_id"] for r in query(spark, sf_dir).collect()) == [1, 2]
+
+
+def test_a_dirty_language_column_gives_the_frequent_languages(spark):
+    rows = [(k, f"word{k % 7} text", f"l{k % 3}" if k < 90 else f"dirt{k}") for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert L.train(docs, most=3).names == ("l0", "l1", "l2")
+
+
 def test_l1_leaves_few_weights(spark):
     docs, labels = labelled(spark)
     many = T.train(docs, labels, label="quality", l1=0.01)

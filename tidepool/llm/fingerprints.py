@@ -135,9 +135,11 @@ def compared_along(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the first and last row of each partition are joined afterwards, so there is no window over
     documents. A single document is its own next one; no documents give no rows.
     """
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text")]
+    # rows alike in id and text are dealt apart by where they come from
+    order = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("tie")]
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-               .repartitionByRange(*order).sortWithinPartitions(*order))
+               .withColumn("tie", F.monotonically_increasing_id())
+               .repartitionByRange(*order).sortWithinPartitions(*order).drop("tie"))
     stored = cut_lineage(ordered.mapInArrow(_along, f"part int, place int, text string, {RESULT}"))
     firsts = stored.where(F.col("place") == FIRST).select("part", F.col("text").alias("following"))
     lasts = stored.where(F.col("place") == LAST).select("part", "id", "text")

@@ -23,6 +23,8 @@ SMOOTHING = 0.5
 ROUNDS, STILL = 50, 1e-4
 #: Log likelihood that a further language must bring, times the logarithm of the n-grams.
 PENALTY = 3.0
+#: Languages that are learned at most: the world's written ones.
+MOST = 256
 UNKNOWN = "und"
 
 
@@ -122,11 +124,12 @@ def _proportions(chances: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, f
     return shares, float(counts @ np.log(chances @ shares))
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", most: int = MOST) -> Model:
     """N-gram probabilities of each language from all rows of ``docs`` with a language.
 
     Each task counts its rows by language and bucket; the counts are added up by a shuffle,
-    and the table of sums (``BUCKETS`` rows a language at most) is the model.
+    and the table of sums (``BUCKETS`` rows a language at most) is the model. A column with
+    more than ``most`` values gives the ``most`` frequent ones, so that the model's size is bounded.
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -141,15 +144,23 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)),
                                               pa.array(own[at].astype(np.int64))], ["lang", "bucket", "n"])
 
-    rows = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-            .where("lang is not null and text is not null").mapInArrow(of, "lang string, bucket int, n long"))
-    sums = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    lang = np.array(sums.column("lang").to_pylist(), dtype=object)
-    names = tuple(sorted(set(lang)))
+    named = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+             .where("lang is not null and text is not null"))
+    ranked = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    rows = named.join(F.broadcast(ranked.select("lang")), "lang").mapInArrow(of, "lang string, bucket int, n long")
+    sums = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+
+    def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(BUCKETS)
+        counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "counts": [counts.tobytes()]})
+
+    # ``most`` rows of 512 kB at most
+    found = sums.groupBy("lang").applyInPandas(packed, "lang string, counts binary").orderBy("lang").collect()
+    names = tuple(row["lang"] for row in found)
     table = np.zeros((BUCKETS, len(names)))
-    column = {name: k for k, name in enumerate(names)}
-    if names:
-        table[sums.column("bucket").to_numpy(), [column[x] for x in lang]] = sums.column("n").to_numpy()
+    for k, row in enumerate(found):
+        table[:, k] = np.frombuffer(row["counts"])
     table += SMOOTHING
     return Model(names, (table / table.sum(axis=0)).astype(np.float32))
 

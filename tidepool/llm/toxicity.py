@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import texts
 from tidepool.llm.common import class_counts, labelled_sample
+from tidepool.shared import cut_lineage
 
 #: Labelled documents of each class that the weights are fitted on.
 PER_CLASS = 5000
@@ -68,59 +68,36 @@ def probability(margin: float) -> float:
     return 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
 
 
-class Stored(Sequence):
-    """Arrays of feature numbers in an unnamed local file, read one at a time."""
-
-    def __init__(self) -> None:
-        self.file, self.ends = tempfile.TemporaryFile(), [0]
-
-    def append(self, packed: bytes) -> None:
-        self.file.seek(self.ends[-1])
-        self.file.write(packed)
-        self.ends.append(self.ends[-1] + len(packed))
-
-    def __len__(self) -> int:
-        return len(self.ends) - 1
-
-    def __getitem__(self, k: int) -> np.ndarray:
-        self.file.seek(self.ends[k])
-        return np.frombuffer(self.file.read(self.ends[k + 1] - self.ends[k]), dtype=np.int32)
-
-
-def fit_ftrl(rows: Sequence[np.ndarray], label: np.ndarray, epochs: int, alpha: float, beta: float,
-             l1: float, l2: float) -> tuple[np.ndarray, np.ndarray, float]:
+class Learner:
     """FTRL-proximal with a learning rate of its own for each coordinate; the last one is the bias.
 
-    Both classes weigh alike, whatever their shares of the sample. Returns the numbers of the non-zero weights, these weights, and the bias.
+    The state are two numbers a coordinate, so it can be handed from one pass to the next.
     """
-    size = 1 << HASH_BITS
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
 
-    def weights(at: np.ndarray) -> np.ndarray:
-        held = z[at]
-        out = (np.sign(held) * l1 - held) / ((beta + np.sqrt(n[at])) / alpha + l2)
-        out[np.abs(held) <= l1] = 0
+    def __init__(self, alpha: float, beta: float, l1: float, l2: float, state: np.ndarray | None = None) -> None:
+        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.z, self.n = np.zeros((2, (1 << HASH_BITS) + 1)) if state is None else state.copy()
+
+    def weights(self, at: np.ndarray) -> np.ndarray:
+        held = self.z[at]
+        out = (np.sign(held) * self.l1 - held) / ((self.beta + np.sqrt(self.n[at])) / self.alpha + self.l2)
+        out[np.abs(held) <= self.l1] = 0
         return out
 
-    def learn(at: np.ndarray, w: np.ndarray, slope: float) -> None:
+    def _learn(self, at: np.ndarray, w: np.ndarray, slope: float) -> None:
         square = slope * slope
-        z[at] += slope - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / alpha * w
-        n[at] += square
-
-    draw = np.random.default_rng(7)
-    bias = np.array([size])
-    share = np.bincount(label, minlength=2) / len(label)
-    weight = 0.5 / np.maximum(share, 1 / (2 * len(label)))
-    for _ in range(epochs):
-        for k in draw.permutation(len(rows)):
-            row = rows[k]
-            w, own = weights(row), weights(bias)
-            slope = (probability(w.sum() + own[0]) - label[k]) * weight[label[k]]
-            learn(row, w, slope)
-            learn(bias, own, slope)
-    w = weights(np.arange(size + 1))
-    kept = np.flatnonzero(w[:-1])
-    return kept, w[kept], float(w[-1])
+        self.z[at] += slope - (np.sqrt(self.n[at] + square) - np.sqrt(self.n[at])) / self.alpha * w
+        self.n[at] += square
+
+    def learn(self, row: np.ndarray, label: int, weight: float) -> None:
+        bias = np.array([1 << HASH_BITS])
+        w, own = self.weights(row), self.weights(bias)
+        slope = (probability(w.sum() + own[0]) - label) * weight
+        self._learn(row, w, slope)
+        self._learn(bias, own, slope)
+
+    def state(self) -> np.ndarray:
+        return np.stack((self.z, self.n))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS,
@@ -128,13 +105,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Weights from at most ``per_class`` labelled documents of each class.
 
-    All features of a sampled document count. One task fits the sample, which is bounded by
-    ``per_class``; it keeps the features in a local file and reads a document at a time, in
-    each epoch. L1 leaves few weights, and only these are sent on. With labels of one class
+    All features of a sampled document count. Both classes weigh alike, whatever their shares. The features are put in
+    an order by hash in the shared folder; in each epoch one task goes through them, holding a batch of documents
+    and the learner's state (two numbers a coordinate, 16 MB), which the next epoch goes on with. L1 leaves few
+    weights, and only these are sent on. With labels of one class
     only, or none, every text has the share of label 1 (one row of each class added) as its
     score.
     """
+    spark = docs.sparkSession
     low, high = class_counts(labels, label)
+    none = np.empty(0, dtype=np.int32)
+    constant = Model(none, none.astype(np.float32), math.log((high + 1) / (low + 1)))
+    if not (low and high):
+        return constant
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -147,27 +130,34 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=["id", "label", "features"])
 
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, own = Stored(), []
-        for batch in batches:
-            for one in batch["features"]:
-                rows.append(one)
-            own += batch["label"].tolist()
-        if own:
-            numbers, weights, bias = fit_ftrl(rows, np.array(own), epochs, alpha, beta, l1, l2)
-            yield pd.DataFrame({"numbers": [numbers.astype(np.int32).tobytes()],
-                                "weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
-
     sample = labelled_sample(docs, labels, label, per_class, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
     rows = sample.mapInPandas(packed, f"id {kind}, label int, features binary")
-    found = (rows.repartition(1).sortWithinPartitions("id", "features").select("label", "features")
-             .mapInPandas(fit, "numbers binary, weights binary, bias double").collect()) if low and high else []
-    if not found:
-        none = np.empty(0, dtype=np.int32)
-        return Model(none, none.astype(np.float32), math.log((high + 1) / (low + 1)))
-    return Model(np.frombuffer(found[0]["numbers"], dtype=np.int32),
-                 np.frombuffer(found[0]["weights"], dtype=np.float32), found[0]["bias"])
+    stored = cut_lineage(rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "features").select("label", "features"))
+    counts = {row["label"]: row["count"] for row in stored.groupBy("label").count().collect()}
+    if not counts:
+        return constant
+    total = sum(counts.values())
+    weight = [0.5 * total / counts.get(k, 0.5) for k in (0, 1)]
+    state = None
+    for epoch in range(epochs):
+        sent = spark.sparkContext.broadcast(state)
+
+        def learned(batches: Iterator[pd.DataFrame], epoch=epoch, sent=sent) -> Iterator[pd.DataFrame]:
+            learner, draw, seen = Learner(alpha, beta, l1, l2, sent.value), np.random.default_rng(epoch), 0
+            for batch in batches:
+                own, held = batch["label"].to_numpy(), batch["features"]
+                for k in draw.permutation(len(batch)):
+                    learner.learn(np.frombuffer(held[k], dtype=np.int32), int(own[k]), weight[own[k]])
+                seen += len(batch)
+            if seen:
+                yield pd.DataFrame({"state": [learner.state().tobytes()]})
+
+        state = np.frombuffer(stored.mapInPandas(learned, "state binary").first()["state"]).reshape(2, -1)
+        sent.unpersist()
+    w = Learner(alpha, beta, l1, l2, state).weights(np.arange((1 << HASH_BITS) + 1))
+    kept = np.flatnonzero(w[:-1])
+    return Model(kept.astype(np.int32), w[kept].astype(np.float32), float(w[-1]))
 
 
 def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
