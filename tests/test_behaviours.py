@@ -175,8 +175,9 @@ def test_samples_of_any_slices_hold_whole_sequences(spark, monkeypatch):
         for query, lists in names.items():
             rows = queries()[query](spark, sf_dir).collect()
             own = {}
-            for r in rows:  # a target's lists first, then those of -1, -2, ...
-                own.setdefault((r.ad_id, r.dt), {})[0 if r.label is not None else -r.item_target] = [
+            assert all((r.part == 0) == (r.label is not None) == (r.item_target is not None) for r in rows)
+            for r in rows:  # a target's lists first, then those of the further parts
+                own.setdefault((r.ad_id, r.dt), {})[r.part] = [
                     r[name].split(",") if r[name] else [] for name in lists]
             out[query] = {key: [sum((parts[k][n] for k in sorted(parts)), []) for n in range(len(lists))]
                           for key, parts in own.items()}
@@ -186,15 +187,14 @@ def test_samples_of_any_slices_hold_whole_sequences(spark, monkeypatch):
         documents = {}
         for r in rows:
             if r.itemf is not None:
-                document = json.loads(r.itemf)
-                documents.setdefault((r.ad_id_plus, r.dt), {})[document.get("part", 0)] = document
+                documents.setdefault((r.ad_id_plus, r.dt), {})[r.part] = json.loads(r.itemf)
         out["itemf"] = {key: [sum((parts[k][name] for k in sorted(parts)), [])
                               for name in ("content_ids_list", "behavior_types_list")]
                         for key, parts in documents.items()}
-        out["clicks"] = sorted(str(r.asDict() | {"itemf": None}) for r in rows if r.ots is not None)
+        out["clicks"] = sorted(str(r.asDict() | {"itemf": None}) for r in rows if r.part == 0)
         merged = queries()["ctr_feature_merge"](spark, sf_dir).collect()
-        first = {r.ad_id_plus: r.n_items for r in merged if r.ots is not None}
-        out["n_items"] = {user: n + sum(r.n_items for r in merged if r.ots is None and r.ad_id_plus == user)
+        first = {r.ad_id_plus: r.n_items for r in merged if r.part == 0}
+        out["n_items"] = {user: n + sum(r.n_items for r in merged if r.part > 0 and r.ad_id_plus == user)
                           for user, n in first.items()}
         return out
 

@@ -100,20 +100,18 @@ def ctr_sample(
 
 
 def with_documents(rows: DataFrame, user_features: DataFrame, column: str) -> DataFrame:
-    """Rows with a user's first behaviour document in ``column``, and beside them the further ones.
+    """Rows with a user's first behaviour document in ``column`` and ``part`` 0, and beside them the further ones.
 
     A further document is a row of its own, once for each user of ``rows``, with the user, the
-    day and ``column`` only; the document begins with the number of its slice, ``part``.
+    day, ``column`` and its number as ``part`` only.
     """
-    numbered = F.concat(F.lit('{"part":'), F.col("part").cast("string"), F.lit(","),
-                        F.expr("substring(user_behavior_f, 2)"))
     further = user_features.filter(F.col("part") > 0).select(
-        F.col("ad_id").alias("ad_id_plus"), numbered.alias(column)
-    )
+        F.col("ad_id").alias("ad_id_plus"), F.col("user_behavior_f").alias(column), F.col("part").cast("int").alias("part"))
     joined = salted_join(further, rows.select("ad_id_plus", "dt").distinct(), ["ad_id_plus"])
-    return rows.unionByName(joined.select(*[
+    own = rows.withColumn("part", F.lit(0))
+    return own.unionByName(joined.select(*[
         F.col(name) if name in joined.columns else F.lit(None).cast(kind).alias(name)
-        for name, kind in rows.dtypes
+        for name, kind in own.dtypes
     ]))
 
 

@@ -60,20 +60,18 @@ def train_sample_conversions(
 
 
 def with_slices(sample: DataFrame, sequences: DataFrame) -> DataFrame:
-    """The sample, and beside it the further slices of its users' sequences, so that none is cut.
+    """The sample with ``part`` 0, and beside it the further slices of its users' sequences, so that none is cut.
 
-    A further slice is a row without a ``label``, once for a user and day however many targets
-    they have. Its ``item_target`` is minus the slice's number (items count from 1): the targets'
-    lists, then those of -1, -2 and so on, are the whole sequence.
+    A further slice is a row with its number as ``part``, without ``item_target`` and ``label``, once for a user
+    and day however many targets they have. Rows of part 0 are the targets; by user, day and part the
+    lists of one target and those of the further parts are the whole sequence.
     """
     keys, kinds = ["ad_id", "dt"], dict(sample.dtypes)
     further = sequences.filter(F.col("part") > 0).withColumn("dt", next_day(F.col("dt")))
-    own = {
-        "item_target": (-F.col("part")).cast(kinds["item_target"]).alias("item_target"),
-        "label": F.lit(None).cast(kinds["label"]).alias("label"),
-    }
     rows = salted_join(further, sample.select(*keys).distinct(), keys, "left_semi")
-    return sample.unionByName(rows.select(*[own.get(name, F.col(name)) for name in sample.columns]))
+    columns = [F.lit(None).cast(kinds[name]).alias(name) if name in ("item_target", "label") else F.col(name)
+               for name in sample.columns]
+    return sample.withColumn("part", F.lit(0)).unionByName(rows.select(*columns, F.col("part").cast("int").alias("part")))
 
 
 def _further_values(features: DataFrame) -> DataFrame:

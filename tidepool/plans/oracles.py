@@ -411,10 +411,10 @@ ORACLES: dict[str, str] = {
            CASE WHEN len(list_distinct(string_split(item_seq, ','))) >= 6 THEN 1 ELSE 0 END
                AS six_different
     FROM features"""),
-    "train_sample": _with("SELECT * FROM sample"),
+    "train_sample": _with("SELECT *, 0 AS part FROM sample"),
     "train_sample_conversions": _with(f"""
     SELECT n.ad_id, s.item_nos, s.behavior_types, n.item_no AS item_target,
-           n.behavior_type AS label, n.dt
+           n.behavior_type AS label, n.dt, 0 AS part
     FROM numbered n JOIN (
         SELECT ad_id, count(*) AS n_items,
                string_agg(CAST(item_no AS VARCHAR), ','
@@ -452,7 +452,7 @@ ORACLES: dict[str, str] = {
            CASE WHEN m.ots IS NOT NULL THEN to_json({{priority: m.o_orderpriority}})::VARCHAR END AS cxf,
            CASE WHEN m.ots IS NOT NULL THEN to_json({{customer: m.o_custkey, source: 'uf'}})::VARCHAR END
                AS uf,
-           m.click AS ctr_label, m.postback AS cvr_label, '{DAY}' AS dt
+           m.click AS ctr_label, m.postback AS cvr_label, '{DAY}' AS dt, 0 AS part
     FROM catalogue_impressions s
     LEFT JOIN material m ON s.ots = m.ots AND m.dt = '{DAY}'
     LEFT JOIN documents_json d ON s.ad_id = d.ad_id
@@ -460,7 +460,7 @@ ORACLES: dict[str, str] = {
     "ctr_feature_merge": _with(f"""
     SELECT s.ots, s.ad_id AS ad_id_plus, m.campaign_id, s.mc_item_id AS item_id,
            CAST(s.core_label AS VARCHAR) AS core_label, m.click AS ctr_label,
-           m.postback AS cvr_label, m.dt, 'cf' AS source, m.o_orderpriority AS priority,
+           m.postback AS cvr_label, m.dt, 0 AS part, 'cf' AS source, m.o_orderpriority AS priority,
            m.o_custkey AS customer, m.o_totalprice AS price,
            CAST(json_extract_string(d.user_behavior_f, '$.has_view') AS INTEGER) AS has_view,
            CAST(json_array_length(d.user_behavior_f, '$.content_ids_list') AS INTEGER) AS n_items
@@ -609,9 +609,22 @@ ORACLES: dict[str, str] = {
     JOIN (SELECT string_split(item_id, ':')[1] AS category, count(*) AS counts
           FROM item_events GROUP BY ALL) USING (category)
     GROUP BY ad_id HAVING sum(n) > 10"""),
+    # users of the same categories are a cluster while there are no more kinds of them than clusters
     "cluster_sizes": _with("""
-    SELECT count(*) AS users, 1 AS numbered
+    SELECT CAST(row_number() OVER (ORDER BY users DESC) - 1 AS INTEGER) AS place, users
+    FROM (SELECT categories, count(*) AS users
+          FROM (SELECT ad_id, string_agg(category, ',' ORDER BY category) FILTER (WHERE counts > 100) AS categories
+                FROM (SELECT ad_id, string_split(item_id, ':')[1] AS category, count(*) AS n
+                      FROM item_events GROUP BY ALL)
+                JOIN (SELECT string_split(item_id, ':')[1] AS category, count(*) AS counts
+                      FROM item_events GROUP BY ALL) USING (category)
+                GROUP BY ad_id HAVING sum(n) > 10) GROUP BY categories)"""),
+    "cluster_quality": _with("""
+    SELECT count(*) AS users, 1 AS nearest, 1 AS beats_one_cluster
     FROM (SELECT ad_id FROM item_events GROUP BY ad_id HAVING count(*) > 10)"""),
+    "als_quality": """
+    SELECT count(*) AS pairs, 1 AS beats_chance, 1 AS beats_popularity
+    FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "user_item_scores": _with("""
     SELECT m.row_id, m.item_no AS item, round(list_dot_product(u.v, i.v), 6) AS logit,
            round(1.0 / (1.0 + exp(-list_dot_product(u.v, i.v))), 6) AS score

@@ -373,7 +373,7 @@ def ctr_feature_merge(spark, sf_dir):
         return F.get_json_object("features", f"$.{name}")
 
     return merged.select(
-        "ots", "ad_id_plus", "campaign_id", "item_id", "core_label", "ctr_label", "cvr_label", "dt",
+        "ots", "ad_id_plus", "campaign_id", "item_id", "core_label", "ctr_label", "cvr_label", "dt", "part",
         field("source").alias("source"),
         field("priority").alias("priority"),
         field("customer").cast("bigint").alias("customer"),
@@ -657,8 +657,28 @@ def user_category_clusters(spark, sf_dir):
 @query
 def cluster_sizes(spark, sf_dir):
     sizes = M.cluster_sizes(M.user_clusters(*_category_inputs(spark, sf_dir)))
-    return sizes.agg(F.sum("users").alias("users"),
-                     (F.max("cluster") < 5).cast("int").alias("numbered"))
+    largest_first = F.sort_array(F.collect_list("users"), asc=False)  # one number a cluster
+    return sizes.agg(largest_first.alias("sizes")).select(F.posexplode("sizes").alias("place", "users"))
+
+
+# How well the models fit, as flags that SQL can state; each from the whole of its model.
+
+@query
+def cluster_quality(spark, sf_dir):
+    rows, counts = _category_inputs(spark, sf_dir)
+    users = cut_lineage(M.user_categories(rows, M.frequent_categories(counts)))
+    found = M.cluster_quality(cut_lineage(M.user_clusters(rows, counts)), users)
+    return found.select("users", (F.col("nearest") >= 0.99).cast("int").alias("nearest"),
+                        (F.col("within") <= 0.8 * F.col("whole")).cast("int").alias("beats_one_cluster"))
+
+
+@query
+def als_quality(spark, sf_dir):
+    scores = cut_lineage(views.purchases(spark, sf_dir))
+    items, users = M.als_factors(scores)
+    return E.separation(scores, users, items).select(
+        "pairs", (F.col("auc") >= 0.9).cast("int").alias("beats_chance"),
+        (F.col("auc") > F.col("popular") + 0.1).cast("int").alias("beats_popularity"))
 
 
 # Evaluation
