@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
-from tidepool.operators import factorise as Z, models as M, similarity as V
+from tidepool.operators import factorise as Z, models as M, similarity as V, skipgram as K
 
 GROUPS = 4
 
@@ -78,11 +79,38 @@ def test_skipgram_brings_items_of_a_topic_together(spark):
     draw = random.Random(2)
     rows = [(" ".join(str(draw.randrange(10) * GROUPS + n % GROUPS) for _ in range(12)),) for n in range(800)]
     corpus = spark.createDataFrame(rows, "events string")
-    vectors = M.skipgram_vectors(corpus, size=16, iterations=5, partitions=2).withColumn("item", F.col("item").cast("bigint"))
+    vectors = M.skipgram_vectors(corpus, size=16, iterations=5).withColumn("item", F.col("item").cast("bigint"))
     assert vectors.count() == 10 * GROUPS
     assert share_of_own_group(V.cosine_topk(vectors, k=3)) > 0.9
 
 
+@pytest.mark.parametrize("block_words, slice_pairs", [(9, 1 << 18), (1 << 17, 3000), (14, 2000)])
+def test_skipgram_in_blocks_and_slices(spark, block_words, slice_pairs):
+    draw = random.Random(2)
+    rows = [([str(draw.randrange(10) * GROUPS + n % GROUPS) for _ in range(12)] + ["hot"] * 6,) for n in range(800)]
+    rows += [(["rare", "rarer"],), ([],), (None,)]
+    sentences = spark.createDataFrame(rows, "items array<string>").repartition(5)
+    vectors = K.skipgram(sentences, size=16, iterations=6, block_words=block_words, slice_pairs=slice_pairs)
+    found = vectors.collect()
+    assert len(found) == 10 * GROUPS + 1 and all(len(r.vector) == 16 and np.isfinite(r.vector).all() for r in found)
+    items = vectors.filter("item <> 'hot'").withColumn("item", F.col("item").cast("bigint"))
+    assert share_of_own_group(V.cosine_topk(items, k=3)) > 0.9
+
+
+def test_skipgram_pairs_are_those_of_the_window(spark):
+    numbers = spark.createDataFrame([([1, 2, 3, 4, 5],), ([6, 7],), ([8],), ([],)], "numbers array<bigint>").coalesce(1)
+    found = set()
+    for r in K.sampled_pairs(numbers, 3, 2, 0).collect():
+        words, contexts = (np.frombuffer(x, dtype="<i4") for x in (r.words, r.contexts))
+        assert r.n == len(words) and (words % 3 == r["first"]).all() and (contexts % 3 == r.second).all()
+        found |= set(zip(words.tolist(), contexts.tolist()))
+    beside = {(a, a + 1) for a in (1, 2, 3, 4, 6)}
+    assert beside | {(b, a) for a, b in beside} <= found  # neighbours are always kept
+    far = {(1, 3), (2, 4), (3, 5)}
+    assert found <= beside | {(b, a) for a, b in beside} | far | {(b, a) for a, b in far}
+    assert K.skipgram(spark.createDataFrame([], "items array<string>")).collect() == []
+
+
 def test_clusters_part_users_of_different_categories(spark):
     events = [(f"u{u}", f"{'ab' if u % 2 else 'cd'}"[n % 2] + f":{n}") for u in range(30) for n in range(12)]
     events += [("few", "a:1")] * 3 + [("odd", "z:1")] * 12

@@ -622,6 +622,9 @@ ORACLES: dict[str, str] = {
     "cluster_quality": _with("""
     SELECT count(*) AS users, 1 AS nearest, 1 AS beats_one_cluster
     FROM (SELECT ad_id FROM item_events GROUP BY ad_id HAVING count(*) > 10)"""),
+    "skipgram_quality": _with("""
+    SELECT count(*) AS items, 1 AS beats_chance, 1 AS beats_cooccurrence
+    FROM (SELECT item_id FROM item_events WHERE dt <= '2024-01-30' GROUP BY item_id HAVING count(*) >= 5)"""),
     "als_quality": """
     SELECT count(*) AS pairs, 1 AS beats_chance, 1 AS beats_popularity
     FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",

@@ -11,7 +11,7 @@ from tidepool.functions import columns as C
 from tidepool.functions.dates import shift_day, window_dates
 from tidepool.operators import (
     behaviours as B, evaluate as E, features as X, interactions as N, items as I, joins as J,
-    models as M, reach, runs, samples as S, sequences as Q, similarity as V,
+    models as M, reach, runs, samples as S, sequences as Q, similarity as V, skipgram as K,
 )
 from tidepool.plans import daily, reports as R, views
 from tidepool.plans.views import ACTIVE_CAP, AS_OF, CATALOGS, DENIED, STORES
@@ -672,6 +672,17 @@ def cluster_quality(spark, sf_dir):
                         (F.col("within") <= 0.8 * F.col("whole")).cast("int").alias("beats_one_cluster"))
 
 
+@query
+def skipgram_quality(spark, sf_dir):
+    corpus = Q.session_corpus(views.events(spark, sf_dir), views.LAST_DAY, days=30)
+    sentences = cut_lineage(corpus.select(F.split("events", " ").alias("items")))
+    vectors = cut_lineage(K.skipgram(sentences))
+    found = E.similarity_quality(sentences, vectors)
+    frequent = F.lit(vectors.count()).cast("bigint").alias("items")
+    return found.select(frequent, (F.col("auc") >= 0.6).cast("int").alias("beats_chance"),
+                        (F.col("auc") > F.col("beside") + 0.1).cast("int").alias("beats_cooccurrence"))
+
+
 @query
 def als_quality(spark, sf_dir):
     scores = cut_lineage(views.purchases(spark, sf_dir))
