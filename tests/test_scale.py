@@ -272,6 +272,24 @@ def test_ranks_and_hit_rate(spark):
     assert twice.records == 100 and twice.hr_10 == result.hr_10
 
 
+def test_ranking_skips_blocks_that_cannot_win(spark):
+    rng = np.random.default_rng(8)
+    users, items = rng.normal(size=(60, 8)), rng.normal(size=(400, 8)) * rng.pareto(1.5, size=(400, 1))
+    items[-1] = users[0] = 0  # without a direction
+    best = np.argsort(-(users @ items.T), axis=1)
+    targets = [(f"r{u}", int(best[u, place])) for u in range(60) for place in (0, 3, 50)] + [("r5", 9999), ("r0", 399)]
+    targets_df = spark.createDataFrame(sorted(set(targets)), "profile string, target bigint")
+    user_df = spark.createDataFrame([(f"r{i}", v.tolist()) for i, v in enumerate(users)], "profile string, vector array<double>")
+    candidates = vectors(spark, items)
+    scored = E.reached_scores(targets_df, user_df, candidates)
+    counts = E.rank_counts(scored, candidates, 400, block_rows=10).collect()
+    plain = {(r.profile, r.target): r.rank for r in E.target_ranks(targets_df, user_df, candidates).collect()}
+    assert {(r.profile, r.target): None if r.reached is None else r.better + 1 for r in counts} == plain
+    assert plain["r5", 9999] is None and len(counts) == len(plain)
+    # scores are worked out for a part of the pairs only
+    assert sum(r.computed for r in counts) < 0.5 * 400 * len(counts)
+
+
 def test_user_vectors_and_scores(spark):
     rng = np.random.default_rng(5)
     items = rng.normal(size=(9, 4))

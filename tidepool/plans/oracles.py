@@ -633,6 +633,9 @@ ORACLES: dict[str, str] = {
            round(1.0 / (1.0 + exp(-list_dot_product(u.v, i.v))), 6) AS score
     FROM month m JOIN user_vector u ON m.row_id = u.row_id
     JOIN item_vector i ON m.item_no = i.item"""),
+    "ranking_by_bounds": _with("""
+    SELECT count(*) AS records, 1 AS equal
+    FROM (SELECT DISTINCT m.row_id, m.item_no FROM month m JOIN user_vector u ON m.row_id = u.row_id)"""),
     "hit_rate": _with("""
     SELECT count(*) AS records, """ + ", ".join(
         f"round(avg(CASE WHEN rank <= {k} THEN 1.0 ELSE 0.0 END), 6) AS hr_{k}"

@@ -724,6 +724,20 @@ def hit_rate(spark, sf_dir):
     return _rounded(E.hit_rate(ranks.join(pairs, ["profile", "target"]), weight="n"))
 
 
+@query
+def ranking_by_bounds(spark, sf_dir):
+    samples, users, candidates = _scored_inputs(spark, sf_dir, *views.daily(spark, sf_dir))
+    pairs = cut_lineage(samples.groupBy("profile", F.col("item_no").alias("target")).agg(F.count("*").alias("n")))
+    targets = pairs.select("profile", "target")
+    scored = cut_lineage(E.reached_scores(targets, users, candidates))
+    # as many blocks as a list of millions would have
+    counts = E.rank_counts(scored, candidates, candidates.count(), block_rows=8)
+    plain = E.target_ranks(targets, users, candidates).withColumnRenamed("rank", "plain")
+    rank = F.when(F.col("reached").isNotNull(), F.col("better") + 1)
+    both = counts.join(plain, ["profile", "target"]).join(pairs, ["profile", "target"])
+    return both.agg(F.sum("n").alias("records"), F.min(rank.eqNullSafe(F.col("plain")).cast("int")).alias("equal"))
+
+
 def _labelled_scores(spark, sf_dir):
     behaviours, items = views.daily(spark, sf_dir)
     samples, users, candidates = _scored_inputs(spark, sf_dir, behaviours, items)
