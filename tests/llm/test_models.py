@@ -137,7 +137,6 @@ def test_ftrl_against_a_plain_loop():
     for _ in range(2):
         for k in again.permutation(len(rows)):
             learner.learn(rows[k], label[k], 0.75 if label[k] else 1.5)
-        learner = T.Learner(0.1, 1.0, 0.01, 1.0, learner.state())  # handed on to the next pass
     every = learner.weights(np.arange((1 << T.HASH_BITS) + 1))
     numbers = np.flatnonzero(every[:-1])
     weights, bias = every[numbers], every[-1]
@@ -178,6 +177,13 @@ def test_a_dirty_language_column_gives_the_frequent_languages(spark):
     assert L.train(docs, most=3).names == ("l0", "l1", "l2")
 
 
+def test_the_sample_is_bounded_by_its_features(spark):
+    docs, labels = labelled(spark)
+    whole = T.train(docs, labels, label="quality", l1=0.1)
+    few = T.train(docs, labels, label="quality", l1=0.1, most=40)
+    assert 0 < len(few.numbers) <= 40 < len(whole.numbers)
+
+
 def test_l1_leaves_few_weights(spark):
     docs, labels = labelled(spark)
     many = T.train(docs, labels, label="quality", l1=0.01)

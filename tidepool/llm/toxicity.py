@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import texts
 from tidepool.llm.common import class_counts, labelled_sample
-from tidepool.shared import cut_lineage
 
-#: Labelled documents of each class that the weights are fitted on.
-PER_CLASS = 5000
+#: Labelled documents of each class that the weights are fitted on, and features of all of them (256 MB).
+PER_CLASS, MOST = 5000, 1 << 26
 #: Bytes of features that leave a task together.
 TOGETHER = 1 << 24
 #: Bits of a feature's number.
@@ -69,17 +68,11 @@ def probability(margin: float) -> float:
 
 
 class Learner:
-    """FTRL-proximal with a learning rate of its own for each coordinate; the last one is the bias.
+    """FTRL-proximal with a learning rate of its own for each coordinate; the last one is the bias."""
 
-    The state are two numbers a coordinate, so it can be handed from one pass to the next.
-    """
-
-    def __init__(self, alpha: float, beta: float, l1: float, l2: float, state: bytes = b"") -> None:
+    def __init__(self, alpha: float, beta: float, l1: float, l2: float) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros((2, (1 << HASH_BITS) + 1))
-        met = len(state) // 12
-        at = np.frombuffer(state, dtype="<i4", count=met)
-        self.z[at], self.n[at] = np.frombuffer(state, dtype="<f4", offset=4 * met).reshape(2, met)
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         held = self.z[at]
@@ -99,30 +92,19 @@ class Learner:
         self._learn(row, w, slope)
         self._learn(bias, own, slope)
 
-    def state(self) -> bytes:
-        """The coordinates that were met, packed."""
-        at = np.flatnonzero(self.n)
-        return at.astype("<i4").tobytes() + self.z[at].astype("<f4").tobytes() + self.n[at].astype("<f4").tobytes()
-
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS,
           epochs: int = 10, alpha: float = 0.3, beta: float = 1.0, l1: float = 6.0, l2: float = 0.3,
-          id_col: str = "doc_id", text_col: str = "text") -> Model:
+          id_col: str = "doc_id", text_col: str = "text", most: int = MOST) -> Model:
     """Weights from at most ``per_class`` labelled documents of each class.
 
-    All features of a sampled document count. Both classes weigh alike, whatever their shares. The features are put in
-    an order by hash in the shared folder; in each epoch one task goes through them, holding a batch of documents
-    and the learner's state (12 bytes for each coordinate that was met, 12 MB at most), which the next epoch goes on with. L1 leaves few
-    weights, and only these are sent on. With labels of one class
+    All features of a sampled document count. One task fits the sample and holds its features, ``most`` numbers of
+    4 bytes at most: documents are taken in an order by hash until these are used up. Both classes weigh alike, whatever
+    their shares. L1 leaves few weights, and only these leave the task. With labels of one class
     only, or none, every text has the share of label 1 (one row of each class added) as its
     score.
     """
-    spark = docs.sparkSession
     low, high = class_counts(labels, label)
-    none = np.empty(0, dtype=np.int32)
-    constant = Model(none, none.astype(np.float32), math.log((high + 1) / (low + 1)))
-    if not (low and high):
-        return constant
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,34 +117,36 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=["id", "label", "features"])
 
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, own, total = [], [], 0
+        for batch in batches:
+            for kind, one in zip(batch["label"], batch["features"]):
+                if total + len(one) // 4 <= most:
+                    rows.append(np.frombuffer(one, dtype=np.int32))
+                    own.append(kind)
+                    total += len(one) // 4
+        if own:
+            learner, draw = Learner(alpha, beta, l1, l2), np.random.default_rng(7)
+            share = np.bincount(own, minlength=2) / len(own)
+            weight = 0.5 / np.maximum(share, 1 / (2 * len(own)))
+            for _ in range(epochs):
+                for k in draw.permutation(len(rows)):
+                    learner.learn(rows[k], own[k], weight[own[k]])
+            w = learner.weights(np.arange((1 << HASH_BITS) + 1))
+            kept = np.flatnonzero(w[:-1])
+            yield pd.DataFrame({"numbers": [kept.astype(np.int32).tobytes()],
+                                "weights": [w[kept].astype(np.float32).tobytes()], "bias": [w[-1]]})
+
     sample = labelled_sample(docs, labels, label, per_class, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
     rows = sample.mapInPandas(packed, f"id {kind}, label int, features binary")
-    stored = cut_lineage(rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "features").select("label", "features"))
-    counts = {row["label"]: row["count"] for row in stored.groupBy("label").count().collect()}
-    if not counts:
-        return constant
-    total = sum(counts.values())
-    weight = [0.5 * total / counts.get(k, 0.5) for k in (0, 1)]
-    state = b""
-    for epoch in range(epochs):
-        sent = spark.sparkContext.broadcast(state)
-
-        def learned(batches: Iterator[pd.DataFrame], epoch=epoch, sent=sent) -> Iterator[pd.DataFrame]:
-            learner, draw, seen = Learner(alpha, beta, l1, l2, sent.value), np.random.default_rng(epoch), 0
-            for batch in batches:
-                own, held = batch["label"].to_numpy(), batch["features"]
-                for k in draw.permutation(len(batch)):
-                    learner.learn(np.frombuffer(held[k], dtype=np.int32), int(own[k]), weight[own[k]])
-                seen += len(batch)
-            if seen:
-                yield pd.DataFrame({"state": [learner.state()]})
-
-        state = bytes(stored.mapInPandas(learned, "state binary").first()["state"])
-        sent.unpersist()
-    w = Learner(alpha, beta, l1, l2, state).weights(np.arange((1 << HASH_BITS) + 1))
-    kept = np.flatnonzero(w[:-1])
-    return Model(kept.astype(np.int32), w[kept].astype(np.float32), float(w[-1]))
+    found = (rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "features").select("label", "features")
+             .mapInPandas(fit, "numbers binary, weights binary, bias double").collect()) if low and high else []
+    if not found:
+        none = np.empty(0, dtype=np.int32)
+        return Model(none, none.astype(np.float32), math.log((high + 1) / (low + 1)))
+    return Model(np.frombuffer(found[0]["numbers"], dtype=np.int32),
+                 np.frombuffer(found[0]["weights"], dtype=np.float32), found[0]["bias"])
 
 
 def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
