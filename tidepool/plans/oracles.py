@@ -601,6 +601,7 @@ ORACLES: dict[str, str] = {
     "approx_topk_quality": """
     SELECT count(*) AS items, 10 * count(*) AS found, 1 AS finds_most, 1 AS compares_less
     FROM embeddings""",
+    "forest_quality": "SELECT count(*) AS items, 10 * count(*) AS found, 1 AS finds_most FROM embeddings",
     "user_category_vectors": _with("""
     SELECT ad_id, CAST(sum(n) AS BIGINT) AS n,
            coalesce(string_agg(category, ',' ORDER BY category) FILTER (WHERE counts > 100), '') AS categories

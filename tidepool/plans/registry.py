@@ -10,7 +10,7 @@ from tidepool import schemas
 from tidepool.functions import columns as C
 from tidepool.functions.dates import shift_day, window_dates
 from tidepool.operators import (
-    behaviours as B, evaluate as E, features as X, interactions as N, items as I, joins as J,
+    behaviours as B, evaluate as E, features as X, forest as W, interactions as N, items as I, joins as J,
     models as M, reach, runs, samples as S, sequences as Q, similarity as V, skipgram as K,
 )
 from tidepool.plans import daily, reports as R, views
@@ -631,6 +631,21 @@ def approx_topk_quality(spark, sf_dir):
     )
 
 
+@query
+def forest_topk(spark, sf_dir):
+    return W.forest_topk(views.item_vectors(spark, sf_dir))
+
+
+@query
+def forest_quality(spark, sf_dir):
+    vectors = cut_lineage(views.item_vectors(spark, sf_dir))
+    found = cut_lineage(W.forest_topk(vectors))
+    exact = V.cosine_topk(vectors)
+    hits = exact.join(found, ["item", "neighbour"], "left_semi").count()
+    return found.agg(F.count_distinct("item").alias("items"), F.count("*").alias("found"),
+                     (F.lit(hits) >= 0.9 * F.count("*")).cast("int").alias("finds_most"))
+
+
 @query
 def skipgram_topk(spark, sf_dir):
     corpus = Q.session_corpus(views.events(spark, sf_dir), views.LAST_DAY, days=30)
