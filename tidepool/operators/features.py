@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidepool.functions.columns import json_object, merge_json
 from tidepool.functions.dates import in_window, shift_day
-from tidepool.operators.joins import salted_join
+from tidepool.operators.joins import join_short, salted_join
 from tidepool.operators.numbering import number_rows
 from tidepool.operators.samples import downsample_negatives
 from tidepool.shared import cut_lineage
@@ -167,9 +167,9 @@ def typed_features(df: DataFrame, config: DataFrame, keys: Sequence[str]) -> Dat
     long = df.withColumn("label", F.col("label").cast("double")).select(
         *keys, "label", F.explode(entries).alias("name", "value")
     )
-    # The catalogue is configuration: some hundred names. The type is found out once per
+    # The catalogue is configuration: some hundred names, which is checked. The type is found out once per
     # value; as the output of a generator it is not worked out again where it is tested.
-    known = long.join(F.broadcast(config), "name").select(
+    known = join_short(long, config, ["name"]).select(
         "*", F.explode(F.array(F.schema_of_variant("value"))).alias("type")
     )
 
