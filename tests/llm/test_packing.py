@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -53,6 +54,16 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert encoder.ids(text).tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_all_signs_that_take_the_short_way():
+    encoder, draw = P.Encoder(TOKENS), random.Random(1)
+    signs = [chr(c) for c in range(0x3000) if not P.COMMON.search(chr(c))]
+    assert len(signs) > 600
+    common = [*"  \n\tetaoin'sdl.,0129", *signs]
+    for n in range(4000):
+        text = "".join(draw.choice(signs if n % 2 else common) for _ in range(draw.randrange(1, 40)))
+        assert encoder.ids(text).tolist() == encoder.whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def best_fit_decreasing(lengths: list[int], size: int) -> int:
     rooms: list[int] = []
     for n in sorted(lengths, reverse=True):
