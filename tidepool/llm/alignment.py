@@ -66,13 +66,16 @@ class Aligner:
             left[number] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         names = [self.pieces.id_to_piece(k) for k in range(self.pieces.get_piece_size())]
         right = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(name)) else name.replace("▁", " ").encode() for name in names]
-        self.bytes = left, right
-        self.sizes = tuple(np.array([len(t) for t in side], dtype=np.int64) for side in self.bytes)
-        self.kinds = tuple(_narrow(len(side)) for side in self.bytes)
+        sides = left, right
+        self.sizes = tuple(np.array([len(t) for t in side], dtype=np.int64) for side in sides)
+        self.kinds = tuple(_narrow(len(side)) for side in sides)
+        #: the bytes of all tokens one behind the other, and where each token's begin
+        self.joined = tuple((np.frombuffer(b"".join(side), dtype=np.uint8), np.concatenate(([0], np.cumsum(size)[:-1])))
+                            for side, size in zip(sides, self.sizes))
         #: ids as text, with room for one sign
-        widths = [len(str(len(side) - 1)) for side in self.bytes]
+        widths = [len(str(len(side) - 1)) for side in sides]
         self.written = [np.array([str(k) for k in range(len(side))], dtype=f"S{max(widths) + 1}").view(np.uint8).reshape(len(side), -1)
-                        for side in self.bytes]
+                        for side in sides]
         #: no token of either kind goes on over a space after a word, so a text may be cut there
         self.cuts = self.encoder.ranked is not None and not any("▁" in name.lstrip("▁") for name in names)
 
@@ -91,13 +94,24 @@ class Aligner:
             return none
         both: tuple[list, list] = [], []
         for part in self._parts(text):
-            whole = f" {part}".encode("utf-8", "surrogatepass")
-            for ids, side, out, kind in zip((self.encoder.ids(" " + part).tolist(), self.pieces.encode(part)), self.bytes, both, self.kinds):
-                if b"".join(map(side.__getitem__, ids)) != whole:
+            whole = np.frombuffer(f" {part}".encode("utf-8", "surrogatepass"), dtype=np.uint8)
+            for side, ids in enumerate((self.encoder.ids(" " + part), self.pieces.encode(part, return_type="numpy"))):
+                if not self._spells(side, ids, whole):
                     return none
-                out.append(np.array(ids, dtype=kind))
+                both[side].append(ids.astype(self.kinds[side]))
         return np.concatenate(both[0]), np.concatenate(both[1])
 
+    def _spells(self, side: int, ids: np.ndarray, whole: np.ndarray) -> bool:
+        """Whether the bytes of the tokens, one after the other, are ``whole``."""
+        flat, starts = self.joined[side]
+        sizes = self.sizes[side][ids]
+        ends = np.cumsum(sizes)
+        if int(ends[-1] if len(ends) else 0) != len(whole):
+            return False
+        at = np.repeat((starts[ids] - (ends - sizes)).astype(np.int32), sizes)
+        at += np.arange(len(whole), dtype=np.int32)
+        return bool((flat[at] == whole).all())
+
     def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[int, bytes]:
         """How many groups the common ends cut the tokens into, and the groups as text."""
         if not len(left):
