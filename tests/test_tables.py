@@ -35,6 +35,16 @@ def test_a_day_run_without_rows_is_emptied(spark):
     assert rows(table) == rows(days(spark, (4, "2024-01-02"), (3, "2024-01-03")))
 
 
+def test_a_failed_run_empties_no_day(spark):
+    path = scratch_path(spark, "t")
+    before = days(spark, (1, "2024-01-01"), (2, "2024-01-02"))
+    tables.create_as(before, path, ["dt"])
+    bad = days(spark, (3, "2024-01-02")).withColumn("n", F.when(F.col("n") > 0, F.raise_error(F.lit("lost")).cast("int")))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_partitions(bad, path, days=["2024-01-01", "2024-01-02"])
+    assert rows(spark.read.schema("n int, dt string").parquet(path)) == rows(before)
+
+
 def test_exports_and_examples_leave_other_days(spark):
     path, examples = scratch_path(spark, "e"), scratch_path(spark, "x")
     first = days(spark, (1, "2024-01-01"), (2, "2024-01-02"))

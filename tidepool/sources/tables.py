@@ -51,12 +51,10 @@ def replace_partitions(
     """Replaces the partitions that occur in ``df`` in one commit, and leaves the others.
 
     ``days`` names the days (values of the first partition column) that are run: those
-    without a row in ``df`` are emptied. They are few, so what is asked of ``df`` is
-    which of them it has.
+    without a row in ``df`` are emptied, after the others are written. They are few, so what is asked of ``df`` is
+    which of them it has. Where both must be seen at once, publish the days (:mod:`tidepool.sources.published`).
     """
-    if days:
-        held = df.filter(F.col(by[0]).isin(*days)).select(by[0]).distinct().collect()
-        _drop_days(df.sparkSession, path, sorted(set(days) - {row[0] for row in held}), by[0])
+    held = {row[0] for row in df.filter(F.col(by[0]).isin(*days)).select(by[0]).distinct().collect()} if days else set()
     (
         by_partition(df, by)
         .write.mode("overwrite")
@@ -64,6 +62,7 @@ def replace_partitions(
         .partitionBy(*by)
         .parquet(path)
     )
+    _drop_days(df.sparkSession, path, sorted(set(days) - held), by[0])
 
 
 def ensure_dataset(
