@@ -110,6 +110,25 @@ def test_short_credentials_and_those_around_a_known_match(spark):
     assert sum(S.MASK in t.split(" and ")[1] for k, t in texts.items() if k < 400) == 0
 
 
+def test_a_corpus_full_of_bare_keys_does_not_teach_them_as_plain(spark):
+    draw = random.Random(11)
+
+    def value():
+        return "".join(draw.choice("GHJKMNPQRSTVWXYZ23456789") for _ in range(24))
+
+    def word():
+        return "".join(draw.choice(["tion", "the", "ing", "er", "re", "an", "ver", "long"]) for _ in range(6))
+
+    docs = [(k, f"token = {value()} by {word()}") for k in range(150)]
+    docs += [(1000 + k, f"{value()} {value()} or {word()} or {value()}") for k in range(600)]
+    frame = documents(spark, docs)
+    formats = S.learn(frame)
+    found = {r["doc_id"]: r["f"]["spans"].count("format") for r in
+             frame.select("doc_id", S.found_column(spark, formats, F.col("text")).alias("f")).collect()}
+    assert sum(found[k] for k in range(1000, 1600)) > 0.9 * 1800
+    assert sum(found[k] for k in range(150)) == 0
+
+
 def test_query_on_empty_tables(spark, tmp_path):
     assert secret_scans(spark, write_tables(spark, tmp_path, documents(spark, []))).collect() == []
 

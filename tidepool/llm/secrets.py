@@ -203,7 +203,8 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
           slack: float = 0.1, text_col: str = "text") -> Formats:
     """Formats of the credentials that the known patterns find, and of other tokens.
 
-    Other tokens are those apart from all matches; tokens that reach beyond a match are scored only.
+    Other tokens are those apart from all matches; tokens that reach beyond a match are scored only, and those
+    with other signs than letters that a credential's automaton finds likely don't count as plain.
 
     Labelled credentials are the different matches of each kind in all documents, read once. An automaton
     is fitted on at most ``per_kind`` of a kind, of ``longest`` signs or fewer, with the
@@ -236,7 +237,9 @@ def learn(docs: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST, qua
             automaton = infer(strings)
             least = float(np.quantile([automaton.likelihood(s) for s in strings], quantile)) - slack
             credentials.append((automaton, least))
-    plain = sorted(by_kind.get(len(KINDS), []))
+    # a bare credential of a known format must not be learned as plain; words always are
+    plain = sorted(token for token in by_kind.get(len(KINDS), [])
+                   if token.isalpha() or not any(automaton.likelihood(token) >= least for automaton, least in credentials))
     return Formats(tuple(credentials), infer(plain) if plain else None)
 
 
