@@ -290,6 +290,31 @@ def test_ranking_skips_blocks_that_cannot_win(spark):
     assert sum(r.computed for r in counts) < 0.5 * 400 * len(counts)
 
 
+def test_small_blocks_send_no_vector_more_often(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    items, users = rng.normal(size=(300, 4)), rng.normal(size=(40, 4))
+    targets_df = spark.createDataFrame([(f"r{u}", int(n)) for u in range(40) for n in rng.choice(300, 10, replace=False)],
+                                       "profile string, target bigint")
+    user_df = spark.createDataFrame([(f"r{i}", v.tolist()) for i, v in enumerate(users)], "profile string, vector array<double>")
+    candidates, sent = vectors(spark, items), []
+    plain = E.over_cores
+
+    def kept(df, *keys):
+        sent.append(df)
+        return plain(df, *keys)
+
+    monkeypatch.setattr(E, "over_cores", kept)
+    scored = E.reached_scores(targets_df, user_df, candidates)
+    counts = E.rank_counts(scored, candidates, 300, block_rows=2)
+    asking, offered = [df.agg(F.sum(F.size([c for c in df.columns if c.startswith("vector")][0]))).first()[0] // 4 for df in sent]
+    # all candidates fit one strip, so every target goes there once
+    assert asking <= 400 and offered <= 300 * 4 * spark.sparkContext.defaultParallelism
+    ranks = {(r.profile, r.target): r.rank for r in E.target_ranks(targets_df, user_df, candidates).collect()}
+    assert {(r.profile, r.target): r.better + 1 for r in counts.collect()} == ranks
+    # many strips on both sides count the same
+    assert {(r.profile, r.target): r.better + 1 for r in E.rank_counts(scored, candidates, 300, 2, strip_bytes=2048).collect()} == ranks
+
+
 def test_user_vectors_and_scores(spark):
     rng = np.random.default_rng(5)
     items = rng.normal(size=(9, 4))
