@@ -347,3 +347,35 @@ def test_auc_with_ties(spark):
     assert E.auc(df).first().auc == pytest.approx(exact)
     assert E.auc(df, bins=200).first().auc == pytest.approx(exact, abs=0.02)
     assert E.auc(df.filter("label = 1")).first().auc is None
+
+
+def test_score_tables_are_bounded():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    rng = np.random.default_rng(6)
+    own, others = rng.normal(size=(3000, 4)), rng.normal(size=(20_000, 4))
+    centres, homes = rng.normal(size=(1500, 4)), np.full(1500, 5)
+    tracemalloc.start()
+    found = V._directed(own, others, 3, False)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    best = np.argsort(-np.round(own[:50] @ others.T, V.DIGITS), axis=1, kind="stable")[:, :3]
+    assert (found[0][1][:150].reshape(50, 3) == best).all()
+
+    # the task's function, without Spark around it
+    held = SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x))
+    units = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=held), mapInArrow=lambda of, schema: of,
+                            schema=T.StructType().add("item", "long").add("vector", T.ArrayType(T.DoubleType())))
+    vectors_ = pa.ListArray.from_arrays(np.arange(0, 4 * 10_000 + 1, 4, dtype="int32"), pa.array(others[:10_000].ravel()))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(10_000)), vectors_], ["item", "vector"])
+    tracemalloc.reset_peak()
+    out = [b.select([0, 2]).to_pandas() for b in V._in_cells(units, centres, 2, homes, 10)(iter([batch]))]
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    # 5 at home in each cell: three cells hold more than 10
+    cells = {n: list(rows["bucket"]) for n, rows in __import__("pandas").concat(out).groupby("item")}
+    near = np.argsort(-(others[:10_000] @ centres.T), axis=1, kind="stable")[:, :3]
+    assert [cells[n] for n in range(10_000)] == near.tolist()
