@@ -199,3 +199,16 @@ def test_long_documents_are_learned_whole(spark):
     assert min(len(T.features(text)) for _, text in docs) > 20_000
     model = T.train(documents(spark, docs), spark.createDataFrame([(k, 0, k % 2) for k, _ in docs], LABELS), l1=4.0)
     assert set(T.features(bad)) <= set(model.numbers[model.weights > 0])
+
+
+def test_quality_learns_from_every_labelled_document(spark):
+    ids = [r[0] for r in spark.range(8600).orderBy(F.xxhash64("id")).collect()]
+    # of label 1 the last ones by hash look like no other
+    good, bad = ids[0::2], ids[1::2]
+    texts = {k: f"plain words {k}" for k in good} | {k: f"plain, words {k}." for k in bad} | {k: "%% %% ## %% ##" for k in good[-150:]}
+    labelled = [(k, 1, 0) for k in good] + [(k, 0, 0) for k in bad]
+    docs, labels = documents(spark, list(texts.items())), spark.createDataFrame(labelled, LABELS)
+    model = Q.train(docs, labels, 0.3)
+    assert model.score("%% %% ## %% ##") > 0.3 > model.score("plain, words 5.")
+    # small chunks: every one counts
+    assert np.abs(Q.train(docs, labels, 0.3, chunk=2000).weights).sum() > 0

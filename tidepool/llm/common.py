@@ -27,6 +27,14 @@ def in_bucket(id_col: str, buckets: int, bucket: int) -> Column:
     return F.coalesce(id_bucket(id_col, buckets) == bucket, F.lit(False))
 
 
+def one_label(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, label) of each id with label 0 or 1; ids that are NULL or have both are left out."""
+    return (labels.select(F.col(id_col).alias("id"), F.col(label).alias("label"))
+            .where("id is not null and label in (0, 1)").groupBy("id")
+            .agg(F.min("label").cast("int").alias("label"), F.max("label").alias("other"))
+            .where("label = other").drop("other"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, label) of at most ``per_class`` labelled documents of each class 0 and 1.
@@ -35,10 +43,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     every run. Ids with a NULL label or with both labels are left out, and so are NULL ids.
     The chosen ids are few by construction and go to every task; no text is shuffled.
     """
-    one = (labels.select(F.col(id_col).alias("id"), F.col(label).alias("label"))
-           .where("id is not null and label in (0, 1)").groupBy("id")
-           .agg(F.min("label").cast("int").alias("label"), F.max("label").alias("other"))
-           .where("label = other").drop("other"))
+    one = one_label(labels, label, id_col)
     chosen = [one.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(per_class)
               for k in (0, 1)]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

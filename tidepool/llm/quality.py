@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import texts
-from tidepool.llm.common import class_counts, fresh, labelled_sample
+from tidepool.llm.common import class_counts, fresh, one_label
+from tidepool.operators.similarity import over_cores
 
-#: Labelled documents of each class that the weights are fitted on.
-PER_CLASS = 4000
+#: Labelled documents that are fitted together, about.
+CHUNK = 8000
 #: Words of the spans in which different words are counted.
 SPANS = (32, 256)
 SHAPES = texts.CLASSES * texts.CLASSES
@@ -97,32 +99,33 @@ def _fit(better: np.ndarray, worse: np.ndarray, steps: int, pairs: int, rate: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, cut: float, label: str = "quality",
-          per_class: int = PER_CLASS, steps: int = 400, pairs: int = 512, margin: float = 0.005,
+          chunk: int = CHUNK, steps: int = 400, pairs: int = 512, margin: float = 0.005,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """A model from at most ``per_class`` labelled documents of each class.
-
-    Every pair of a document of label 1 and one of label 0 is a preference; pairs are drawn
-    among the sample. The cut is a score quantile: the share of label 0 among all rows of
-    ``labels``, taken half way between the scores ``margin`` below and above that share. One
-    task fits the sample, whose size is bounded by ``per_class`` rows of fixed width. With
-    labels of one class only, or none, every text has the share of label 1 (one row of each
-    class added) as its score.
+    """A model from all labelled documents.
+
+    The documents are dealt by a hash of their id into chunks of about ``chunk``, and each chunk is fitted by a task. Every
+    pair of a document of label 1 and one of label 0 in a chunk is a preference; the steps draw among them. The cut is
+    a score quantile: the share of label 0 among all rows of ``labels``, taken half way between the scores ``margin`` below
+    and above that share. The model is the mean of what the chunks gave, by their numbers of documents, so none is left out
+    and no task holds more than a chunk. Chunks with one class only have no pair. With labels of one
+    class only, or none, every text has the share of label 1 (one row of each class added) as its score.
     """
     low, high = class_counts(labels, label)
 
     @F.pandas_udf("binary")
     def packed(texts_: pd.Series) -> pd.Series:
-        return texts_.map(lambda x: features(x).tobytes())
+        return texts_.map(lambda x: zlib.compress(features(x).tobytes(), 1))  # mostly zeros
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "features"])
+        plain = rows["features"].map(zlib.decompress)
+        rows = rows.assign(features=plain).sort_values(["id", "features"])
         matrix = np.frombuffer(b"".join(rows["features"]), dtype=np.float32).reshape(-1, WIDTH)
         label_ = rows["label"].to_numpy()
         scale = matrix.std(axis=0)
         scale = np.where(scale > 1e-6, 1 / np.maximum(scale, 1e-6), 0).astype(np.float32)
         matrix = np.clip((matrix - matrix.mean(axis=0)) * scale, -8, 8)
         if not 0 < label_.sum() < len(label_):
-            return pd.DataFrame({"weights": [], "centre": []})
+            return pd.DataFrame({"chunk": [], "n": [], "weights": [], "centre": []})
         weights = _fit(matrix[label_ == 1], matrix[label_ == 0], steps, pairs, 0.05, 1e-3) * scale
         raw = np.frombuffer(b"".join(rows["features"]), dtype=np.float32).reshape(-1, WIDTH) @ weights
         order = np.argsort(raw, kind="stable")
@@ -131,12 +134,24 @@ def train(docs: DataFrame, labels: DataFrame, cut: float, label: str = "quality"
         at = low / (low + high)
         below, above = (raw[order][min(len(raw) - 1, np.searchsorted(along, q))]
                         for q in (at - margin, at + margin))
-        return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "centre": [float(below + above) / 2]})
-
-    sample = (labelled_sample(docs, labels, label, per_class, id_col, text_col)
-              .select(F.lit(1).alias("all"), "id", "label", packed("text").alias("features")))
-    found = (sample.groupBy("all")
-             .applyInPandas(fit, "weights binary, centre double").collect()) if low and high else []
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "n": [len(rows)], "weights": [weights.astype(np.float32).tobytes()],
+                             "centre": [float(below + above) / 2]})
+
+    def mean(parts: pd.DataFrame) -> pd.DataFrame:
+        parts = parts.sort_values("chunk")
+        share = (parts["n"] / parts["n"].sum()).to_numpy()
+        weights = np.frombuffer(b"".join(parts["weights"]), dtype=np.float32).reshape(-1, WIDTH)
+        return pd.DataFrame({"weights": [(share @ weights.astype("float64")).astype(np.float32).tobytes()],
+                             "centre": [float(share @ parts["centre"].to_numpy())]})
+
+    found = []
+    if low and high:
+        rows = docs.select(F.col(id_col).alias("id"), packed(text_col).alias("features")).join(
+            one_label(labels, label, id_col), "id")
+        dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(-(-(low + high) // chunk))))
+        # one narrow row a chunk
+        found = (over_cores(dealt, "chunk").groupBy("chunk").applyInPandas(fit, "chunk long, n long, weights binary, centre double")
+                 .withColumn("all", F.lit(1)).groupBy("all").applyInPandas(mean, "weights binary, centre double").collect())
     if not found:
         return Model(np.zeros(WIDTH, dtype=np.float32), 0.0, cut, (high + 1) / (low + high + 2))
     return Model(np.frombuffer(found[0]["weights"], dtype=np.float32), found[0]["centre"], cut)
