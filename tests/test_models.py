@@ -123,3 +123,18 @@ def test_clusters_part_users_of_different_categories(spark):
     sizes = {r.cluster: r.users for r in M.cluster_sizes(spark.createDataFrame(list(clusters.items()), "ad_id string, cluster int")).collect()}
     assert sum(sizes.values()) == 31
     assert {r.cluster for r in M.user_clusters(df, counts, min_count=10**6).collect()} == {0}
+
+
+def test_exchanged_vectors_do_not_pass_the_driver(spark, monkeypatch):
+    rows = [(u, (u * k) % 40, 1.0) for u in range(60) for k in range(1, 5)]
+    frame = spark.createDataFrame(sorted(set(rows)), "user_index int, item_index int, score float")
+    plans, plain = [], Z._exchanged_step
+
+    def kept(*args):
+        step = plain(*args)
+        plans.append(step._jdf.queryExecution().executedPlan().toString())
+        return step
+
+    monkeypatch.setattr(Z, "_exchanged_step", kept)
+    Z.implicit_factors(frame, 60, 40, 6, 0.05, 2, 3.0, 0, sent_bytes=0)
+    assert len(plans) == 4 and not any("BroadcastExchange" in plan for plan in plans)
