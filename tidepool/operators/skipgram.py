@@ -26,6 +26,8 @@ from tidepool.shared import cut_lineage
 # Words of a block, pairs of a packed row and of a slice, slices of a pair of blocks at most.
 BLOCK_WORDS = 1 << 17
 PACKED, SLICE_PAIRS, SLICES = 1 << 16, 1 << 18, 16
+# Words of sentences that are paired at a time.
+PAIRED = 1 << 16
 # Pairs that are learned from together, and contexts drawn against all of them.
 TOGETHER, NEGATIVES = 1024, 64
 RATE, NEGATIVE_WEIGHT = 0.1, 5.0
@@ -67,7 +69,7 @@ def sampled_pairs(numbers: DataFrame, blocks: int, window: int, seed: int) -> Da
         sizes: dict[tuple[int, int], int] = {}
 
         def packed(key: tuple[int, int]) -> pa.RecordBatch:
-            words, contexts = (np.concatenate(x).astype("<i4") for x in zip(*held.pop(key)))
+            words, contexts = (np.concatenate(x) for x in zip(*held.pop(key)))
             row = [*key, sizes.pop(key), words.tobytes(), contexts.tobytes()]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], _names(PAIRS))
@@ -76,30 +78,32 @@ def sampled_pairs(numbers: DataFrame, blocks: int, window: int, seed: int) -> Da
         for batch in batches:
             column = batch.column(0)
             flat = column.flatten().to_numpy()
-            sentence = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-            parts = []
-            for apart in range(1, window + 1):
-                a, b = flat[:-apart], flat[apart:]
-                spot = np.arange(seen, seen + len(a))
-                kept = (sentence[:-apart] == sentence[apart:]) & (_drawn(spot * window + apart, a * 31 + b, seed) >= (apart - 1) / window)
-                parts += [(a[kept], b[kept]), (b[kept], a[kept])]
-            seen += len(flat)
-            words, contexts = (np.concatenate(x) for x in zip(*parts))
-            key = (words % blocks) * blocks + contexts % blocks
-            order = np.argsort(key, kind="stable")
-            key, words, contexts = key[order], words[order], contexts[order]
-            bounds = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            for start, end in zip(bounds[:-1], bounds[1:]):
-                own = (int(key[start]) // blocks, int(key[start]) % blocks)
-                for at in range(start, end, PACKED):
-                    stop = min(at + PACKED, end)
-                    held.setdefault(own, []).append((words[at:stop], contexts[at:stop]))
-                    sizes[own] = sizes.get(own, 0) + stop - at
-                    if sizes[own] >= PACKED:
+            sentence = np.repeat(np.arange(len(column), dtype="int32"), np.diff(column.offsets.to_numpy()))
+            for first in range(0, len(flat), PAIRED):
+                parts = []
+                for apart in range(1, window + 1):
+                    spot = np.arange(first, max(first, min(first + PAIRED, len(flat) - apart)))
+                    a, b = flat[spot], flat[spot + apart]
+                    kept = (sentence[spot] == sentence[spot + apart]) & (
+                        _drawn((spot + seen) * window + apart, a * 31 + b, seed) >= (apart - 1) / window)
+                    parts += [(a[kept], b[kept]), (b[kept], a[kept])]
+                words, contexts = (np.concatenate(x) for x in zip(*parts))
+                key = (words % blocks) * blocks + contexts % blocks
+                order = np.argsort(key, kind="stable")
+                key, words, contexts = key[order], words[order], contexts[order]
+                bounds = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else []
+                for start, end in zip(bounds[:-1], bounds[1:]):
+                    own = (int(key[start]) // blocks, int(key[start]) % blocks)
+                    for at in range(start, end, PACKED):
+                        stop = min(at + PACKED, end)
+                        held.setdefault(own, []).append((words[at:stop].astype("<i4"), contexts[at:stop].astype("<i4")))
+                        sizes[own] = sizes.get(own, 0) + stop - at
+                        if sizes[own] >= PACKED:
+                            yield packed(own)
+                if sum(sizes.values()) > 64 * PACKED:  # many pairs of blocks, few pairs in each
+                    for own in list(held):
                         yield packed(own)
-            if sum(sizes.values()) > 64 * PACKED:  # many pairs of blocks, few pairs in each
-                for own in list(held):
-                    yield packed(own)
+            seen += len(flat)
         for own in list(held):
             yield packed(own)
 
@@ -157,6 +161,14 @@ def _matrix(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, dtype="float32").reshape(n, -1).copy()
 
 
+def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict]:
+    """Row by row: a batch of packed rows is never unpacked as a whole."""
+    for batch in batches:
+        columns = [batch.column(name) for name in names]
+        for k in range(len(batch)):
+            yield {name: column[k].as_py() for name, column in zip(names, columns)}
+
+
 def _trained(epoch: int, seed: int):
     """Goes through sorted rows: the two blocks of a task, then its pairs."""
     names = ["first", "slice", "turn", *_names(STATE), "words", "contexts"]
@@ -169,45 +181,58 @@ def _trained(epoch: int, seed: int):
             kinds = [pa.string(), pa.int32(), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], _names(STATE))
 
-        for batch in batches:
-            for row in batch.select(names).to_pylist():
-                now = row["first"], row["slice"]
-                if now != key:
-                    if held:
-                        yield done()
-                    key, held, met = now, {}, {}
-                    draw = np.random.default_rng((seed, epoch, abs(now[0]), now[1]))
-                if row["turn"] < 2:
-                    ids = np.frombuffer(row["numbers"], dtype="<i4")
-                    held[row["kind"]] = [row["block"], row["numbers"], _matrix(row["vectors"], len(ids)), row["counts"], ids]
-                    met[row["kind"]] = np.zeros(len(ids))
-                    continue
-                a, b = (np.searchsorted(held[kind][4], np.frombuffer(row[name], dtype="<i4"))
-                        for kind, name in (("word", "words"), ("context", "contexts")))
-                chances = np.cumsum(np.frombuffer(held["context"][3]) ** 0.75)
-                learn(a, b, held["word"][2], held["context"][2], chances, draw)
-                met["word"] += np.bincount(a, minlength=len(met["word"]))
-                # every context of the block may have been drawn against
-                met["context"] += np.bincount(b, minlength=len(met["context"])) + 1e-3
+        for row in _rows(batches, names):
+            now = row["first"], row["slice"]
+            if now != key:
+                if held:
+                    yield done()
+                key, held, met = now, {}, {}
+                draw = np.random.default_rng((seed, epoch, abs(now[0]), now[1]))
+            if row["turn"] < 2:
+                ids = np.frombuffer(row["numbers"], dtype="<i4")
+                held[row["kind"]] = [row["block"], row["numbers"], _matrix(row["vectors"], len(ids)), row["counts"], ids]
+                met[row["kind"]] = np.zeros(len(ids))
+                continue
+            a, b = (np.searchsorted(held[kind][4], np.frombuffer(row[name], dtype="<i4"))
+                    for kind, name in (("word", "words"), ("context", "contexts")))
+            chances = np.cumsum(np.frombuffer(held["context"][3]) ** 0.75)
+            learn(a, b, held["word"][2], held["context"][2], chances, draw)
+            met["word"] += np.bincount(a, minlength=len(met["word"]))
+            # every context of the block may have been drawn against
+            met["context"] += np.bincount(b, minlength=len(met["context"])) + 1e-3
         if held:
             yield done()
 
     return of
 
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    """One block from what its slices made of it: for each word their mean, by how often they met it."""
-    old = rows[rows["met"].map(len) == 0].iloc[0]
-    n = len(old["numbers"]) // 4
-    total, weight = np.zeros_like(_matrix(old["vectors"], n), dtype="float64"), np.zeros(n)
-    for vectors, met in zip(rows["vectors"], rows["met"]):
-        if met:
-            own = np.frombuffer(met)
-            total += _matrix(vectors, n) * own[:, None]
-            weight += own
-    new = np.where(weight[:, None] > 0, total / np.maximum(weight, 1e-300)[:, None], _matrix(old["vectors"], n))
-    return pd.DataFrame([(old["kind"], old["block"], old["numbers"], new.astype("float32").tobytes(), old["counts"], b"")],
-                        columns=_names(STATE))
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block from what its slices made of it: for each word their mean, by how often they met it.
+
+    The rows are sorted by block, the block as it was before first (``old`` is 0); what slices made is added row by row.
+    """
+    names, kinds = _names(STATE), [pa.string(), pa.int32(), *[pa.binary()] * 4]
+    old, total, weight = None, None, None
+
+    def done() -> pa.RecordBatch:
+        before = _matrix(old["vectors"], len(weight))
+        np.divide(total, weight[:, None], out=total, where=weight[:, None] > 0)
+        before[weight > 0] = total[weight > 0]
+        row = (old["kind"], old["block"], old["numbers"], before.tobytes(), old["counts"], b"")
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
+
+    for row in _rows(batches, names):
+        if not row["met"]:
+            if old is not None:
+                yield done()
+            old, weight = row, np.zeros(len(row["numbers"]) // 4)
+            total = np.zeros((len(weight), len(row["vectors"]) // 4 // max(1, len(weight))))
+            continue
+        own = np.frombuffer(row["met"])
+        total += _matrix(row["vectors"], len(weight)) * own[:, None]
+        weight += own
+    if old is not None:
+        yield done()
 
 
 def skipgram(sentences: DataFrame, size: int = 100, window: int = 5, min_count: int = 5, iterations: int = 5,
@@ -240,7 +265,8 @@ def skipgram(sentences: DataFrame, size: int = 100, window: int = 5, min_count:
                 dealt.filter(apart).select("first", "slice", F.lit(2).alias("turn"), "words", "contexts"), allowMissingColumns=True)
             sorted_rows = over_cores(rows, "first", "slice").sortWithinPartitions("first", "slice", "turn")
             made = sorted_rows.mapInArrow(_trained(epoch, seed), STATE)
-            state = cut_lineage(state.unionByName(made).groupBy("kind", "block").applyInPandas(_joined, STATE))
+            both = over_cores(state.unionByName(made), "kind", "block")
+            state = cut_lineage(both.sortWithinPartitions("kind", "block", F.length("met")).mapInArrow(_joined, STATE))
 
     def unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
