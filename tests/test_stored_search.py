@@ -1,0 +1,95 @@
+"""The exact search ranks few scores, sends no vector to several tasks and finds what brute force finds."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_scale import brute_topk, collected, vectors
+from tidepool.operators import similarity as V
+
+
+def units(n: int, width: int, seed: int) -> np.ndarray:
+    rows = np.random.default_rng(seed).normal(size=(n, width))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_most_scores_are_not_ranked(monkeypatch, apart):
+    ranked, plain = [], V.best_per_row
+    monkeypatch.setattr(V, "best_per_row", lambda scores, k: ranked.append(scores.size) or plain(scores, k))
+    others = units(12_000, 16, 1)
+    others[9000:9500] = others[17]  # copies: equal scores, of which the first stay
+    own = others if apart else units(300, 16, 2)
+    own = own[:1500] if not apart else own[:12_000]
+    found = V._directed(own, others, 5, apart)
+    # all of them were
+    assert sum(ranked) < 0.4 * len(own) * len(others)
+    rows, columns, scores = (np.concatenate(x) for x in zip(*found))
+    some = np.random.default_rng(3).choice(len(own), 200, replace=False)
+    some = np.append(some, [17, 9001] if apart else [0])
+    for at in some:
+        table = np.round(others @ own[at], V.DIGITS)
+        if apart:
+            table[at] = -np.inf
+        best = np.argsort(-table, kind="stable")[:5]
+        assert columns[rows == at].tolist() == best.tolist()
+        np.testing.assert_allclose(scores[rows == at], table[best], atol=2e-9)
+
+
+def test_cells_are_ranked_as_far_as_needed(monkeypatch):
+    sorted_, plain = [], np.argsort
+    monkeypatch.setattr(V.np, "argsort", lambda x, **more: sorted_.append(x.shape) or plain(x, **more))
+    scores = np.round(np.random.default_rng(0).normal(size=(50, 400)), 1)  # with ties
+    population = np.full(400, 2)
+    order, short = V._nearest_cells(scores, population, 3, 10)
+    assert not sorted_  # all 400 of each row were
+    full = plain(-scores, axis=1, kind="stable")
+    assert (order == full[:, :order.shape[1]]).all() and (short == 6).all()
+    order, short = V._nearest_cells(scores, population, 3, 10_000)
+    assert (order == full).all() and (short == 401).all()
+
+
+@pytest.mark.parametrize("text", [False, True])
+@pytest.mark.parametrize("include_self", [False, True])
+def test_stored_vectors_give_the_neighbours_of_brute_force(spark, monkeypatch, text, include_self):
+    for name, value in (("TILE_ROWS", 7), ("TILE_COLUMNS", 13), ("STRIP_BYTES", 1000), ("FILE_BYTES", 4000)):
+        monkeypatch.setattr(V, name, value)
+    matrix = np.round(np.random.default_rng(5).normal(size=(150, 6)), 1)
+    matrix[60:100] = matrix[3]  # many copies
+    matrix[7] = 0
+    df = vectors(spark, matrix)
+    if text:
+        df = df.withColumn("item", F.format_string("i%04d", "item"))
+    found = collected(V.cosine_topk(df, k=4, include_self=include_self, block_rows=20))
+    other = collected(V.keep_top(V.top_neighbours(V.unit_vectors(df), 4, include_self, 20), 4))
+    assert {i: [n for n, _ in best] for i, best in found.items()} == {i: [n for n, _ in best] for i, best in other.items()}
+    if not text and not include_self:
+        expected = brute_topk(matrix, 4)
+        for item, best in found.items():
+            assert [n for n, _ in best] == [n for n, _ in expected[item]]
+            np.testing.assert_allclose([s for _, s in best], [s for _, s in expected[item]], atol=1e-8)
+
+
+def test_items_that_come_twice_are_neighbours_of_themselves_as_in_blocks(spark):
+    matrix = units(80, 5, 4)
+    df = vectors(spark, matrix)
+    df = df.unionByName(df.filter("item % 7 = 0"))
+    found, other = V.cosine_topk(df, k=3, block_rows=20), V.keep_top(V.top_neighbours(V.unit_vectors(df), 3, False, 20), 3)
+    assert sorted(found.collect()) == sorted(other.collect())
+
+
+def test_vectors_are_not_exchanged(spark):
+    df = vectors(spark, units(300, 4, 6))
+    plan = V.cosine_topk(df, k=3, block_rows=50)._jdf.queryExecution().executedPlan().toString()
+    # each vector was sent once for each strip
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan and "vector" not in plan
+
+
+def test_without_plain_files_vectors_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(V, "shared_files", lambda _: False)
+    matrix = units(100, 4, 7)
+    found = collected(V.cosine_topk(vectors(spark, matrix), k=3, block_rows=20))
+    assert {i: [n for n, _ in best] for i, best in found.items()} == {
+        i: [n for n, _ in best] for i, best in brute_topk(matrix, 3).items()}
